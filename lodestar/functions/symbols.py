@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,22 +27,37 @@ def lookup(values: dict[str, str], key: Column) -> Column:
     return F.try_element_at(F.create_map(*(F.lit(x) for pair in values.items() for x in pair)), key)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _number_suffix(token: Column) -> Column:
     bare = F.regexp_replace(token, "^0+(?=.)", "")
     return F.when(bare.isin(*HONG_KONG_NUMBERS), "HK").when(bare.isin(*TOKYO_NUMBERS), "T")
 
 
-def listing_symbol(raw: Column) -> Column:
-    """Canonical listing symbol: upper case, / as -, a spaced exchange code or a known bare number as a suffix, Hong Kong numbers of four digits."""
-    token = F.regexp_replace(F.translate(F.upper(F.trim(raw)), "/", "-"), r"\s+", " ")
-    suffix = lookup(CODE_SUFFIX, F.regexp_extract(token, " ([^ ]+)$", 1))
+def _code_as_suffix(token: Column) -> Column:
     base = F.regexp_replace(token, " [^ ]+$", "")
-    token = F.when(token.contains(" ") & suffix.isNotNull(), F.concat(base, F.when(suffix == "", "").otherwise(F.concat(F.lit("."), suffix)))).otherwise(token)
-    digits = token.rlike("^[0-9]+$")
+    with_suffix = lambda suffix: F.when(suffix.isNull(), token).when(suffix == "", base).otherwise(F.concat(base, F.lit("."), suffix))
+    return F.when(token.contains(" "), let(lookup(CODE_SUFFIX, F.regexp_extract(token, " ([^ ]+)$", 1)), with_suffix)).otherwise(token)
+
+
+def _number_with_suffix(token: Column) -> Column:
     six = F.when(token.startswith("600"), "SS").when(token.rlike("^(000|002|300)"), "SZ")
-    own = F.when(digits & (F.length(token) == 6), six).when(digits, _number_suffix(token))
-    token = F.when(own.isNotNull(), F.concat_ws(".", token, own)).otherwise(token)
-    return F.coalesce(F.when(token.rlike(r"^[0-9]{1,3}\.HK$"), F.lpad(token, 7, "0")).otherwise(token), F.lit(""))
+    return F.when(token.rlike("^[0-9]+$"), F.concat_ws(".", token, F.when(F.length(token) == 6, six).otherwise(_number_suffix(token)))).otherwise(token)
+
+
+def _four_digits(token: Column) -> Column:
+    return F.when(token.rlike(r"^[0-9]{1,3}\.HK$"), F.lpad(token, 7, "0")).otherwise(token)
+
+
+def listing_symbol(raw: Column) -> Column:
+    """Canonical listing symbol: upper case, / as -, a spaced exchange code or a known bare number as a suffix, Hong Kong numbers of four digits."""
+    out = F.regexp_replace(F.translate(F.upper(F.trim(raw)), "/", "-"), r"\s+", " ")
+    for step in (_code_as_suffix, _number_with_suffix, _four_digits):
+        out = let(out, step)
+    return F.coalesce(out, F.lit(""))
 
 
 def listing_symbol_on(raw: Column, exchange: Column) -> Column:
@@ -50,9 +67,13 @@ def listing_symbol_on(raw: Column, exchange: Column) -> Column:
 
 def listing_symbol_in(raw: Column, country: Column) -> Column:
     """listing_symbol; a number without a suffix takes that of its country."""
-    token, place = listing_symbol(raw), F.upper(F.trim(country))
-    suffix = F.when(place.isin("HK", "HONG KONG", "HONG KONG SAR") & token.rlike("^[0-9]{1,4}$"), "HK").when(place.isin("JP", "JAPAN") & token.rlike("^[0-9]{4}$"), "T").when(place.isin("TW", "TAIWAN") & token.rlike("^[0-9]{4}$"), "TW")
-    return F.when(suffix.isNotNull(), listing_symbol(F.concat_ws(".", token, suffix))).otherwise(token)
+    place = F.upper(F.trim(country))
+
+    def with_suffix(token: Column) -> Column:
+        suffix = F.when(place.isin("HK", "HONG KONG", "HONG KONG SAR") & token.rlike("^[0-9]{1,4}$"), "HK").when(place.isin("JP", "JAPAN") & token.rlike("^[0-9]{4}$"), "T").when(place.isin("TW", "TAIWAN") & token.rlike("^[0-9]{4}$"), "TW")
+        return _four_digits(F.concat_ws(".", token, suffix))
+
+    return let(listing_symbol(raw), with_suffix)
 
 
 def country_of(raw: Column) -> Column:
