@@ -134,3 +134,42 @@ def test_as_of_ties_and_sides(spark):
     assert back == {("k", 1): (None, date(2025, 1, 1)), ("k", 3): (31, date(2026, 1, 3)), ("k", 5): (31, date(2026, 1, 3)), ("z", 9): (None, None)}
     ahead = {(r.k, r.n): r.v for r in timeseries.as_of(left, points, ["k"], "at", "p", ["v"], ["o"], forward=True).collect()}
     assert ahead == {("k", 1): 30, ("k", 3): 30, ("k", 5): None, ("z", 9): None}
+
+
+def test_tables_and_versions(spark, tmp_path):
+    from lodestar.sources import tables
+
+    path = f"file://{tmp_path}/t"
+    df = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    assert tables.read_table(spark, f"{path}/none", df.schema).count() == 0
+    tables.write_version(df, path, "1")
+    tables.write_version(tables.keyed_append(tables.read_current(spark, path), spark.createDataFrame([(2, "b"), (2, "c"), (3, "d")], df.schema), ["k"], ["v"]), path, "2")
+    want = {1: "a", 2: "c", 3: "d"}
+    again = tables.keyed_append(tables.read_current(spark, path), tables.read_current(spark, path), ["k"])
+    assert {r.k: r.v for r in tables.read_current(spark, path).collect()} == want == {r.k: r.v for r in again.collect()}
+    (tmp_path / "h.csv").write_text("Ticker ,% of Net Assets\nA,1.5%\n")
+    assert tuple(tables.read_aliased(spark, f"file://{tmp_path}/h.csv", {"symbol": ["symbol", "ticker"], "weight": ["Weight", "% of net assets"], "isin": ["isin"]}).first()) == ("A", "1.5%", None)
+
+
+def test_streamed_batches_merge_by_key(spark, tmp_path):
+    from lodestar.sources import tables
+    from lodestar.streaming import incremental
+
+    source, path = f"file://{tmp_path}/in", f"file://{tmp_path}/t"
+    schema = "symbol string, ts timestamp, price double"
+    for i in range(2):
+        spark.sql(f"SELECT 'A' AS symbol, timestamp'2026-01-01 00:00:00' AS ts, {i}.0D AS price UNION ALL SELECT 'B{i}', timestamp'2026-01-01 00:00:0{i}', 5.0D").coalesce(1).write.mode("append").parquet(source)
+        stream = incremental.deduplicated(spark.readStream.schema(schema).parquet(source), ["symbol", "ts"], "ts", "1 hour")
+        incremental.append_stream(stream, path, f"file://{tmp_path}/c", ["symbol", "ts"], transform=lambda df: df.withColumn("price", F.col("price") * 2)).awaitTermination()
+    got = sorted((r.symbol, r.price) for r in tables.read_current(spark, path).collect())
+    assert got == [("A", 0.0), ("B0", 10.0), ("B1", 10.0)]
+
+
+def test_isin_status_and_snippets(spark):
+    from lodestar.operators import identity, observations
+
+    df = spark.createDataFrame([("US0378331005", "US"), ("US0378331006", "US"), ("DE0007164600", "US"), (" ", "US")], "isin string, country string")
+    assert [(r.isin_status, r.isin_reason) for r in identity.isin_status(df).collect()] == [("success", "ok"), ("suspect", "invalid_isin"), ("suspect", "prefix_mismatch"), ("not_found", "no_isin")]
+    text = "x" * 300 + " The company Raises\nGuidance for the year" + "y" * 300
+    got = observations.signal_candidates(spark.createDataFrame([(text.replace("\n", " "),), ("none",), (None,)], "text string")).collect()
+    assert len(got) == 1 and got[0].signal == "raises guidance" and "Raises Guidance" in got[0].snippet and len(got[0].snippet) <= 280
