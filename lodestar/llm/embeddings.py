@@ -14,7 +14,7 @@ from .graph import connected_components
 
 #: Vectors in a tile, rows of a tile compared at once, dimensions after which residuals are bounded, vectors that fit the rotation.
 TILE, STRIP, STEPS, FIT = 1024, 256, (8, 16, 32), 8192
-#: Room for rounding in a bound; what passes is computed in full.
+#: Room for rounding in a bound; the whole product is then held against the threshold itself.
 SLACK = 1e-9
 
 
@@ -49,7 +49,7 @@ def compare(a: np.ndarray, b: np.ndarray, threshold: float, same: bool, steps: t
             if not len(rows):
                 break
         else:
-            i, j = np.nonzero(alive)
+            i, j = np.nonzero(alive & (total >= threshold))
             found.append((rows[i], cols[j]))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
 

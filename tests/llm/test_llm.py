@@ -161,6 +161,13 @@ def test_embeddings_match_all_pairs(spark, tile):
     assert got == expect_vectors(items)
 
 
+def test_no_link_just_below_the_threshold():
+    angle = np.arccos(0.93) + np.array([1e-9, -1e-9])
+    x = np.array([[1.0, 0.0], *zip(np.cos(angle), np.sin(angle), strict=True)])
+    i, j = embeddings.compare(x[:1], x[1:], 0.93, False)
+    assert (i.tolist(), j.tolist()) == ([0], [1])
+
+
 def test_embeddings_without_rows(spark):
     assert rows(embeddings.near_duplicate_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int"))) == []
 
