@@ -164,7 +164,7 @@ def id18_measures(spark, sf):
     return identity.measures(_listings(spark, sf), {"lei": "lei IS NOT NULL", "isin": "isin IS NOT NULL", "none": "symbol IS NULL"})
 
 
-UNIVERSE = "uni AS (SELECT *, CASE WHEN status <> 'active' THEN 'inactive' WHEN promotion_status NOT LIKE 'validated%' THEN 'not_promoted' WHEN nation % 6 = 0 THEN 'market_unsupported' WHEN nation >= 12 THEN 'other_region' END AS exclusion FROM registry)"
+UNIVERSE = "uni AS (SELECT *, CASE WHEN status <> 'active' THEN 'inactive' WHEN promotion_status NOT LIKE 'validated%' THEN 'not_promoted' WHEN nation % 6 = 0 THEN 'market_unsupported' WHEN nation >= 12 THEN 'other_region' END AS exclusion FROM registry QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY balance) = 1)"
 
 
 def _universe(spark, sf):
