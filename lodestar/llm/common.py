@@ -34,6 +34,11 @@ def crc_remainder(col: str, n: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(n)
 
 
+def hash_share(key: Column, share: float) -> Column:
+    """Whether a 64-bit hash falls in a share of all hashes; fine enough for a few thousand of 10**14 rows."""
+    return F.pmod(key, F.lit(1 << 52)) < F.lit(int(min(1.0, share) * (1 << 52)))
+
+
 def components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest node index reachable from each of n nodes over the links a[i]-b[i]."""
     label = np.arange(n)

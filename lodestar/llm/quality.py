@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from .common import hash_share
+
 #: Buckets of hashed words, bins of a statistic, factors of a feature, labelled rows that a model is fitted on at most.
 WORDS, BINS, FACTORS, FIT_ROWS = 1 << 14, 12, 8, 6000
 EPOCHS, RATE, DECAY, SEED = 8, 0.05, 1e-5, 7
@@ -112,8 +114,7 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> DataFr
     The share is taken from the number of labels, so the sample is bounded at any size. Labels other than 0 and 1 and null ids are left out.
     """
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality")
-    share = min(1.0, most / max(1, known.count()))
-    picked = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).limit(2 * most)
+    picked = known.where(hash_share(F.xxhash64("doc_id"), most / max(1, known.count()))).limit(2 * most)
     return docs.join(F.broadcast(picked), "doc_id").select("doc_id", F.col("quality").cast("double").alias("label"), "text", "n_chars")
 
 

@@ -8,7 +8,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import running, spans
+from .common import hash_share, running, spans
 
 # The base patterns, the group that is judged, and its least length, in the order of their kinds.
 BASE = {
@@ -52,12 +52,12 @@ def random_strings(spark, n: int = FIT_STRINGS) -> DataFrame:
 
 
 def ordinary_strings(docs: DataFrame, most: int = FIT_DOCS) -> DataFrame:
-    """Labelled samples of the ordinary class: identifiers of letters, _ and - in about `most` documents, chosen by a hash of the text.
+    """Labelled samples of the ordinary class: identifiers of letters, _ and - in about `most` texts, chosen by a hash of the text.
 
-    The share comes from the number of documents, so the sample is bounded at any size.
+    The share comes from the number of documents and each text is taken once, so the sample is bounded at any size and by any
+    group of copies.
     """
-    share = min(1.0, most / max(1, docs.count()))
-    picked = docs.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
+    picked = docs.where(hash_share(F.xxhash64("text"), most / max(1, docs.count()))).select("text").distinct()
     words = picked.select(F.explode(F.split("text", r"[^A-Za-z0-9+/_-]+")).alias("s"))
     return words.where(F.col("s").rlike("^(?:[A-Za-z]?[a-z_-]+|[A-Z_-]+){1,3}$") & (F.length("s") >= 3))
 

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from lodestar.llm import common, decontaminate, embeddings, graph, language, packing, quality, queries, secrets, sharding, simhash, tokens, warc
 
@@ -500,6 +501,15 @@ def test_models_tell_random_strings_from_identifiers(spark, docs):
     assert share(ordinary.select((secrets.likeness(ordinary.s, model) > secrets.MARGIN).cast("int").alias("hit"))) < 0.01
 
 
+def test_learning_samples_are_bounded(spark):
+    ids = spark.range(20000)
+    kept = ids.where(common.hash_share(F.xxhash64("id"), 0.05)).count()
+    assert 800 < kept < 1200 and ids.where(common.hash_share(F.xxhash64("id"), 1.0)).count() == 20000
+    # A text that most documents share teaches once, whether it is picked or not.
+    hot = spark.range(3000).select(F.lit("some shared words").alias("text"))
+    assert secrets.ordinary_strings(hot, 5000).count() == 3
+
+
 def test_redaction(spark, awkward):
     got = {r["doc_id"]: r for r in rows(secrets.redact(awkward))}
     assert got[6]["text"] == "[SECRET] [SECRET] [SECRET] \U0001f600 token:'abc'" and got[6]["n_chars"] == len(got[6]["text"])
