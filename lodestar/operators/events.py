@@ -1,0 +1,110 @@
+"""Earnings, capital, fund and index events, and identifiers, from raw payloads and filings."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.casts import day, number, symbol
+from .observations import first_key, payload_items
+
+# Capital events by the forms they are filed on and their signal words in order; forms and words of investor events.
+CAPITAL_RULES = (
+    ("buyback_actual", ("10-Q", "10-K"), ("issuer purchases of equity securities", "item 703", "repurchase table", "share repurchase", "stock repurchase")),
+    ("buyback_authorization", ("8-K",), ("share repurchase program", "stock repurchase program", "buyback authorization", "authorized repurchase", "accelerated share repurchase", " asr")),
+    ("atm_program", ("8-K", "S-3", "S-3ASR", "424B", "424B5"), ("at-the-market", "atm offering", "equity distribution agreement", "sales agreement")),
+    ("secondary_offering", ("8-K", "S-3", "424B", "424B5"), ("public offering", "secondary offering", "offering of common stock", "underwritten offering")),
+    ("shelf_registration", ("S-3", "S-3ASR", "424B", "424B5"), ("shelf registration", "registration statement", "prospectus supplement")),
+)
+PROXY_FORMS, MATERIAL_FORMS = ("DEF 14A", "DEFA14A", "PRE 14A"), ("8-K", "6-K")
+MATERIAL_SIGNALS = ("investor presentation", "earnings call", "conference call", "webcast", "presentation", "results")
+
+
+def first_signal(text: Column, signals: tuple[str, ...]) -> Column:
+    return F.coalesce(*(F.when(F.lower(text).contains(s), F.lit(s)) for s in signals))
+
+
+def earnings_events(raw: DataFrame) -> DataFrame:
+    """Earnings of successful payloads (symbol, status, raw_payload): what was reported or estimated; rows without a date go."""
+    items = raw.where("status = 'success'").select("symbol", F.explode(payload_items(F.col("raw_payload"), ("data", "results", "earnings"))).alias("i"))
+    i = F.col("i")
+    values = {"eps_actual": ("epsActual", "actualEPS", "actualEps", "eps"), "eps_estimate": ("epsEstimated", "epsEstimate", "estimatedEPS", "estimatedEps"), "revenue_actual": ("revenueActual", "actualRevenue", "revenue"), "revenue_estimate": ("revenueEstimated", "revenueEstimate", "estimatedRevenue")}
+    rows = items.select(symbol(F.coalesce(first_key(i, "symbol"), "symbol")).alias("symbol"), day(first_key(i, "date", "reportDate", "earningsDate", "earnings_date")).alias("report_date"), *(number(first_key(i, *names)).alias(c) for c, names in values.items())).where("report_date IS NOT NULL")
+    status = F.when(F.coalesce("eps_actual", "revenue_actual").isNotNull(), "reported").when(F.coalesce("eps_estimate", "revenue_estimate").isNotNull(), "estimated").otherwise("scheduled")
+    return rows.withColumn("event_status", status).distinct()
+
+
+def earnings_coverage(events: DataFrame, others: DataFrame) -> DataFrame:
+    """One row: events with an EPS value, with a revenue value, and those whose symbol and date another provider has too."""
+    known = others.select("symbol", "report_date", F.lit(True).alias("_other")).distinct()
+    return events.join(known, ["symbol", "report_date"], "left").agg(F.count_if(F.coalesce("eps_actual", "eps_estimate").isNotNull()).alias("eps"), F.count_if(F.coalesce("revenue_actual", "revenue_estimate").isNotNull()).alias("revenue"), F.count("_other").alias("overlap"))
+
+
+def filer_numbers(raw: DataFrame) -> DataFrame:
+    """(ticker, cik of ten digits, company_name) of payloads that are a list or an object of objects."""
+    shape = "map<string,map<string,string>>"
+    items = F.coalesce(F.when(F.ltrim("raw_payload").startswith("["), F.from_json("raw_payload", "array<map<string,string>>")), F.map_values(F.from_json("raw_payload", shape)))
+    i = F.col("i")
+    rows = raw.select(F.explode(items).alias("i")).select(symbol(first_key(i, "ticker")).alias("ticker"), F.lpad(F.regexp_extract(first_key(i, "cik_str", "cik"), r"^0*(\d+)$", 1), 10, "0").alias("cik"), F.coalesce(first_key(i, "title"), F.lit("")).alias("company_name"))
+    return rows.where("ticker <> '' AND cik RLIKE '[1-9]'").distinct()
+
+
+def investor_events(filings: DataFrame) -> DataFrame:
+    """Candidates from filings (symbol, form, text): proxy forms always, material forms with a signal word."""
+    signal = first_signal(F.col("text"), MATERIAL_SIGNALS)
+    proxy, material = F.col("form").isin(*PROXY_FORMS), F.col("form").isin(*MATERIAL_FORMS) & signal.isNotNull()
+    kind = F.when(proxy, "shareholder_meeting_candidate").when(material, "investor_material_candidate")
+    return filings.withColumns({"event_type": kind, "signal": F.when(~proxy, signal), "confidence": F.when(proxy, "medium").otherwise("low")}).where("event_type IS NOT NULL").drop("text")
+
+
+def capital_events(filings: DataFrame) -> DataFrame:
+    """One row for each rule that a filing (symbol, accession, form, text) meets by its form and first signal word."""
+    matches = lambda forms: F.col("form").isin(*forms) | (F.col("form").startswith("424B") if "424B" in forms else F.lit(False))
+    found = [F.when(matches(forms), F.struct(F.lit(kind).alias("event_type"), first_signal(F.col("text"), signals).alias("signal"))) for kind, forms, signals in CAPITAL_RULES]
+    rows = filings.select("symbol", "accession", "form", F.explode(F.array_compact(F.array(*found))).alias("e")).where("e.signal IS NOT NULL")
+    return rows.select("symbol", "accession", "form", "e.event_type", "e.signal", F.when(F.col("e.signal").contains("asr"), "asr").alias("event_subtype")).distinct()
+
+
+def distributions(raw: DataFrame) -> DataFrame:
+    """Fund distributions; where a fund's payload has only end-of-day cash dividends, those that are positive, with low confidence."""
+    items = raw.where("status = 'success'").select("symbol", F.explode(payload_items(F.col("raw_payload"), ("data",))).alias("i"))
+    i = F.col("i")
+    named = first_key(i, "exDate").isNotNull()
+    rows = items.select(symbol(F.coalesce(first_key(i, "ticker"), "symbol")).alias("symbol"), day(F.coalesce(first_key(i, "exDate"), first_key(i, "date"))).alias("ex_date"), number(F.when(named, first_key(i, "distribution")).otherwise(first_key(i, "divCash"))).alias("amount"), day(first_key(i, "paymentDate")).alias("payable_date"), F.when(named, "medium").otherwise("low").alias("confidence"))
+    return rows.where("ex_date IS NOT NULL AND (confidence = 'medium' OR amount > 0)").distinct()
+
+
+def rebalances(raw: DataFrame) -> DataFrame:
+    """Changes of announcements with both dates; payloads with holdings are refused."""
+    shape = "struct<announcement_date:string,effective_date:string,holdings:string,changes:array<struct<side:string,symbol:string>>>"
+    rows = raw.where("status = 'success'").select(F.from_json("raw_payload", shape).alias("p")).where("p.holdings IS NULL")
+    out = rows.select(day(F.col("p.announcement_date")).alias("announcement_date"), day(F.col("p.effective_date")).alias("effective_date"), F.explode("p.changes").alias("c"))
+    return out.select("announcement_date", "effective_date", F.lower("c.side").alias("change_side"), symbol(F.col("c.symbol")).alias("constituent_symbol")).where("announcement_date IS NOT NULL AND effective_date IS NOT NULL AND change_side IN ('add', 'remove') AND constituent_symbol <> ''").distinct()
+
+
+def page_events(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """The first heading and the first ISO date of each page's text, of pages that have a heading."""
+    html = F.col(html_col)
+    heading = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_extract(html, r"(?is)<h[12][^>]*>(.*?)</h[12]>", 1), "<[^>]*>", " "), r"\s+", " "))
+    at = day(F.nullif(F.regexp_extract(html, r"\b([0-9]{4}-[0-9]{2}-[0-9]{2})\b", 1), F.lit("")))
+    return pages.select(id_col, heading.alias("title"), at.alias("event_date")).where("title <> ''")
+
+
+def security_mappings(raw: DataFrame) -> DataFrame:
+    """What a mapping answered for each symbol (symbol, raw_payload): an error text, no data, one match, or the first of several as ambiguous."""
+    items = F.from_json(F.get_json_object("raw_payload", "$.data"), "array<map<string,string>>")
+    error = F.get_json_object("raw_payload", "$.error")
+    rows = raw.withColumns({"error": error, "n": F.coalesce(F.size(items), F.lit(0)), "i": F.try_element_at(items, F.lit(1))})
+    lost = F.lower("error").contains("not found") | F.lower("error").contains("no identifier found")
+    status = F.when(F.col("error").isNotNull(), F.when(lost, "not_found").otherwise("error")).when(F.col("n") <= 0, "not_found").when(F.col("n") > 1, "ambiguous").otherwise("success")
+    why = F.coalesce("error", F.when(F.col("n") <= 0, "no_openfigi_data").when(F.col("n") > 1, "multiple_openfigi_matches"))
+    fields = {"figi": ("figi",), "composite_figi": ("compositeFIGI", "compositeFigi"), "isin": ("isin", "ID_ISIN"), "lei": ("lei", "LEI")}
+    return rows.select("symbol", status.alias("status"), why.alias("error_message"), *(F.when(F.col("error").isNull(), F.upper(first_key(F.col("i"), *names))).alias(c) for c, names in fields.items()))
+
+
+def entity_records(raw: DataFrame) -> DataFrame:
+    """(lei, legal_name, country, isins, n_isins) of entity payloads: the name from either path, the country before the first -, ISINs wherever they stand."""
+    at = lambda *paths: F.coalesce(*(F.nullif(F.trim(F.get_json_object("raw_payload", p)), F.lit("")) for p in paths))
+    isins = F.array_sort(F.array_distinct(F.regexp_extract_all("raw_payload", F.lit(r"\b([A-Z]{2}[A-Z0-9]{9}[0-9])\b"), F.lit(1))))
+    rows = raw.select(at("$.data.attributes.lei", "$.attributes.lei", "$.lei").alias("lei"), at("$.data.attributes.entity.legalName.name", "$.attributes.entity.legalName.name", "$.legal_name").alias("legal_name"), F.upper(F.element_at(F.split(at("$.data.attributes.entity.jurisdiction", "$.attributes.entity.jurisdiction", "$.jurisdiction"), "-"), 1)).alias("country"), isins.alias("isins"))
+    return rows.where("lei IS NOT NULL").select("lei", "legal_name", "country", F.array_join("isins", ",").alias("isins"), F.size("isins").cast("long").alias("n_isins"))
