@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casts import symbol
+from ..functions.casts import day, number, symbol
 from ..functions.symbols import country_of, is_placeholder, let, listing_symbol, listing_symbol_in, listing_symbol_on, lookup
 from .timeseries import top_k
 
@@ -181,3 +181,34 @@ def theme_dimension(themes: DataFrame, holdings: DataFrame) -> DataFrame:
     """Each theme with its distinct holdings and their latest date; an active theme without holdings violates the contract."""
     counts = holdings.groupBy("etf_ticker").agg(F.countDistinct("holding_symbol").alias("holdings_count"), F.max("as_of").alias("holdings_as_of"))
     return themes.join(counts, "etf_ticker", "left").na.fill(0, ["holdings_count"]).withColumn("contract_violated", F.col("active") & (F.col("holdings_count") == 0))
+
+
+def replaced_holdings(existing: DataFrame, fresh: DataFrame) -> DataFrame:
+    """All holdings of refreshed funds replaced, those of others kept; of rows with one listing key (etf_ticker, listing_key) the heaviest stays."""
+    best = top_k(fresh, ["etf_ticker", "listing_key"], [F.desc("weight"), F.asc("holding_symbol")], 1)
+    return existing.join(fresh.select("etf_ticker").distinct(), "etf_ticker", "left_anti").unionByName(best.select(existing.columns))
+
+
+def renormalised_holdings(holdings: DataFrame) -> DataFrame:
+    """Each fund's holdings (holding_symbol, holding_country) before and after symbols are normalised: changed, bare numbers and missing ones."""
+    after = listing_symbol_in(F.col("holding_symbol"), F.col("holding_country"))
+    rows = holdings.withColumn("_after", after)
+    bare = lambda c: F.count_if(F.coalesce(F.col(c).rlike("^[0-9]+$"), F.lit(False)))
+    return rows.groupBy("etf_ticker").agg(F.count("*").alias("n"), F.count_if(~F.col("_after").eqNullSafe(F.col("holding_symbol"))).alias("changed"), bare("holding_symbol").alias("numeric_before"), bare("_after").alias("numeric_after"), F.count_if(F.col("_after") == "").alias("missing"))
+
+
+def canonical_prices(raw: DataFrame, aliases: dict[str, tuple[str, ...]]) -> DataFrame:
+    """Provider rows as (symbol, date, close, adj_close, volume): the first alias that is there; adj_close falls back to close; rows without date or close go."""
+    pick = lambda c: F.coalesce(*(F.col(f"`{n}`") for n in aliases[c] if n in raw.columns), F.lit(None))
+    rows = raw.select(symbol(pick("symbol")).alias("symbol"), day(pick("date").cast("string")).alias("date"), *(number(pick(c).cast("string")).alias(c) for c in ("close", "adj_close", "volume")))
+    return rows.withColumn("adj_close", F.coalesce("adj_close", "close")).dropna(subset=["date", "close"])
+
+
+def snapshot_report(registered: DataFrame, coverage: DataFrame, prices: DataFrame, stale_before: str) -> DataFrame:
+    """(ticker, section, key, value) of each registered ticker and its warnings: no coverage, no prices, or prices that ended before a day."""
+    last = prices.groupBy(F.col("symbol").alias("ticker")).agg(F.count("*").alias("price_rows"), F.max("date").alias("last_date"))
+    rows = registered.join(coverage, "ticker", "left").join(last, "ticker", "left")
+    warnings = F.array_compact(F.array(F.when(F.col("coverage_status").isNull(), "coverage_row_missing"), F.when(F.col("price_rows").isNull(), "market_prices_missing"), F.when(F.col("last_date") < F.lit(stale_before).cast("date"), "market_prices_stale")))
+    cell = lambda section, key, value: F.struct(F.lit(section).alias("section"), F.lit(key).alias("key"), value.cast("string").alias("value"))
+    cells = F.array(cell("registry", "status", F.col("status")), cell("registry", "promotion_status", F.col("promotion_status")), cell("coverage", "coverage_status", F.col("coverage_status")), cell("availability", "price_rows", F.coalesce("price_rows", F.lit(0))), cell("window", "last_date", F.col("last_date")))
+    return rows.select("ticker", F.explode(cells).alias("c"), F.array_join(warnings, ",").alias("warnings")).select("ticker", "c.*", "warnings")

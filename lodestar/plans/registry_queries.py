@@ -159,3 +159,39 @@ def et10_sector_weights(spark, sf):
     total = F.sum("l_quantity")
     wide = a.table(spark, sf, "lineitem").groupBy(F.concat(F.lit("E"), "l_suppkey").alias("etf_ticker")).agg(*((F.sum(F.when(F.col("l_returnflag") == flag, F.col("l_quantity"))) / total).alias(flag.lower()) for flag in "RAN"))
     return statements.weights_by_sector(wide, "etf_ticker")
+
+
+@query(
+    """, f AS (SELECT etf_ticker, holding_symbol, weight, 'K' || (substr(holding_symbol, 2)::BIGINT % 25) AS listing_key FROM holdings WHERE etf_ticker LIKE '%2' OR etf_ticker LIKE '%5')
+SELECT etf_ticker, holding_symbol, round(weight, 6) AS weight FROM holdings WHERE etf_ticker NOT LIKE '%2' AND etf_ticker NOT LIKE '%5' UNION ALL SELECT etf_ticker, holding_symbol, round(weight, 6) FROM (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY etf_ticker, listing_key ORDER BY round(weight, 9) DESC, holding_symbol) = 1)""",
+    a.HOLDINGS,
+)
+def et2_replaced_holdings(spark, sf):
+    rows = a.holdings(spark, sf).select("etf_ticker", "holding_symbol", F.round("weight", 9).alias("weight"))
+    fresh = rows.where("etf_ticker LIKE '%2' OR etf_ticker LIKE '%5'").withColumn("listing_key", F.concat(F.lit("K"), F.substring("holding_symbol", 2, 20).cast("long") % 25))
+    return registry.replaced_holdings(rows, fresh)
+
+
+@query("SELECT 'E' || (c_custkey % 20) AS etf_ticker, count(*) AS n, count(*) FILTER (c_custkey % 3 <> 1) AS changed, count(*) FILTER (c_custkey % 3 <> 1) AS numeric_before, 0::BIGINT AS numeric_after, 0::BIGINT AS missing FROM customer GROUP BY ALL")
+def et11_renormalised_holdings(spark, sf):
+    k = F.col("c_custkey")
+    name = F.when(k % 3 == 0, (1 + k % 900).cast("string")).when(k % 3 == 1, F.concat(F.lit("Q"), k)).otherwise((5000 + k % 900).cast("string"))
+    return registry.renormalised_holdings(a.table(spark, sf, "customer").select(F.concat(F.lit("E"), k % 20).alias("etf_ticker"), name.alias("holding_symbol"), F.when(k % 3 == 0, "HK").when(k % 3 == 1, "US").otherwise("TW").alias("holding_country")))
+
+
+@query("SELECT 'C' || o_custkey AS symbol, o_orderdate::DATE AS date, round(o_totalprice, 6) AS close, round(CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice / 2 ELSE o_totalprice END, 6) AS adj_close, o_orderkey::DOUBLE AS volume FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 7 <> 0")
+def mk19_canonical_prices(spark, sf):
+    k, p = F.col("o_orderkey"), F.col("o_totalprice")
+    raw = a.table(spark, sf, "orders").select(F.concat(F.lit(" c"), "o_custkey").alias("Ticker"), F.when(k % 7 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("Date"), F.when(F.col("o_orderstatus") != "P", p).alias("Close"), F.when(k % 3 == 0, p / 2).alias("Adj Close"), k.alias("Volume"))
+    return registry.canonical_prices(raw, {"symbol": ("symbol", "Ticker"), "date": ("Date", "Datetime"), "close": ("Close",), "adj_close": ("Adj Close",), "volume": ("Volume",)})
+
+
+@query(
+    """, r AS (SELECT ticker, any_value(status) AS status, any_value(promotion_status) AS promotion_status, any_value(CASE WHEN nation % 2 = 0 THEN 'fresh' END) AS cs FROM registry GROUP BY ticker), l AS (SELECT symbol AS ticker, count(*) AS n, max(date) AS d FROM prices GROUP BY ALL)
+SELECT ticker, unnest(['registry', 'registry', 'coverage', 'availability', 'window']) AS section, unnest(['status', 'promotion_status', 'coverage_status', 'price_rows', 'last_date']) AS key, unnest([status, promotion_status, cs, coalesce(n, 0)::VARCHAR, d::VARCHAR]) AS value,
+concat_ws(',', CASE WHEN cs IS NULL THEN 'coverage_row_missing' END, CASE WHEN n IS NULL THEN 'market_prices_missing' END, CASE WHEN d < DATE '2001-10-20' THEN 'market_prices_stale' END) AS warnings FROM r LEFT JOIN l USING (ticker)""",
+    a.PRICES, a.REGISTRY,
+)
+def mk17_snapshot_report(spark, sf):
+    rows = a.registry(spark, sf)
+    return registry.snapshot_report(rows.select("ticker", "status", "promotion_status"), rows.where("nation % 2 = 0").select("ticker", F.lit("fresh").alias("coverage_status")), a.prices(spark, sf), "2001-10-20")
