@@ -205,9 +205,10 @@ def canonical_prices(raw: DataFrame, aliases: dict[str, tuple[str, ...]]) -> Dat
 
 
 def snapshot_report(registered: DataFrame, coverage: DataFrame, prices: DataFrame, stale_before: str) -> DataFrame:
-    """(ticker, section, key, value) of each registered ticker and its warnings: no coverage, no prices, or prices that ended before a day."""
+    """(ticker, section, key, value) of each registered ticker and its warnings: no coverage, no prices, or prices that ended before a day. Of repeated rows of a ticker the smallest value counts."""
     last = prices.groupBy(F.col("symbol").alias("ticker")).agg(F.count("*").alias("price_rows"), F.max("date").alias("last_date"))
-    rows = registered.join(coverage, "ticker", "left").join(last, "ticker", "left")
+    one = lambda df, *columns: df.groupBy("ticker").agg(*(F.min(c).alias(c) for c in columns))
+    rows = one(registered, "status", "promotion_status").join(one(coverage, "coverage_status"), "ticker", "left").join(last, "ticker", "left")
     warnings = F.array_compact(F.array(F.when(F.col("coverage_status").isNull(), "coverage_row_missing"), F.when(F.col("price_rows").isNull(), "market_prices_missing"), F.when(F.col("last_date") < F.lit(stale_before).cast("date"), "market_prices_stale")))
     cell = lambda section, key, value: F.struct(F.lit(section).alias("section"), F.lit(key).alias("key"), value.cast("string").alias("value"))
     cells = F.array(cell("registry", "status", F.col("status")), cell("registry", "promotion_status", F.col("promotion_status")), cell("coverage", "coverage_status", F.col("coverage_status")), cell("availability", "price_rows", F.coalesce("price_rows", F.lit(0))), cell("window", "last_date", F.col("last_date")))

@@ -45,7 +45,7 @@ def rg6_best_candidates(spark, sf):
 
 
 @query(
-    """, x AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 11 = 0 THEN lpad(c_custkey::VARCHAR, 7, '1') || 'A' ELSE 'L' || c_custkey END AS symbol, c_custkey % 2 = 0 AS av, c_custkey % 6 = 1 AS rej, c_custkey % 12 = 1 AS allrej, c_custkey % 5 = 0 AS cov, CASE WHEN c_custkey % 4 = 0 THEN 0 ELSE c_custkey % 60 END AS p, CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 4 ELSE 0 END AS t, CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE 0 END AS s, CASE WHEN c_custkey % 13 = 0 THEN 'L' || (c_custkey + 1) END AS sup FROM customer),
+    """, x AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 11 = 0 THEN lpad(c_custkey::VARCHAR, 9, '0') || 'A' ELSE 'L' || c_custkey END AS symbol, c_custkey % 2 = 0 AS av, c_custkey % 6 = 1 AS rej, c_custkey % 12 = 1 AS allrej, c_custkey % 5 = 0 AS cov, CASE WHEN c_custkey % 4 = 0 THEN 0 ELSE c_custkey % 60 END AS p, CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 4 ELSE 0 END AS t, CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE 0 END AS s, CASE WHEN c_custkey % 13 = 0 THEN 'L' || (c_custkey + 1) END AS sup FROM customer),
 i AS (SELECT *, CASE WHEN k % 11 = 0 THEN CASE WHEN p = 0 AND t = 0 AND s = 0 THEN CASE WHEN allrej AND NOT cov THEN 'already_cleaned' ELSE 'invalid_placeholder' END END WHEN sup IS NOT NULL THEN CASE WHEN allrej AND NOT cov THEN 'already_cleaned' ELSE 'superseded_alias' END
  WHEN av AND p = 0 AND t = 0 AND s = 0 THEN 'active_validated_without_materialized_data' WHEN rej AND p > 0 AND t > 0 THEN 'rejected_shadow_row_with_tracked_canonical' WHEN p > 0 AND t > 0 AND s = 0 THEN 'repairable_missing_scorecard' WHEN p > 0 AND t = 0 THEN CASE WHEN k % 17 = 0 OR p >= 30 THEN 'repairable_missing_technicals' ELSE 'partial_keep_review' END END AS issue_class FROM x)
 SELECT symbol, issue_class, CASE issue_class WHEN 'superseded_alias' THEN 'mark_superseded_alias_and_clear_stale_coverage' WHEN 'rejected_shadow_row_with_tracked_canonical' THEN 'suppress_from_readiness_error_audit' WHEN 'repairable_missing_scorecard' THEN 'trigger_targeted_scorecard_build' WHEN 'repairable_missing_technicals' THEN 'trigger_technical_backfill_then_scorecard_build' WHEN 'partial_keep_review' THEN 'leave_partial_source_only_for_manual_review' WHEN 'already_cleaned' THEN 'no_action' ELSE 'reject_deactivate_registry_rows_and_clear_stale_coverage' END AS proposed_action, CASE WHEN k % 13 = 0 THEN sup END AS superseded_by FROM i WHERE issue_class IS NOT NULL""",
@@ -53,7 +53,7 @@ SELECT symbol, issue_class, CASE issue_class WHEN 'superseded_alias' THEN 'mark_
 )
 def rd3_cleanup_plan(spark, sf):
     k = F.col("c_custkey")
-    c = a.table(spark, sf, "customer").withColumn("symbol", F.when(k % 11 == 0, F.concat(F.lpad(k.cast("string"), 7, "1"), F.lit("A"))).otherwise(F.concat(F.lit("L"), k)))
+    c = a.table(spark, sf, "customer").withColumn("symbol", F.when(k % 11 == 0, F.concat(F.lpad(k.cast("string"), 9, "0"), F.lit("A"))).otherwise(F.concat(F.lit("L"), k)))
     contexts = c.select(
         "symbol", (k % 2 == 0).alias("active_validated"), (k % 6 == 1).alias("rejected"), (k % 12 == 1).alias("all_rejected"), (k % 5 == 0).alias("has_coverage"), F.when(k % 4 == 0, 0).otherwise(k % 60).alias("price_rows"), F.when(k % 3 == 0, k % 4).alias("technical_rows"), F.when(k % 7 == 0, 1).alias("scorecard_rows"))
     return registry.cleanup_plan(contexts, c.where(k % 13 == 0).select("symbol", F.concat(F.lit("L"), k + 1).alias("superseded_by")), c.where(k % 17 == 0))
@@ -163,11 +163,11 @@ def et10_sector_weights(spark, sf):
 
 @query(
     """, f AS (SELECT etf_ticker, holding_symbol, weight, 'K' || (substr(holding_symbol, 2)::BIGINT % 25) AS listing_key FROM holdings WHERE etf_ticker LIKE '%2' OR etf_ticker LIKE '%5')
-SELECT etf_ticker, holding_symbol, round(weight, 6) AS weight FROM holdings WHERE etf_ticker NOT LIKE '%2' AND etf_ticker NOT LIKE '%5' UNION ALL SELECT etf_ticker, holding_symbol, round(weight, 6) FROM (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY etf_ticker, listing_key ORDER BY round(weight, 9) DESC, holding_symbol) = 1)""",
+SELECT etf_ticker, holding_symbol, round(weight, 6) AS weight FROM holdings WHERE etf_ticker NOT LIKE '%2' AND etf_ticker NOT LIKE '%5' UNION ALL SELECT etf_ticker, holding_symbol, round(weight, 6) FROM (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY etf_ticker, listing_key ORDER BY weight DESC, holding_symbol) = 1)""",
     a.HOLDINGS,
 )
 def et2_replaced_holdings(spark, sf):
-    rows = a.holdings(spark, sf).select("etf_ticker", "holding_symbol", F.round("weight", 9).alias("weight"))
+    rows = a.holdings(spark, sf).select("etf_ticker", "holding_symbol", "weight")
     fresh = rows.where("etf_ticker LIKE '%2' OR etf_ticker LIKE '%5'").withColumn("listing_key", F.concat(F.lit("K"), F.substring("holding_symbol", 2, 20).cast("long") % 25))
     return registry.replaced_holdings(rows, fresh)
 
@@ -187,7 +187,7 @@ def mk19_canonical_prices(spark, sf):
 
 
 @query(
-    """, r AS (SELECT ticker, any_value(status) AS status, any_value(promotion_status) AS promotion_status, any_value(CASE WHEN nation % 2 = 0 THEN 'fresh' END) AS cs FROM registry GROUP BY ticker), l AS (SELECT symbol AS ticker, count(*) AS n, max(date) AS d FROM prices GROUP BY ALL)
+    """, r AS (SELECT ticker, min(status) AS status, min(promotion_status) AS promotion_status, min(CASE WHEN nation % 2 = 0 THEN 'fresh' END) AS cs FROM registry GROUP BY ticker), l AS (SELECT symbol AS ticker, count(*) AS n, max(date) AS d FROM prices GROUP BY ALL)
 SELECT ticker, unnest(['registry', 'registry', 'coverage', 'availability', 'window']) AS section, unnest(['status', 'promotion_status', 'coverage_status', 'price_rows', 'last_date']) AS key, unnest([status, promotion_status, cs, coalesce(n, 0)::VARCHAR, d::VARCHAR]) AS value,
 concat_ws(',', CASE WHEN cs IS NULL THEN 'coverage_row_missing' END, CASE WHEN n IS NULL THEN 'market_prices_missing' END, CASE WHEN d < DATE '2001-10-20' THEN 'market_prices_stale' END) AS warnings FROM r LEFT JOIN l USING (ticker)""",
     a.PRICES, a.REGISTRY,
