@@ -38,14 +38,19 @@ def fingerprint(text: str | None, width: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
-    """The id and fp, the fingerprint as a signed long. Null and empty texts have fingerprint 0."""
+    """The id, fp, the fingerprint as a signed long, and text_hash. Null and empty texts have fingerprint 0."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), width) for t in batch.column(text_col)], "u8")
-            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(fps.view(np.int64))], names=[id_col, "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(fps.view(np.int64)), batch.column("text_hash")], names=[id_col, "fp", "text_hash"])
 
-    return docs.select(id_col, text_col).mapInArrow(of, StructType([docs.schema[id_col], StructField("fp", LongType())]))
+    schema = StructType([docs.schema[id_col], StructField("fp", LongType()), StructField("text_hash", LongType())])
+    return docs.select(id_col, text_col, text_hash(text_col).alias("text_hash")).mapInArrow(of, schema)
+
+
+def text_hash(text_col: str = "text") -> Column:
+    return F.xxhash64(F.coalesce(text_col, F.lit("")))
 
 
 def grow(fp: np.ndarray, tree: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -162,8 +167,7 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFra
     rows stay; other columns are ignored; an empty table gives no rows.
     """
     fps = cut(fingerprints(docs, width=width), "fingerprints")
-    nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    joined = connected_components(linked(nodes.select("fp"), radius)).withColumnsRenamed({"node": "fp", "component": "root"})
+    nodes, joined = fingerprint_components(fps, radius)
     members = cut(nodes.join(joined, "fp"), "members")
     least = cut(members.groupBy("root").agg(F.min("least").alias("component_id")), "least-ids")
     found = members.join(least, "root").select("fp", "component_id")
@@ -171,15 +175,31 @@ def near_duplicates(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFra
     return fps.join(known, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def fingerprint_components(fps: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct fingerprints with their least doc_id, and fp and root of those that are linked."""
+    nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    return nodes, connected_components(linked(nodes.select("fp"), radius)).withColumnsRenamed({"node": "fp", "component": "root"})
+
+
 def keep_one(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFrame:
-    """The rows of docs, all columns, without those whose doc_id is not its component's smallest.
+    """One row of docs, all columns, for each component of near_duplicates (see keep_rows)."""
+    fps = cut(fingerprints(docs, width=width), "fingerprints")
+    joined = fingerprint_components(fps, radius)[1]
+    return keep_rows(docs, fps.withColumnRenamed("fp", "node"), joined.select(F.col("fp").alias("node"), F.col("root").alias("component")))
+
+
+def keep_rows(docs: DataFrame, rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """One row of docs for each component: that of the smallest doc_id (no id comes last), then of the smallest text hash.
 
-    Rows that repeat a kept doc_id give one row, that of the smallest text hash; rows without a doc_id stay.
+    rows: doc_id, text_hash and node of every row; joined: node and component of the linked nodes, any other is a component of its
+    own. Rows are known by id and text hash, so an id may stand on different texts. Rows alike in both give one, chosen by a hash.
     """
-    rows = cut(near_duplicates(docs, radius, width).select("doc_id", "component_id"), "near-duplicates")
-    dropped = rows.where("doc_id <> component_id").select("doc_id").distinct()
-    repeated = cut(rows.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
-    left = docs.join(dropped, "doc_id", "left_anti")
-    first = F.min_by(F.struct(*docs.columns), F.xxhash64(F.coalesce("text", F.lit("")))).alias("row")
-    one = left.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(first).select("row.*")
-    return left.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(one)
+    first = lambda key: F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "n")).alias(key)
+    known = rows.groupBy("doc_id", "text_hash", "node").agg(F.count("*").alias("n"))
+    nodes = cut(known.groupBy("node").agg(first("k")).select("node", "k.doc_id", "k.text_hash", "k.n"), "node-rows")
+    placed = nodes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    kept = cut(placed.groupBy("component").agg(first("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash"), F.col("k.n").alias("_n")), "kept-rows")
+    found = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]) & (text_hash("text") == kept["_hash"]))
+    hashed = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    one = found.where("_n > 1").groupBy("_id", "_hash").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*hashed)).alias("row")).select("row.*")
+    return found.where("_n = 1").select(docs.columns).unionByName(one)
