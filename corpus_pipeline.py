@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import decontaminate, language, packing, secrets, simhash
+from lodestar.llm import decontaminate, language, packing, secrets, shingles
 from lodestar.llm.common import cut
 from lodestar.llm.queries import table, tokenizer
 
@@ -20,8 +20,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that of the smallest doc_id."""
-    return simhash.keep_one(docs)
+    """One document of each group of near copies, linked by five-word shingles of similarity 0.8 or more: that of the smallest doc_id."""
+    return shingles.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

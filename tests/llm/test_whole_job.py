@@ -1,15 +1,61 @@
 """Cases where an operator once did less than its whole job."""
 
+from itertools import combinations
 
+import numpy as np
 import pytest
 
-from lodestar.llm import simhash
+from lodestar.llm import shingles, simhash
+
+DATA = "/root/testdata/sf0.01"
+
+
+# --- near copies by shingles
+
+
+def plain_shingles(text):
+    words = (text or "").lower().encode().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_kept(items, least=0.8):
+    """The smallest id of each component of (id, text) items."""
+    sets, root = [plain_shingles(t) for _, t in items], list(range(len(items)))
+    find = lambda i: i if root[i] == i else find(root[i])
+    for a, b in combinations(range(len(items)), 2):
+        if (len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])) and bool(sets[a]) == bool(sets[b]):
+            root[find(a)] = find(b)
+    return {min(i for k, (i, _) in enumerate(items) if find(k) == r) for r in {find(k) for k in range(len(items))}}
+
+
+@pytest.mark.parametrize("part", [1 << 19, 150])
+def test_pipeline_drops_near_copies_of_similarity_08(spark, monkeypatch, part):
+    import corpus_pipeline
+
+    monkeypatch.setattr(shingles, "PART", part)
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    items = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    kept = {r[0] for r in corpus_pipeline.near_dedup(spark, docs, DATA).select("doc_id").collect()}
+    assert kept == plain_kept(items)
+    # Alike at 0.81 and 0.84, but more than 4 bits apart.
+    assert {709, 643} <= kept and not {944, 770} & kept
+
+
+def test_links_join_what_all_pairs_join():
+    rng = np.random.default_rng(4)
+    base = [rng.integers(0, 2**62, 60).astype(np.uint64) for _ in range(4)]
+    sets = [np.unique(np.r_[base[i % 3 if i % 2 else 3][rng.permutation(60)[: 60 - i % 9]], rng.integers(0, 2**62, i % 5).astype(np.uint64)]) for i in range(120)]
+    want = [(i, j) for i, j in combinations(range(120), 2) if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))]
+    from lodestar.llm.common import components
+
+    a, b = np.array(want).T
+    assert (components(120, *shingles.links(sets)) == components(120, a, b)).all()
 
 
 # --- rows that share an id, or have none
 
 
-@pytest.mark.parametrize("keep_one", [simhash.keep_one])
+@pytest.mark.parametrize("keep_one", [simhash.keep_one, shingles.keep_one])
 def test_one_row_of_each_component_is_kept_by_row(spark, keep_one):
     say = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
     items = [(1, say(0)), (5, say(0)), (5, say(1)), (5, say(2)), (5, say(2)), (9, say(2)), (None, say(3)), (None, say(3)), (None, say(1)), (None, say(4)), (7, None), (8, " "), (None, "")]
