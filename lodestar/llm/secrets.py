@@ -22,8 +22,8 @@ KINDS = (*BASE, "random")
 #: Characters of the models; strings that are compared, and by how much a character must be likelier in random strings on average.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
 CANDIDATE, MARGIN = r"[A-Za-z0-9+/_-]{20,}", 1.0
-#: Documents whose identifiers teach the ordinary model, about; strings that teach the random one; pairs that each model has seen of every kind before.
-FIT_DOCS, FIT_STRINGS, PRIOR = 2000, 2000, 0.5
+#: Strings that teach the random model; pairs that each model has seen of every kind before.
+FIT_STRINGS, PRIOR = 2000, 0.5
 
 SPAN = "array<struct<start:int,rank:int,end:int>>"
 
@@ -34,8 +34,9 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 def pair_counts(strings: DataFrame) -> Counter:
     """How often each pair of characters of ALPHABET stands together in strings (one column s): at most len(ALPHABET) ** 2 rows reach the driver."""
-    pairs = strings.select(F.split("s", "").alias("c")).where("size(c) > 1").select(F.explode(F.transform(F.sequence(F.lit(1), F.size("c") - 1), lambda i: F.concat(F.element_at("c", i), F.element_at("c", i + 1)))).alias("pair"))
-    return Counter({r[0]: r[1] for r in pairs.groupBy("pair").count().where(F.col("pair").rlike("^[A-Za-z0-9+/_-]{2}$")).collect()})
+    known = strings.groupBy("s").agg(F.count("*").alias("n"))
+    pairs = known.select("n", F.split("s", "").alias("c")).where("size(c) > 1").select("n", F.explode(F.transform(F.sequence(F.lit(1), F.size("c") - 1), lambda i: F.concat(F.element_at("c", i), F.element_at("c", i + 1)))).alias("pair"))
+    return Counter({r[0]: r[1] for r in pairs.groupBy("pair").agg(F.sum("n")).where(F.col("pair").rlike("^[A-Za-z0-9+/_-]{2}$")).collect()})
 
 
 def transitions(counts: Counter) -> list[float]:
@@ -51,13 +52,14 @@ def random_strings(spark, n: int = FIT_STRINGS) -> DataFrame:
     return spark.range(n).select(F.explode(F.array(F.regexp_replace(F.base64(F.unhex(digest)), "=", ""), digest, upper)).alias("s"))
 
 
-def ordinary_strings(docs: DataFrame, most: int = FIT_DOCS) -> DataFrame:
-    """Labelled samples of the ordinary class: identifiers of letters, _ and - in about `most` texts, chosen by a hash of the text.
+def ordinary_strings(docs: DataFrame, most: int | None = None) -> DataFrame:
+    """The ordinary class: identifiers of letters, _ and - in all texts, each text taken once, so that no group of copies outweighs the others.
 
-    The share comes from the number of documents and each text is taken once, so the sample is bounded at any size and by any
-    group of copies.
+    With `most`, in about so many of the distinct texts, chosen by a hash of the text.
     """
-    picked = docs.where(hash_share(F.xxhash64("text"), most / max(1, docs.count()))).select("text").distinct()
+    picked = docs.select("text").distinct()
+    if most is not None:
+        picked = picked.where(hash_share(F.xxhash64("text"), most / max(1, picked.count())))
     words = picked.select(F.explode(F.split("text", r"[^A-Za-z0-9+/_-]+")).alias("s"))
     return words.where(F.col("s").rlike("^(?:[A-Za-z]?[a-z_-]+|[A-Z_-]+){1,3}$") & (F.length("s") >= 3))
 

@@ -4,8 +4,9 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from lodestar.llm import shingles, simhash
+from lodestar.llm import secrets, shingles, simhash
 
 DATA = "/root/testdata/sf0.01"
 
@@ -64,3 +65,15 @@ def test_one_row_of_each_component_is_kept_by_row(spark, keep_one):
     want = [(1, say(0)), (5, say(1)), (5, say(2)), (7, None), (None, say(3)), (None, say(4))]
     assert got.columns == df.columns and sorted((tuple(r)[:2] for r in got.collect()), key=str) == sorted(want, key=str)
     assert keep_one(df.limit(0)).collect() == []
+
+
+# --- the ordinary class
+
+
+def test_ordinary_model_counts_all_texts(spark):
+    docs = spark.range(2500).select(F.concat(F.lit("qz "), F.col("id").cast("string")).alias("text"))
+    copies = spark.range(20000).select(F.lit("some shared words").alias("text"))
+    # Identifiers have at least three letters, so each text is given one.
+    docs = docs.select(F.concat(F.lit("qzv "), "text").alias("text"))
+    counts = secrets.pair_counts(secrets.ordinary_strings(docs.unionAll(copies)))
+    assert counts["qz"] == 2500 and counts["sh"] == 1
