@@ -76,7 +76,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, grains: tuple[int, ..
         for batch in batches:
             row, out = [], []
             for i, text in enumerate(batch.column("text")):
-                ids = np.concatenate([encode(text.as_py() or "", disallowed_special=()), end]).astype("<u4")
+                ids = np.concatenate([encode(text.as_py() or "", allowed_special="all"), end]).astype("<u4")
                 n = len(ids)
                 cuts = list(range(0, n, capacity))
                 if 4 * sum(grains) < n - cuts[-1] < capacity:

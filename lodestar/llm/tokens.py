@@ -26,19 +26,26 @@ LEAF = 512
 
 @lru_cache(maxsize=2)
 def encoder(path: str):
-    """The encoder of a byte-level BPE file; strings of special tokens in a text are ordinary text."""
+    """The encoder of a byte-level BPE file, with the file's added tokens."""
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
     byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
-    special = {t["content"] for t in spec["added_tokens"]}
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    if any(t.get(k) for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")) or any(re.search(r"\s", t) for t in special):
+        raise ValueError("added tokens with white space or with rules of their own are not supported")
     ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
-#: A space between two characters that aren't space: no pre-token ever reaches across its left side.
+def encode(path: str, text: str) -> list[int]:
+    """The ids that the tokenizers library gives with add_special_tokens=False: a string of an added token in the text is that token."""
+    return encoder(path).encode(text, allowed_special="all")
+
+
+#: A space between two characters that aren't space: no pre-token and no added token ever reaches across its left side.
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -126,14 +133,13 @@ def build_trees(docs: DataFrame, tokenizer: str, text_col: str = "text") -> Data
     docs = docs.select(*keep)
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode_ordinary
         for batch in batches:
             chars, tokens = [], []
             for text in batch.column(text_col):
                 text, at, c, t = text.as_py() or "", 0, [], []
                 for end in leaf_ends(text):
                     c.append(end - at)
-                    t.append(len(encode(text[at:end])))
+                    t.append(len(encode(tokenizer, text[at:end])))
                     at = end
                 chars.append(c)
                 tokens.append(t)
@@ -150,12 +156,11 @@ def apply_edits(trees: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     """
 
     def recounted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode_ordinary
         for batch in batches:
             rows = []
             for text, edits, chars, tokens in zip(*(batch.column(c).to_pylist() for c in (text_col, edits_col, "leaf_chars", "leaf_tokens")), strict=True):
                 todo = clean_edits(edits, len(text or ""))
-                rows.append({"n_edits": len(todo), **recount(text or "", chars or [], tokens or [], todo, lambda s: len(encode(s)))})
+                rows.append({"n_edits": len(todo), **recount(text or "", chars or [], tokens or [], todo, lambda s: len(encode(tokenizer, s)))})
             get = lambda k, t: pa.array([r[k] for r in rows], t)
             ints = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(id_col), batch.column("n_tokens"), get("n_edits", pa.int64()), get("n_chars", pa.int64()), get("n_tokens", pa.int64()), get("encoded", pa.int64()), get("chars", ints), get("tokens", ints)], names=[f.name for f in schema])

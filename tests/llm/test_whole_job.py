@@ -1,12 +1,13 @@
 """Cases where an operator once did less than its whole job."""
 
+import zlib
 from itertools import combinations
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestar.llm import secrets, shingles, simhash
+from lodestar.llm import packing, queries, secrets, shingles, simhash, tokens
 
 DATA = "/root/testdata/sf0.01"
 
@@ -77,3 +78,25 @@ def test_ordinary_model_counts_all_texts(spark):
     docs = docs.select(F.concat(F.lit("qzv "), "text").alias("text"))
     counts = secrets.pair_counts(secrets.ordinary_strings(docs.unionAll(copies)))
     assert counts["qz"] == 2500 and counts["sh"] == 1
+
+
+# --- added tokens
+
+
+def test_added_tokens_in_a_text_have_their_ids(spark):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer()
+    plain = Tokenizer.from_file(path)
+    reference = lambda s: plain.encode(s, add_special_tokens=False).ids
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n y", "<|endoftext", "word " * 200 + "a<|endoftext|> b " + "word " * 200]
+    for text in texts:
+        assert tokens.encode(path, text) == reference(text)
+    assert 50256 in reference(texts[0])
+    df = spark.createDataFrame([(i, t, [(0, 1, "<|endoftext|> ")]) for i, t in enumerate(texts)], "doc_id long, text string, edits array<struct<start:int,end:int,replacement:string>>")
+    packed = {r["doc_id"]: r for r in packing.pack_documents(df, path).collect()}
+    counted = {r["doc_id"]: r for r in tokens.apply_edits(tokens.build_trees(df, path), path).collect()}
+    for i, text in enumerate(texts):
+        ids = np.array([*reference(text), 1], "<u4")
+        assert (packed[i]["doc_tokens"], packed[i]["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
+        assert (counted[i]["n_tokens"], counted[i]["n_tokens_edited"]) == (len(ids) - 1, len(reference("<|endoftext|> " + text[1:])))
