@@ -111,11 +111,16 @@ class Machine:
 def labelled(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> DataFrame:
     """label, text, n_chars of at most about `most` labelled rows: all, or those with the smallest hashes of their id.
 
-    The share is taken from the number of labels, so the sample is bounded at any size. Labels other than 0 and 1 and null ids are left out.
+    The share is taken from the number of distinct labels, so the sample is bounded at any size. An id that stands on several rows
+    gives one, that of the smallest hash of its text and n_chars, so neither copies of an id nor labels that repeat outweigh others;
+    ids with both labels teach both. Labels other than 0 and 1 and null ids are left out.
     """
-    known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality")
-    picked = known.where(hash_share(F.xxhash64("doc_id"), most / max(1, known.count()))).limit(2 * most)
-    return docs.join(F.broadcast(picked), "doc_id").select("doc_id", F.col("quality").cast("double").alias("label"), "text", "n_chars")
+    known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality").distinct()
+    by = F.xxhash64("doc_id")
+    picked = known.where(hash_share(by, most / max(1, known.count()))).orderBy(by, "doc_id", "quality").limit(2 * most)
+    found = docs.join(F.broadcast(picked.select("doc_id").distinct()), "doc_id", "left_semi").select("doc_id", "text", "n_chars")
+    one = found.groupBy("doc_id").agg(F.min_by(F.struct("text", "n_chars"), F.struct(F.xxhash64("text", "n_chars"), "text", "n_chars")).alias("row"))
+    return one.join(F.broadcast(picked), "doc_id").select("doc_id", F.col("quality").cast("double").alias("label"), "row.text", "row.n_chars")
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Machine:

@@ -1,13 +1,14 @@
 """Cases where an operator once did less than its whole job."""
 
 import zlib
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestar.llm import packing, queries, secrets, shingles, simhash, tokens
+from lodestar.llm import packing, quality, queries, secrets, shingles, simhash, tokens
 
 DATA = "/root/testdata/sf0.01"
 
@@ -100,3 +101,15 @@ def test_added_tokens_in_a_text_have_their_ids(spark):
         ids = np.array([*reference(text), 1], "<u4")
         assert (packed[i]["doc_tokens"], packed[i]["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
         assert (counted[i]["n_tokens"], counted[i]["n_tokens_edited"]) == (len(ids) - 1, len(reference("<|endoftext|> " + text[1:])))
+
+
+# --- the labelled sample
+
+
+def test_an_id_on_many_rows_teaches_once(spark):
+    docs = spark.range(500).select(F.when(F.col("id") < 400, 1).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit(9).alias("n_chars"))
+    labels = spark.range(500).select(F.when(F.col("id") < 50, 1).otherwise(F.col("id")).alias("doc_id"), F.lit(1).alias("quality"))
+    got = Counter(r["doc_id"] for r in quality.labelled(docs, labels).collect())
+    assert set(got) == {1, *range(400, 500)} and set(got.values()) == {1}
+    few = [[tuple(r) for r in quality.labelled(docs.repartition(n, "text"), labels.repartition(n, "doc_id")).orderBy("doc_id").collect()] for n in (2, 7)]
+    assert few[0] == few[1]
