@@ -14,19 +14,46 @@ BLOCK = 256
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a folder of our own only where that is unset."""
+    """The folder all executors share, from spark.checkpoint.dir. Only a local session without one gets a folder of its own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lodestar-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: later stages start from files that survive a lost executor."""
+#: Folders that this process has written, for clear().
+_WRITTEN: list[str] = []
+
+
+def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write df to the shared folder and read it back; the frame and its folder."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """df from files in the shared folder: later stages start from what survives a lost executor."""
+    return store(df, name)[0]
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove folders that no result reads any more."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        if path in _WRITTEN:
+            _WRITTEN.remove(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove all that store(), cut() and the archives wrote in this process. Call it when the results are written or no longer needed."""
+    discard(spark, *_WRITTEN)
 
 
 def crc_remainder(col: str, n: int) -> Column:
@@ -67,15 +94,23 @@ def running(values: Column, first: Column, step: Callable[[Column, Column], Colu
     return F.when(F.size(values) > 0, out).otherwise(F.slice(F.array(first), 1, 0))
 
 
-def spans(text: Column, pattern: str, keep: Callable[[Column], Column] | None = None, group: int = 0) -> Column:
+def spans(text: Column, pattern: str, keep: Callable[[Column], Column] | None = None, match: Column | None = None) -> Column:
     """array<struct<start, end>> (code points, end exclusive) of the pattern's leftmost, non-overlapping matches.
 
-    keep judges the text of one group of each match after the matches are found. The pattern must not match an empty string.
-    split() gives what lies between the matches, so lengths give positions without a UDF.
+    match is all_matches(text, pattern); given as a column of an earlier projection, it is found once. keep judges each match after
+    all are found. split() gives what lies between the matches, so lengths give positions without a UDF; texts without a match are
+    not split.
     """
-    match, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    parts = F.transform(F.arrays_zip(F.slice(gaps, 1, F.size(match)).alias("gap"), match.alias("hit"), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("judged")), lambda z: F.struct(F.length(z["gap"]).alias("gap"), F.length(z["hit"]).alias("hit"), (keep(z["judged"]) if keep else F.lit(True)).alias("ok")))
+    match = all_matches(text, pattern) if match is None else match
+    gaps = F.split(text, pattern, -1)
+    parts = F.transform(F.arrays_zip(F.slice(gaps, 1, F.size(match)).alias("gap"), match.alias("hit")), lambda z: F.struct(F.length(z["gap"]).alias("gap"), F.length(z["hit"]).alias("hit"), (keep(z["hit"]) if keep else F.lit(True)).alias("ok")))
     before = running(F.transform(parts, lambda p: p["gap"] + p["hit"]), F.lit(0), lambda acc, x: acc + x)
     placed = F.transform(F.arrays_zip(parts.alias("p"), before.alias("b")), lambda z: F.struct((z["b"] + z["p"]["gap"]).alias("start"), (z["b"] + z["p"]["gap"] + z["p"]["hit"]).alias("end"), z["p"]["ok"].alias("ok")))
     out = F.transform(F.filter(placed, lambda s: s["ok"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
-    return F.when(text.rlike(pattern), out).otherwise(F.expr("cast(array() as array<struct<start:int,end:int>>)"))
+    return F.when(F.size(match) > 0, out).otherwise(F.expr("cast(array() as array<struct<start:int,end:int>>)"))
+
+
+def all_matches(text: Column, pattern: str, guard: Column | None = None) -> Column:
+    """The text of all matches, in order; none for null. The pattern must not match an empty string. guard: whether there can be a match."""
+    found = F.coalesce(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.expr("cast(array() as array<string>)"))
+    return found if guard is None else F.when(guard, found).otherwise(F.expr("cast(array() as array<string>)"))

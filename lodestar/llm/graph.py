@@ -5,37 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import discard, store
 
-SALTS = 16
+#: Tasks that a heavy node is dealt to. A node is heavy if it has over a MOST_HEAVY-th of all pairs, and at least HEAVY: so at most MOST_HEAVY rows are broadcast.
+SALTS, HEAVY, MOST_HEAVY = 16, 256, 100_000
 
 
-def _with_least(pairs: DataFrame) -> DataFrame:
-    """(u, v, m): each pair with the least of u and all its v. A node of very many pairs is dealt to SALTS tasks."""
-    least = pairs.groupBy("u").agg(F.least("u", F.min("v")).alias("m")).select("u", "m", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    return pairs.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(least, ["u", "salt"])
+def _with_least(pairs: DataFrame, least: DataFrame, heavy: DataFrame) -> DataFrame:
+    """(u, v, m): each pair with m, the least of u and all its v. Only heavy nodes are dealt to SALTS tasks; both sides are shuffled."""
+    dealt = pairs.join(F.broadcast(heavy), "u", "left").select("u", "v", F.when(F.col("heavy"), F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).otherwise(0).alias("salt"))
+    salts = F.when(F.col("heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    spread = least.join(F.broadcast(heavy), "u", "left").select("u", "m", F.explode(salts).alias("salt"))
+    return dealt.join(spread.hint("merge"), ["u", "salt"])
 
 
-def _unfinished(edges: DataFrame) -> bool:
-    """Whether some node has two parents, or is both parent and child."""
+def _state(edges: DataFrame) -> tuple[bool, int]:
+    """Whether some node has two parents, or is both parent and child; and the number of edges."""
     ends = edges.select(F.col("hi").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("parent")).unionAll(edges.select("lo", F.lit(0), F.lit(1)))
     nodes = ends.groupBy("node").agg(F.sum("child").alias("children"), F.max("parent").alias("parent"))
-    return nodes.agg(F.bool_or((F.col("children") > 1) | ((F.col("children") == 1) & (F.col("parent") == 1)))).first()[0] or False
+    found = nodes.agg(F.bool_or((F.col("children") > 1) | ((F.col("children") == 1) & (F.col("parent") == 1))), F.sum("children")).first()
+    return bool(found[0]), found[1] or 0
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of edges (a long, b long); the component is its smallest node.
 
     Edges with a null end, loops and repeats are ignored; an empty table gives an empty one. Each round is written to the
-    shared folder. Rounds are logarithmic in the size of a component; reaching max_rounds raises.
+    shared folder, and the files of the round before are removed. Rounds are logarithmic in the size of a component; reaching
+    max_rounds raises.
     """
+    spark = edges.sparkSession
     ends = edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
-    at = cut(ends.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "components")
+    at, path = store(ends.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "components")
     for _ in range(max_rounds):
-        if not _unfinished(at):
+        unfinished, n = _state(at)
+        if not unfinished:
             return at.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionAll(at.select("lo", "lo").distinct())
         both = at.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(at.select("lo", "hi"))
-        large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small = _with_least(large)
-        at = cut(small.select(F.col("u").alias("hi"), F.col("m").alias("lo")).unionAll(small.where("v <> m").select("v", "m")).distinct(), "components")
+        least, used = store(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n")), "least")
+        # A node has no more pairs in the small star than in both, so the same nodes are heavy.
+        heavy = least.where(F.col("n") > max(HEAVY, 2 * n // MOST_HEAVY)).select("u", F.lit(True).alias("heavy"))
+        large = _with_least(both, least.select("u", "m"), heavy).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        small = _with_least(large, large.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), heavy)
+        before, (at, path) = path, store(small.select(F.col("u").alias("hi"), F.col("m").alias("lo")).unionAll(small.where("v <> m").select("v", "m")).distinct(), "components")
+        discard(spark, before, used)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

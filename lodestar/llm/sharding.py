@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 BUCKETS = 256
 
 
@@ -29,18 +31,21 @@ def assign_shards(df: DataFrame, key: str, weights: Sequence[float], shard_col:
 
 
 def add_slots(df: DataFrame, key: str, n_shards: int, shard_col: str = "shard", slot_col: str = "slot", buckets: int = BUCKETS) -> DataFrame:
-    """df with a number 0, 1, ... without gaps inside each shard.
+    """df with a number 0, 1, ... without gaps inside each shard. A shard outside 0 .. n_shards - 1 is an error, as is null.
 
     Rows are numbered in buckets of a shard and moved up by the rows in the buckets before. The bucket comes from the key and the
-    row's place in its input file, so neither a shard nor a key that holds a third of the rows meets in one task. The bucket counts
-    have at most n_shards * buckets rows, which bounds what is broadcast. Numbers follow no order that callers may rely on.
-    Pass narrow rows: df is shuffled once.
+    row's place in its input file, so neither a shard nor a key that holds a third of the rows meets in one task. Rows and their
+    places are written once, so counting and numbering see the same. Only the counts (n_shards * buckets rows) are shuffled for the
+    join. Numbers follow no order that callers may rely on. Pass narrow rows: df is written and shuffled once.
     """
-    placed = df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_bucket", F.pmod(F.xxhash64(key, "_row"), F.lit(buckets)).cast("int"))
+    outside = F.raise_error(F.concat(F.lit(f"shard outside 0 .. {n_shards - 1}: "), F.coalesce(F.col(shard_col).cast("string"), F.lit("null"))))
+    checked = df.withColumn(shard_col, F.when(F.col(shard_col).between(0, n_shards - 1), F.col(shard_col)).otherwise(outside.cast(df.schema[shard_col].dataType)))
+    rows = checked.withColumn("_row", F.monotonically_increasing_id())
+    placed = cut(rows.withColumn("_bucket", F.pmod(F.xxhash64(key, "_row"), F.lit(buckets)).cast("int")), "placed")
     before = Window.partitionBy(shard_col).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = placed.groupBy(shard_col, "_bucket").count().select(F.col(shard_col), "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
     inside = F.row_number().over(Window.partitionBy(shard_col, "_bucket").orderBy(key, "_row"))
-    numbered = placed.withColumn("_inside", inside).join(F.broadcast(counts.limit(n_shards * buckets)), [shard_col, "_bucket"])
+    numbered = placed.withColumn("_inside", inside).join(counts, [shard_col, "_bucket"])
     return numbered.withColumn(slot_col, F.col("_before") + F.col("_inside") - 1).drop("_row", "_bucket", "_inside", "_before")
 
 

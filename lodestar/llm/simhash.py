@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -21,22 +21,34 @@ CHUNK, TREE, QUERIES = 1 << 16, 1024, 4096
 SHARD = 64
 
 
-def fingerprint(text: str | None, width: int = 4) -> int:
-    """64 bits: 1 where over half the hashes of the word shingles have 1. A-Z count as a-z; words are split at ASCII white space."""
+def shingle_hashes(text: str | None, width: int) -> Iterator[np.ndarray]:
+    """XXH64 of the word shingles, repeats included, at most CHUNK at once. A-Z count as a-z; words are split at ASCII white space.
+
+    A shorter text is one shingle, one without words has none.
+    """
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return
     joined, starts = b" ".join(words), list(accumulate((len(w) + 1 for w in words), initial=0))
-    if len(words) < width:
-        return xxhash.xxh64_intdigest(joined, 42)
-    n, ones = len(words) - width + 1, np.zeros(64, np.int64)
-    for at in range(0, n, CHUNK):
-        end = min(n, at + CHUNK)
-        hashes = np.array([xxhash.xxh64_intdigest(joined[a : z - 1], 42) for a, z in zip(starts[at:end], starts[at + width : end + width], strict=True)], "<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    width = min(width, len(words))
+    for at in range(0, len(words) - width + 1, CHUNK):
+        ends = starts[at + width : at + width + CHUNK]
+        yield np.array([xxhash.xxh64_intdigest(joined[a : z - 1], 42) for a, z in zip(starts[at:], ends)], "<u8")  # noqa: B905
+
+
+def over_half(hashes: Iterable[np.ndarray]) -> int:
+    """64 bits: 1 where over half of all hashes have 1."""
+    n, ones = 0, np.zeros(64, np.int64)
+    for part in hashes:
+        n += len(part)
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
+def fingerprint(text: str | None, width: int = 4) -> int:
+    return over_half(shingle_hashes(text, width))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
     """The id, fp, the fingerprint as a signed long, and text_hash. Null and empty texts have fingerprint 0."""
 
