@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections import defaultdict
-from collections.abc import Iterator
+import bisect
+import uuid
+from collections.abc import Callable, Iterator
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-#: Words in a window; bytes of benchmark text that one block of patterns may hold in the driver and in each Python worker.
-WINDOW, BLOCK_BYTES = 10, 16 << 20
+from .common import cut
+
+#: Words in a window; bytes of memory that the matcher of one block of the benchmark may take in a Python worker, which holds one at a time;
+#: bytes it takes for each word, at most (tests measure them).
+WINDOW, BLOCK_BYTES, WORD_BYTES = 10, 100 << 20, 400
 
 _ASCII = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
@@ -23,61 +28,107 @@ def words(text: str | None) -> list[bytes]:
 
 
 class WuManber:
-    """Finds all occurrences of patterns of one length of words.
+    """Finds all occurrences of patterns of one length of words; patterns are places in one array of word numbers.
 
     The block is the last two words of a window (one for patterns of one word). shift tells how far the window may move when a
-    block is seen; where that is nowhere, the block's bucket lists patterns that end with it, with their first word as a prefix
-    test, and comparing the words confirms an occurrence.
+    block is seen; where that is nowhere, the block's bucket lists the patterns that end with it by their first word, and comparing
+    the words confirms an occurrence.
     """
 
-    def __init__(self, length: int, patterns: dict[tuple[bytes, ...], list[str]]):
-        self.length, self.block = length, min(2, length)
+    def __init__(self, length: int, flat: np.ndarray, starts: np.ndarray, owner: np.ndarray, known: int):
+        self.length, self.block, self.known = length, min(2, length), known
         self.far = length - self.block + 1
-        self.shift: dict[bytes, int] = {}
-        self.bucket: dict[bytes, list] = defaultdict(list)
-        for pattern, items in patterns.items():
-            for end in range(self.block, length + 1):
-                block = b" ".join(pattern[end - self.block : end])
-                self.shift[block] = min(length - end, self.shift.get(block, self.far))
-            self.bucket[b" ".join(pattern[-self.block :])].append((pattern[0], list(pattern), items))
-
-    def search(self, text: list[bytes]) -> Iterator[tuple[int, list[str]]]:
-        """(start, items) of each occurrence, by start."""
-        shift, far, length, at, n = self.shift.get, self.far, self.length, self.length - 1, len(text)
-        pair = self.block == 2
+        view = np.lib.stride_tricks.sliding_window_view(flat, length)[starts]
+        # By block, then word after word, so that equal windows lie together.
+        order = np.lexsort((owner, *(view[:, i] for i in range(length - 1, -1, -1)), *(view[:, i] for i in range(length - self.block, length))))
+        view, owner = view[order], owner[order]
+        new = np.r_[True, (view[1:] != view[:-1]).any(axis=1)] if len(view) else np.zeros(0, bool)
+        pair = np.r_[True, new[1:] | (owner[1:] != owner[:-1])] if len(view) else new
+        at = np.flatnonzero(new)
+        self.start, self.first = starts[order][at], view[at, 0].tolist()
+        self.items = owner[pair]
+        self.item_ends = np.r_[np.cumsum(pair)[at] - 1, len(self.items)]
+        windows = view[at]
+        key = lambda i: windows[:, i - 1].astype(np.int64) * known + windows[:, i] if self.block == 2 else windows[:, i].astype(np.int64)
+        # shift by block: over all places of the block in windows the least distance to the end; nowhere is the bucket's number, negative.
+        keys = [key(end) for end in range(self.block - 1, length)]
+        steps = [np.full(len(at), length - 1 - end, np.int32) for end in range(self.block - 1, length)]
+        all_keys, all_steps = np.concatenate(keys), np.concatenate(steps)
+        by = np.lexsort((all_steps, all_keys))
+        unique, where = np.unique(all_keys[by], return_index=True)
+        least = all_steps[by][where].astype(np.int64)
+        bucket, begin = np.unique(keys[-1], return_index=True)
+        by_begin = np.sort(begin)
+        self.bucket = np.r_[by_begin, len(at)].tolist()
+        number = np.searchsorted(by_begin, begin)
+        least[np.searchsorted(unique, bucket)] = -1 - number
+        self.shift = dict(zip(unique.tolist(), least.tolist(), strict=True))
+        self.flat = flat
+
+    def search(self, text: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+        """(start, numbers of items) of each occurrence, by start. text: word numbers, known for words of no pattern."""
+        shift, far, length, known, n = self.shift.get, self.far, self.length, self.known, len(text)
+        at, pair = length - 1, self.block == 2
         while at < n:
-            block = text[at - 1] + b" " + text[at] if pair else text[at]
-            if step := shift(block, far):
+            b = text[at]
+            step = far if b == known or (pair and text[at - 1] == known) else shift(text[at - 1] * known + b if pair else b, far)
+            if step > 0:
                 at += step
                 continue
-            start = at - length + 1
-            for first, pattern, items in self.bucket[block]:
-                if text[start] == first and text[start : at + 1] == pattern:
-                    yield start, items
+            start, low, high = at - length + 1, self.bucket[-1 - step], self.bucket[-step]
+            low = bisect.bisect_left(self.first, text[start], low, high)
+            high = bisect.bisect_right(self.first, text[start], low, high)
+            if low < high:
+                own = text[start : at + 1]
+                # Windows of a bucket with one first word are in order of their words.
+                i = low + bisect.bisect_left(range(low, high), own, key=lambda i: self.flat[self.start[i] : self.start[i] + length].tolist())
+                if i < high and self.flat[self.start[i] : self.start[i] + length].tolist() == own:
+                    yield start, self.items[self.item_ends[i] : self.item_ends[i + 1]]
             at += 1
 
 
-def matchers(items: list[tuple[str, str | None]], window: int = WINDOW) -> list[WuManber]:
-    """One matcher for each length among the windows of (item id, text): every `window` consecutive words, or all words of a shorter item."""
-    by_length: dict[int, dict[tuple[bytes, ...], list[str]]] = defaultdict(dict)
-    for item, text in items:
-        own = words(text)
-        length = min(window, len(own))
-        for at in range(len(own) - length + 1 if own else 0):
-            found = by_length[length].setdefault(tuple(own[at : at + length]), [])
-            if item not in found[-1:]:
-                found.append(item)
-    return [WuManber(length, patterns) for length, patterns in by_length.items()]
-
-
-def occurrences(text: list[bytes], found_by: list[WuManber]) -> tuple[list[tuple[int, int]], set[str]]:
-    """Word ranges hit (merged, in order) and the items with occurring windows."""
-    hits, items = [], set()
-    for m in found_by:
-        for start, own in m.search(text):
-            hits.append((start, start + m.length))
-            items.update(own)
-    return merged(hits), items
+class Matcher:
+    """All windows of a block of (item id, text): every `window` consecutive words, or all words of a shorter item."""
+
+    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
+        self.ids = sorted({item for item, _ in items})
+        number, vocabulary, flat = {x: i for i, x in enumerate(self.ids)}, {}, []
+        places: dict[int, list[tuple[int, int, int]]] = {}
+        for item, text in items:
+            own = words(text)
+            length = min(window, len(own))
+            if own:
+                places.setdefault(length, []).append((len(flat), len(flat) + len(own) - length + 1, number[item]))
+            flat += [vocabulary.setdefault(w, len(vocabulary)) for w in own]
+        self.vocabulary, self.known = vocabulary, len(vocabulary)
+        numbers = np.array(flat, np.int32)
+        self.found_by = [
+            WuManber(length, numbers, np.concatenate([np.arange(a, z, dtype=np.int32) for a, z, _ in own]), np.concatenate([np.full(z - a, i, np.int32) for a, z, i in own]), self.known)
+            for length, own in sorted(places.items())
+        ]
+
+    def occurrences(self, text: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+        """Word ranges hit (merged, in order) and the items with occurring windows."""
+        hits, items = [], set()
+        if self.found_by:
+            get, known = self.vocabulary.get, self.known
+            numbers = [get(w, known) for w in text]
+            for m in self.found_by:
+                for start, own in m.search(numbers):
+                    hits.append((start, start + m.length))
+                    items.update(own.tolist())
+        return merged(hits), {self.ids[i] for i in items}
+
+
+#: The matcher of the block that this worker searched last.
+_HELD: dict = {}
+
+
+def held_matcher(key: str, items: list[tuple[str, str]], window: int) -> Matcher:
+    if (key, window) not in _HELD:
+        _HELD.clear()
+        _HELD[key, window] = Matcher(items, window)
+    return _HELD[key, window]
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -90,45 +141,82 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[str, str]]] | Iterator:
-    """The benchmark's (item id as text, text) in blocks of about block_bytes. Each is collected alone; none is kept here."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
-    n = 1 + (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes
-    for i in range(n):
-        yield [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).collect()]
+def benchmark_blocks(benchmark: DataFrame, block_bytes: int, window: int = WINDOW) -> tuple[int, Callable[[int], list[tuple[str, str]]]]:
+    """The number of blocks of the benchmark, and block i: (item id as text, words), whose matcher takes at most block_bytes.
+
+    Longer items are cut to pieces that share window - 1 words, so no window is lost. Pieces are dealt to blocks by hash; there are
+    more blocks until none is too large.
+    """
+    block_words = max(64 * window, block_bytes // WORD_BYTES)
+    most = block_words // 16
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for item, text in zip(batch.column("item_id"), batch.column("text"), strict=True):
+                own = words(text.as_py())
+                for at in range(0, max(1, len(own) - window + 1), max(1, most - window + 1)):
+                    part = own[at : at + most]
+                    if part:
+                        out.append((item.as_py(), b" ".join(part).decode("utf-8", "surrogatepass"), len(part)))
+            ids, texts, n = zip(*out, strict=True) if out else ([], [], [])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(texts, pa.string()), pa.array(n, pa.int64())], names=["item_id", "text", "n"])
+
+    known = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), "text")
+    pieces = cut(known.mapInArrow(cut_up, "item_id string, text string, n long").distinct(), "benchmark-pieces")
+    n = -(-(pieces.agg(F.sum("n")).first()[0] or 0) // block_words)
+    by = lambda: F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
+    while n > 1 and (pieces.groupBy(by().alias("b")).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0) > block_words:
+        n = n + 1 + n // 2
+    return n, lambda i: [tuple(r) for r in pieces.where(by() == i).select("item_id", "text").collect()]
+
+
+_SPAN = StructType([StructField("start", LongType()), StructField("end", LongType())])
+_FOUND = StructType([StructField("n_words", LongType()), StructField("hits", ArrayType(_SPAN)), StructField("items", ArrayType(StringType()))])
+_ARROW = (pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.string()))
+
+
+def search_block(docs: DataFrame, block: list[tuple[str, str]], window: int, all_rows: bool) -> DataFrame:
+    """docs with n_words, hits and items of one block; all rows, or those with a hit."""
+    sent, name = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = held_matcher(name, sent.value, window)
+        for batch in batches:
+            rows, own = [], []
+            for i, text in enumerate(batch.column("text")):
+                text = words(text.as_py())
+                hits, items = matcher.occurrences(text)
+                if all_rows or hits:
+                    own.append(i)
+                    rows.append((len(text), [{"start": a, "end": b} for a, b in hits], sorted(items)))
+            found = list(zip(*rows, strict=True)) or [[]] * 3
+            kept = batch if len(own) == len(batch) else batch.take(pa.array(own, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, *(pa.array(v, t) for v, t in zip(found, _ARROW, strict=True))], names=[*batch.schema.names, *_FOUND.names])
+
+    return docs.mapInArrow(search, StructType([*docs.schema.fields, *_FOUND.fields]))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs with n_words, hits (array of word ranges: start, end) and items (sorted array of item ids as strings).
 
-    All of docs goes by each block of the benchmark in turn, within one stage; a block's size is bounded and what it finds is
-    added to the row. Null text has no words; items with null id, null text or no word have no windows; an empty benchmark hits
-    nothing. Columns of docs stay, but for those with the names added.
+    A benchmark whose matcher takes at most block_bytes (WORD_BYTES bytes a word) is one block: the matcher is built once in each
+    worker, and docs go by it in one pass. A larger one has more blocks: docs are written once with a row number, each block is
+    a pass of its own over them, so a worker never holds two, and the passes' hits are put together by row. Null text has no words;
+    items with null id, null text or no word have no windows; an empty benchmark hits nothing. Columns of docs stay, but for those
+    with the names added.
     """
-    own = ("n_words", "hits", "items")
-    span = StructType([StructField("start", LongType()), StructField("end", LongType())])
-    kept = docs.select(*(c for c in docs.columns if c not in own))
-    schema = StructType([*kept.schema.fields, StructField("n_words", LongType()), StructField("hits", ArrayType(span)), StructField("items", ArrayType(StringType()))])
-    hits_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    out = kept.select("*", F.lit(None).cast("long").alias("n_words"), F.lit(None).cast(ArrayType(span)).alias("hits"), F.lit(None).cast("array<string>").alias("items"))
-    spark = docs.sparkSession
-    for block in benchmark_blocks(benchmark, block_bytes):
-        sent = spark.sparkContext.broadcast(block)
-
-        def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            found_by = matchers(sent.value, window)
-            for batch in batches:
-                rows = []
-                for text, hits, items in zip(*(batch.column(c) for c in ("text", "hits", "items")), strict=True):
-                    own = words(text.as_py())
-                    new, named = occurrences(own, found_by)
-                    before = [(h["start"], h["end"]) for h in hits.as_py() or ()]
-                    rows.append((len(own), [{"start": a, "end": b} for a, b in merged(before + new)], sorted(named | set(items.as_py() or ()))))
-                n, hits, items = zip(*rows, strict=True) if rows else ([], [], [])
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-3], pa.array(n, pa.int64()), pa.array(hits, hits_type), pa.array(items, pa.list_(pa.string()))], names=batch.schema.names)
-
-        out = out.mapInArrow(search, schema)
-    return out
+    kept = docs.select(*(c for c in docs.columns if c not in _FOUND.names))
+    n, block = benchmark_blocks(benchmark, block_bytes, window)
+    if n < 2:
+        return search_block(kept, block(0) if n else [], window, True)
+    numbered = cut(kept.withColumn("_lodestar_row", F.monotonically_increasing_id()), "numbered")
+    passes = [search_block(numbered.select("_lodestar_row", "text"), block(i), window, i == 0).drop("text") for i in range(n)]
+    each = cut(reduce(DataFrame.unionAll, passes), "block-hits")
+    gathered = each.groupBy("_lodestar_row").agg(F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    joined = lambda out, h: F.when((F.size(out) > 0) & (h["start"] <= F.element_at(out, -1)["end"]), F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(F.element_at(out, -1)["start"].alias("start"), F.greatest(F.element_at(out, -1)["end"], h["end"]).alias("end"))))).otherwise(F.concat(out, F.array(h)))
+    gathered = gathered.withColumn("hits", F.aggregate("hits", F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)"), joined))
+    return numbered.join(gathered, "_lodestar_row").select(*kept.columns, *_FOUND.names)
 
 
 def n_hit() -> Column:

@@ -17,6 +17,8 @@ from .tokens import encoder
 
 #: Windows that one group of tails is meant to fill; lengths cut off the end of a longer tail, whose small pieces even out the sums.
 GROUP_WINDOWS, GRAINS = 128, (96, 32)
+#: Pieces of fewer tokens are packed in bundles of at most so many, so that a group has at most two bundles for every BUNDLE tokens.
+BUNDLE = 32
 
 
 def difference(sizes: list[int], k: int) -> list[list[int]]:
@@ -50,6 +52,21 @@ def difference(sizes: list[int], k: int) -> list[list[int]]:
     return out
 
 
+def bundles(sizes: list[int], most: int = BUNDLE) -> list[list[int]]:
+    """Indexes of sizes in bundles: sizes of at least `most` alone, smaller ones together, in order, up to `most`."""
+    out, own, total = [], [], 0
+    for i, s in enumerate(sizes):
+        if s >= most:
+            out.append([i])
+            continue
+        if total + s > most:
+            out.append(own)
+            own, total = [], 0
+        own.append(i)
+        total += s
+    return [*out, own] if own else out
+
+
 def windows(sizes: list[int], capacity: int) -> list[list[int]]:
     """Near-equal windows of at most capacity each; as few as the sum allows, one more whenever differencing exceeds the capacity."""
     if not sizes:
@@ -94,8 +111,9 @@ def pack(cut_pieces: DataFrame, capacity: int, group_windows: int = GROUP_WINDOW
     """The pieces with sequence_id and offset.
 
     A full piece is a sequence of its own. The others are dealt by a hash of piece and file row to groups of about group_windows
-    windows, each of which one task differences, so no document or key meets in one task. Sequence ids are unique, with gaps:
-    full pieces have even ids, groups odd ones.
+    windows, each of which one task differences, so no document or key meets in one task. Small pieces move in bundles, so a task's
+    partial partitions take some 2 * tokens / BUNDLE * windows * 16 bytes (32 MB), whatever the pieces are. Sequence ids are
+    unique, with gaps: full pieces have even ids, groups odd ones.
     """
     columns = cut_pieces.columns
     placed = cut_pieces.withColumn("_row", F.monotonically_increasing_id())
@@ -108,9 +126,10 @@ def pack(cut_pieces: DataFrame, capacity: int, group_windows: int = GROUP_WINDOW
         table = table.sort_by([("length", "descending"), ("_row", "ascending")])
         sizes = table.column("length").to_pylist()
         sequence, offset = [0] * len(sizes), [0] * len(sizes)
-        for w, own in enumerate(windows(sizes, capacity)):
+        together = bundles(sizes, min(BUNDLE, capacity))
+        for w, own in enumerate(windows([sum(sizes[i] for i in x) for x in together], capacity)):
             at = 0
-            for i in own:
+            for i in (i for x in own for i in together[x]):
                 sequence[i], offset[i] = (w * groups + key[0].as_py()) * 2 + 1, at
                 at += sizes[i]
         return table.select(columns).append_column("sequence_id", pa.array(sequence, pa.int64())).append_column("offset", pa.array(offset, pa.int64()))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -16,8 +17,8 @@ from pyspark.sql import functions as F
 from .common import cut, shared_dir
 
 MAGIC = b"\x1f\x8b\x08"
-#: Bytes of a file at most, of a range that one task scans, of one read, and of compressed data that must show a record's first line.
-FILE_BYTES, SPLIT_BYTES, READ_BYTES, PROBE_BYTES = 256 << 20, 4 << 20, 1 << 20, 4096
+#: Bytes of a file at most, of a range that one task scans, of one read, and what must show the head of a record.
+FILE_BYTES, SPLIT_BYTES, READ_BYTES, PROBE_BYTES = 256 << 20, 4 << 20, 1 << 20, 1024
 DATE = "2024-01-01T00:00:00Z"
 #: Payloads of fewer bytes are always stored.
 LEAST_BYTES = 100
@@ -42,16 +43,58 @@ def record(page_id: int | None, url: str | None, html: bytes, digest: str, refer
     return pack.compress("\r\n".join(lines).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n") + pack.flush()
 
 
-def parse(data: bytes) -> dict:
-    """The fields of a decompressed record."""
-    head, _, rest = data.partition(b"\r\n\r\n")
-    fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in head.decode("utf-8", "surrogatepass").split("\r\n")[1:])}
-    block = rest[: int(fields["content-length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    length = next((int(v) for k, _, v in (line.partition(b":") for line in http.split(b"\r\n")) if k.lower() == b"content-length"), 0)
-    number = lambda k: int(x) if (x := fields.get(k, "").removeprefix("<urn:page:").removesuffix(">")) else None
-    revisit = fields["warc-type"] == "revisit"
-    return {"page_id": number("warc-record-id"), "url": fields.get("warc-target-uri"), "record_type": fields["warc-type"], "refers_to": number("warc-refers-to"), "payload_bytes": length if revisit else len(payload), "payload_digest": fields.get("warc-payload-digest", "").removeprefix("sha256:") if revisit else hashlib.sha256(payload).hexdigest(), "payload": None if revisit else payload}
+def header(data: bytes) -> dict[str, str] | None:
+    """The named fields of a record's head (names in lower case), or None where data does not begin with one: a version line and whole fields.
+
+    A head that goes on beyond data counts if what is there is one. Folded lines belong to the field before.
+    """
+    head, whole, _ = data.partition(b"\r\n\r\n")
+    lines = head.decode("utf-8", "surrogateescape").split("\r\n")
+    if not re.fullmatch(r"WARC/[0-9]+\.[0-9]+", lines[0]):
+        return None
+    fields: dict[str, str] = {}
+    name = ""
+    for line in lines[1:] if whole else lines[1:-1]:
+        if line[:1] in (" ", "\t") and name:
+            fields[name] += " " + line.strip()
+            continue
+        name, colon, value = line.partition(":")
+        name = name.strip().lower()
+        if not colon or not re.fullmatch(r"[!#$%&'*+.^_`|~0-9a-z-]+", name):
+            return None
+        fields[name] = value.strip()
+    return fields
+
+
+def parse(data: bytes) -> list[dict]:
+    """The records of a decompressed member: one as a rule, or several that follow each other.
+
+    Records of any type are read: page_id and refers_to are the numbers of the names that record() gives, null for others, and
+    record_id is the name itself. A record without a length takes the rest of the member. What is cut short, or goes on as
+    no record, gives a row of type `broken`.
+    """
+    number = lambda name: int(m[1]) if (m := re.fullmatch(r"<urn:page:(-?[0-9]+)>", name or "")) else None
+    out = []
+    while data.strip(b"\r\n") or not out:
+        head, found, rest = data.partition(b"\r\n\r\n")
+        fields = header(head + found) if found else None
+        length = None if fields is None else (int(v) if (v := fields.get("content-length", "").strip()).isdecimal() else len(rest))
+        if fields is None or length > len(rest):
+            return [*out, broken()]
+        block, data = rest[:length], rest[length:].lstrip(b"\r\n")
+        kind, payload, full = fields.get("warc-type", "unknown"), block, len(block)
+        if "application/http" in fields.get("content-type", "").lower():
+            http, _, payload = block.partition(b"\r\n\r\n")
+            sizes = (v.strip() for k, _, v in (line.partition(b":") for line in http.split(b"\r\n")) if k.strip().lower() == b"content-length")
+            full = next((int(v) for v in sizes if v.isdigit()), 0) if kind == "revisit" else len(payload)
+        digest = fields.get("warc-payload-digest", "").removeprefix("sha256:") if kind == "revisit" else hashlib.sha256(payload).hexdigest()
+        out.append({"page_id": number(fields.get("warc-record-id")), "record_id": fields.get("warc-record-id"), "url": fields.get("warc-target-uri"), "record_type": kind, "refers_to": number(fields.get("warc-refers-to")), "payload_bytes": full, "payload_digest": digest, "payload": None if kind == "revisit" else payload})
+    return out
+
+
+def broken() -> dict:
+    """The row of a member that begins as a record and can't be read whole."""
+    return {"page_id": None, "record_id": None, "url": None, "record_type": "broken", "refers_to": None, "payload_bytes": None, "payload_digest": None, "payload": None}
 
 
 def mark_revisits(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
@@ -124,8 +167,9 @@ class Member:
         return b"".join(out), pos - len(unpack.unused_data) if unpack.eof else -1
 
     def starts_record(self, at: int) -> bool:
-        got = self._inflate(at, 16)
-        return bool(got) and got[0].startswith(b"WARC/1.")
+        """Whether a member begins here and its first PROBE_BYTES decode to the head of a record."""
+        got = self._inflate(at, PROBE_BYTES)
+        return bool(got) and header(got[0]) is not None
 
     def read(self, at: int) -> tuple[bytes, int] | None:
         """The decompressed record and the place after it; None for a member that is cut short or broken."""
@@ -133,10 +177,11 @@ class Member:
         return got if got and got[1] > 0 else None
 
 
-def records(file: pa.NativeFile, size: int, start: int, end: int) -> Iterator[dict]:
-    """Records whose member starts in [start, end). Gzip magic there is a candidate; it counts if it decodes to a record's first line.
+def records(file: pa.NativeFile, size: int, start: int, end: int, with_broken: bool = False) -> Iterator[dict]:
+    """Records whose member starts in [start, end). Gzip magic there is a candidate; it counts if it decodes to the head of a record.
 
-    After a whole record the next candidate is where it ended; after a false or broken one the scan goes on at the next byte.
+    After a whole member the next candidate is where it ended; after a false one the scan goes on at the next byte, as it does after
+    one that begins as a record but is broken, which gives a row of type `broken` if with_broken.
     """
     member, at = Member(file, size), start
     while at < end:
@@ -149,23 +194,32 @@ def records(file: pa.NativeFile, size: int, start: int, end: int) -> Iterator[di
         at += hit
         if at >= end:
             return
-        got = member.read(at) if member.starts_record(at) else None
+        begins = member.starts_record(at)
+        got = member.read(at) if begins else None
         if got is None:
+            if begins and with_broken:
+                yield broken()
             at += 1
             continue
-        yield parse(got[0])
+        yield from (r for r in parse(got[0]) if with_broken or r["record_type"] != "broken")
         at = got[1]
 
 
+#: Columns of a record that is read.
+COLUMNS = {"page_id": pa.int64(), "record_id": pa.string(), "url": pa.string(), "record_type": pa.string(), "refers_to": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "payload": pa.binary()}
+_SCHEMA = "page_id long, record_id string, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
+
+
 def read_archives(files: DataFrame, split_bytes: int = SPLIT_BYTES, payload: bool = True) -> DataFrame:
-    """page_id, url, record_type, refers_to, payload_bytes, payload_digest and payload of every record of files (path, bytes).
+    """page_id, record_id, url, record_type, refers_to, payload_bytes, payload_digest and payload of every record of files (path, bytes).
 
     Each file is cut to ranges of split_bytes, which are dealt to tasks. The digest of a response is computed from what was read.
+    Archives of others may hold records of any type (see parse); members that can't be read whole are rows of type `broken`, so a
+    count of these tells whether the result is whole.
     """
     ranges = files.select("path", "bytes", F.explode(F.expr(f"sequence(0L, greatest(bytes - 1, 0L), {split_bytes}L)")).alias("start"))
     n = max(1, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    schema = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string" + ", payload binary" * payload
-    types = {"page_id": pa.int64(), "url": pa.string(), "record_type": pa.string(), "refers_to": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string()} | ({"payload": pa.binary()} if payload else {})
+    types = {c: t for c, t in COLUMNS.items() if payload or c != "payload"}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = lambda rows: pa.RecordBatch.from_pydict({c: pa.array([r[c] for r in rows], t) for c, t in types.items()})
@@ -174,16 +228,16 @@ def read_archives(files: DataFrame, split_bytes: int = SPLIT_BYTES, payload: boo
                 disk, name = filesystem(path)
                 rows, held = [], 0
                 with disk.open_input_file(name) as file:
-                    for r in records(file, size, start, min(size, start + split_bytes)):
+                    for r in records(file, size, start, min(size, start + split_bytes), True):
                         rows.append(r)
-                        held += len(r["payload"] or b"") if payload else 500
+                        held += 500 + (len(r["payload"] or b"") if payload else 0)
                         if held >= READ_BYTES * 4:
                             yield table(rows)
                             rows, held = [], 0
                 if rows:
                     yield table(rows)
 
-    return ranges.repartition(n, F.xxhash64("path", "start")).mapInArrow(read, schema)
+    return ranges.repartition(n, F.xxhash64("path", "start")).mapInArrow(read, _SCHEMA if payload else _SCHEMA.removesuffix(", payload binary"))
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
@@ -193,4 +247,5 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     """
     folder = f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
     back = read_archives(write_archives(mark_revisits(pages), folder), payload=False)
-    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    kind = F.when(F.col("record_type") == "broken", F.raise_error(F.lit("a member of our own archives is broken"))).otherwise(F.col("record_type"))
+    return back.select("page_id", "payload_bytes", "payload_digest", kind.alias("record_type"), "refers_to")
