@@ -17,7 +17,7 @@ from .common import cut
 
 #: Words in a window; bytes of memory that the matcher of one block of the benchmark may take in a Python worker, which holds one at a time;
 #: bytes it takes for each word, at most (tests measure them).
-WINDOW, BLOCK_BYTES, WORD_BYTES = 10, 100 << 20, 400
+WINDOW, BLOCK_BYTES, WORD_BYTES = 10, 128 << 20, 600
 
 _ASCII = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
@@ -35,7 +35,10 @@ class WuManber:
     the words confirms an occurrence.
     """
 
-    def __init__(self, length: int, flat: np.ndarray, starts: np.ndarray, owner: np.ndarray, known: int):
+    def __init__(self, length: int, flat: np.ndarray, runs: list[tuple[int, int, int]], known: int):
+        """runs: first and last place (exclusive) of windows that follow each other, and their item."""
+        starts = np.concatenate([np.arange(a, z, dtype=np.int32) for a, z, _ in runs])
+        owner = np.concatenate([np.full(z - a, i, np.int32) for a, z, i in runs])
         self.length, self.block, self.known = length, min(2, length), known
         self.far = length - self.block + 1
         view = np.lib.stride_tricks.sliding_window_view(flat, length)[starts]
@@ -48,20 +51,21 @@ class WuManber:
         self.start, self.first = starts[order][at], view[at, 0].tolist()
         self.items = owner[pair]
         self.item_ends = np.r_[np.cumsum(pair)[at] - 1, len(self.items)]
-        windows = view[at]
-        key = lambda i: windows[:, i - 1].astype(np.int64) * known + windows[:, i] if self.block == 2 else windows[:, i].astype(np.int64)
-        # shift by block: over all places of the block in windows the least distance to the end; nowhere is the bucket's number, negative.
-        keys = [key(end) for end in range(self.block - 1, length)]
-        steps = [np.full(len(at), length - 1 - end, np.int32) for end in range(self.block - 1, length)]
-        all_keys, all_steps = np.concatenate(keys), np.concatenate(steps)
-        by = np.lexsort((all_steps, all_keys))
-        unique, where = np.unique(all_keys[by], return_index=True)
-        least = all_steps[by][where].astype(np.int64)
-        bucket, begin = np.unique(keys[-1], return_index=True)
+        del view
+        key = lambda end: flat[end - 1].astype(np.int64) * known + flat[end] if self.block == 2 else flat[end].astype(np.int64)
+        # The least distance of a block to the end of a window: nought from the first window's end on, more before it.
+        places = np.concatenate([np.arange(a + self.block - 1, z + length - 1, dtype=np.int32) for a, z, _ in runs])
+        steps = np.concatenate([np.maximum(0, length - 1 - np.arange(self.block - 1, z - a + length - 1, dtype=np.int32)) for a, z, _ in runs])
+        keys = key(places)
+        by = np.lexsort((steps, keys))
+        unique, where = np.unique(keys[by], return_index=True)
+        least = steps[by][where].astype(np.int64)
+        del keys, by, places, steps
+        # Where that is nought, the bucket's number, as -1, -2, ...
+        bucket, begin = np.unique(key(self.start + length - 1), return_index=True)
         by_begin = np.sort(begin)
         self.bucket = np.r_[by_begin, len(at)].tolist()
-        number = np.searchsorted(by_begin, begin)
-        least[np.searchsorted(unique, bucket)] = -1 - number
+        least[np.searchsorted(unique, bucket)] = -1 - np.searchsorted(by_begin, begin)
         self.shift = dict(zip(unique.tolist(), least.tolist(), strict=True))
         self.flat = flat
 
@@ -102,10 +106,8 @@ class Matcher:
             flat += [vocabulary.setdefault(w, len(vocabulary)) for w in own]
         self.vocabulary, self.known = vocabulary, len(vocabulary)
         numbers = np.array(flat, np.int32)
-        self.found_by = [
-            WuManber(length, numbers, np.concatenate([np.arange(a, z, dtype=np.int32) for a, z, _ in own]), np.concatenate([np.full(z - a, i, np.int32) for a, z, i in own]), self.known)
-            for length, own in sorted(places.items())
-        ]
+        del flat
+        self.found_by = [WuManber(length, numbers, own, self.known) for length, own in sorted(places.items())]
 
     def occurrences(self, text: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Word ranges hit (merged, in order) and the items with occurring windows."""

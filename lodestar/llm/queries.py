@@ -53,8 +53,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = tokens.count_after_masking(table(spark, sf_dir, "documents"), tokenizer())
-    return counted.select("doc_id", "n_tokens", "n_edits", "n_chars_edited", "n_tokens_edited", "n_encoded_chars")
+    return tokens.count_after_edits(table(spark, sf_dir, "documents"), tokenizer())
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
