@@ -19,14 +19,6 @@ def _with_least(pairs: DataFrame, least: DataFrame, heavy: DataFrame) -> DataFra
     return dealt.join(spread.hint("merge"), ["u", "salt"])
 
 
-def _state(edges: DataFrame) -> tuple[bool, int]:
-    """Whether some node has two parents, or is both parent and child; and the number of edges."""
-    ends = edges.select(F.col("hi").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("parent")).unionAll(edges.select("lo", F.lit(0), F.lit(1)))
-    nodes = ends.groupBy("node").agg(F.sum("child").alias("children"), F.max("parent").alias("parent"))
-    found = nodes.agg(F.bool_or((F.col("children") > 1) | ((F.col("children") == 1) & (F.col("parent") == 1))), F.sum("children")).first()
-    return bool(found[0]), found[1] or 0
-
-
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of edges (a long, b long); the component is its smallest node.
 
@@ -38,11 +30,14 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     ends = edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
     at, path = store(ends.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "components")
     for _ in range(max_rounds):
-        unfinished, n = _state(at)
+        both = at.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(at.select("lo", "hi"))
+        parents = F.count(F.when(F.col("v") < F.col("u"), 1)).alias("parents")
+        least, used = store(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n"), parents), "least")
+        # Settled: no node has two parents, or is both parent and child.
+        unfinished, n = least.agg(F.bool_or((F.col("parents") > 1) | ((F.col("parents") == 1) & (F.col("n") > 1))), F.sum("parents")).first()
         if not unfinished:
+            discard(spark, used)
             return at.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionAll(at.select("lo", "lo").distinct())
-        both = at.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(at.select("lo", "hi"))
-        least, used = store(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n")), "least")
         # A node has no more pairs in the small star than in both, so the same nodes are heavy.
         heavy = least.where(F.col("n") > max(HEAVY, 2 * n // MOST_HEAVY)).select("u", F.lit(True).alias("heavy"))
         large = _with_least(both, least.select("u", "m"), heavy).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()

@@ -140,7 +140,7 @@ def similar(docs: DataFrame, rows: DataFrame, least: float = LEAST, width: int =
     wanted = cut(nodes.join(group, "node").select("node", "of", "size", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), "wanted-sets")
     keys = docs["doc_id"].eqNullSafe(wanted["_id"]) & (text_hash("text") == wanted["_hash"])
     large = cut(wanted.groupBy("of").agg(F.ceil(F.sum("size") / PART).cast("int").alias("parts"), F.min("node").alias("centre")).where("parts > 1"), "large-groups")
-    texts = cut(docs.join(wanted, keys).select("node", "of", "size", "text").dropDuplicates(["node"]).join(large, "of", "left"), "candidate-texts")
+    texts = cut(docs.join(wanted.hint("merge"), keys).select("node", "of", "size", "text").dropDuplicates(["node"]).join(large, "of", "left"), "candidate-texts")
     edge = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
