@@ -26,7 +26,7 @@ RADIUS = 4
 #: Bands of MinHash values and values of a band: a pair of similarity 0.8 shares no band in 3 of 10**6 cases, one of 0.9 in 10**12.
 BANDS, DEEP = 32, 5
 #: Shingles hashed at once; shingles that one part of a group of candidates is meant to hold.
-CHUNK, PART = 1 << 12, 1 << 19
+CHUNK, PART = 1 << 12, 1 << 16
 
 _RNG = np.random.default_rng(11)
 _MUL, _ADD = _RNG.integers(0, 2**63, (2, BANDS * DEEP)).astype(np.uint64)
