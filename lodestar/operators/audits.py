@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.casts import symbol
+
 from ..functions.dates import business_days
 from .timeseries import as_of, top_k
 
@@ -71,3 +73,22 @@ def frontier(candidates: DataFrame, tracked: DataFrame) -> DataFrame:
 
 def recent(df: DataFrame, key: str, order: str, k: int) -> DataFrame:
     return top_k(df, [key], [F.desc(order)], k)
+
+
+def row_breakdown(tickers: DataFrame, provider: dict[str, DataFrame], filtered: dict[str, DataFrame], skipped: DataFrame) -> DataFrame:
+    """For each requested ticker the provider's rows and the rows left after filters, by table, and why nothing was written.
+
+    The reason is that of skipped (ticker, reason) if there is one, else that the provider gave nothing, or that no row was in the
+    window; null where rows were written.
+    """
+    out = tickers.select(symbol(F.col("ticker")).alias("ticker")).where("ticker IS NOT NULL").distinct()
+    sides = {"provider": provider, "filtered": filtered}
+    for side, tables in sides.items():
+        for name, df in tables.items():
+            out = out.join(df.groupBy(symbol(F.col("ticker")).alias("ticker")).agg(F.count("*").alias(f"{side}_{name}")), "ticker", "left")
+    names = [f"{side}_{name}" for side, tables in sides.items() for name in tables]
+    out = out.withColumns({n: F.coalesce(n, F.lit(0)) for n in names})
+    total = lambda side: sum((F.col(f"{side}_{name}") for name in sides[side]), F.lit(0))
+    why = skipped.groupBy(symbol(F.col("ticker")).alias("ticker")).agg(F.max(F.nullif(F.trim("reason"), F.lit(""))).alias("given"))
+    reason = F.coalesce("given", F.when(total("provider") == 0, "provider_returned_empty").when(total("filtered") == 0, "window_filter_no_matches"))
+    return out.join(why, "ticker", "left").select("ticker", *names, total("filtered").alias("rows_written"), reason.alias("zero_reason"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -161,3 +163,63 @@ def publication_gate(audit: DataFrame) -> DataFrame:
     """One row: audited rows, how many need review or had one, and whether all may be published."""
     n = F.count_if(F.col("audit_state") == "needs_review")
     return audit.agg(F.count("*").alias("n"), n.alias("n_needs_review"), F.count_if(F.col("audit_state") == "reviewed_safe").alias("n_reviewed"), (n == 0).alias("publishable"))
+
+
+def direct_attach(listings: DataFrame, leis: DataFrame) -> DataFrame:
+    """Listings (symbol, isin, isin_status, allowed_prefixes) attached to the legal entity (isin, lei, legal_name; one row an isin) of their own isin.
+
+    A found entity is attached if the isin's country prefix is allowed for the listing, and rejected otherwise.
+    """
+    isin = F.when(F.col("isin_status") == "success", F.nullif(F.upper(F.trim("isin")), F.lit("")))
+    own = listings.withColumn("isin", isin).join(leis.where("isin IS NOT NULL"), "isin", "left")
+    found = F.coalesce(F.col("lei") != "", F.lit(False))
+    prefix = F.coalesce(F.array_contains("allowed_prefixes", F.substring("isin", 1, 2)), F.lit(False))
+    passed = found & prefix
+    status = F.when(passed, "passed").when(found, "rejected").otherwise("not_evaluated")
+    return own.select(
+        "symbol", "isin", prefix.alias("isin_prefix_match"), F.when(passed, "direct_isin").alias("attach_method"), F.when(passed, "direct_isin_to_lei").alias("attach_reason"),
+        F.when(passed, F.col("lei")).alias("entity_lei"), F.when(passed, F.col("legal_name")).alias("entity_legal_name"), status.alias("gate_status"),
+        F.when(found & ~prefix, "direct_isin_prefix_mismatch_name_unconfirmed").alias("reject_reason"),
+    )
+
+
+def _country(c: Column) -> Column:
+    return F.nullif(F.upper(F.trim(c)), F.lit(""))
+
+
+def home_country_evidence(sources: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+    """One row a lei: the home country and where it comes from. sources: name and table (lei, legal_name, legal_country, jurisdiction, headquarters_country, seq).
+
+    Of a row the legal country counts first, then the jurisdiction's country, then the headquarters'. The first source with a
+    country wins, and in it the first row.
+    """
+    rows = None
+    for place, (name, df) in enumerate(sources):
+        legal, area, seat = _country(F.col("legal_country")), _country(F.element_at(F.split("jurisdiction", "-"), 1)), _country(F.col("headquarters_country"))
+        field = F.when(legal.isNotNull(), "legal_country").when(area.isNotNull(), "jurisdiction").otherwise("headquarters_country")
+        one = df.select(_country(F.col("lei")).alias("lei"), F.coalesce(legal, area, seat).alias("home_country"), field.alias("source_field"), F.lit(name).alias("source_table"), F.trim(F.coalesce("legal_name", F.lit(""))).alias("source_legal_name"), F.lit(place).alias("place"), "seq")
+        rows = one if rows is None else rows.unionAll(one)
+    known = rows.where("lei IS NOT NULL AND home_country IS NOT NULL")
+    first = F.min_by(F.struct("home_country", "source_field", "source_table", "source_legal_name"), F.struct("place", "seq")).alias("e")
+    return known.groupBy("lei").agg(first).select("lei", "e.*")
+
+
+def home_country_plan(entities: DataFrame, evidence: DataFrame, batch: str) -> DataFrame:
+    """What becomes of the home country of each resolved entity (entity_id, lei, home_country, resolution_status, publication_batch_id) of a batch.
+
+    action: changed (it had none), already_set, non_empty_conflict_not_overwritten, missing_evidence or no_lei. The lei is the
+    row's own, else what follows lei: in its id.
+    """
+    own = entities.where((F.col("publication_batch_id") == batch) & (F.col("resolution_status") == "resolved"))
+    lei = F.coalesce(_country(F.col("lei")), _country(F.regexp_replace("entity_id", "^lei:", "")))
+    rows = own.select("entity_id", lei.alias("lei"), _country(F.col("home_country")).alias("current")).join(evidence, "lei", "left")
+    there = F.col("home_country").isNotNull()
+    action = (
+        F.when(F.col("lei").isNull(), "no_lei")
+        .when(~there, "missing_evidence")
+        .when(F.col("current").isNull(), "changed")
+        .when(F.col("current") == F.col("home_country"), "already_set")
+        .otherwise("non_empty_conflict_not_overwritten")
+    )
+    changed = F.coalesce(F.col("current"), F.col("home_country"))
+    return rows.select("entity_id", "lei", F.col("current").alias("current_home_country"), F.col("home_country").alias("evidence_country"), changed.alias("new_home_country"), "source_table", "source_field", action.alias("action"))

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.casts import symbol
 from ..functions.dates import is_weekend
 from ..functions.symbols import is_placeholder
 
@@ -32,7 +34,7 @@ def run_status(succeeded: Column, failed: Column) -> Column:
 
 
 def asset_status(assets: dict[str, tuple[DataFrame, str, float, float]], now: str) -> DataFrame:
-    """One row for each asset (table, date column, fresh and grace hours): rows, last date, state; and the overall state on each."""
+    """One row for each asset (table, date column, fresh and grace hours): rows, last date, state. overall_state() sums them up."""
     at = F.lit(now).cast("timestamp")
     parts = [df.agg(F.count("*").alias("n_rows"), F.max(c).cast("timestamp").alias("last")).select(F.lit(name).alias("asset"), "n_rows", F.col("last").cast("date").alias("last_available_date"), freshness(F.col("last"), at, fresh, grace).alias("freshness_state")) for name, (df, c, fresh, grace) in assets.items()]
     rows = parts[0]
@@ -41,6 +43,11 @@ def asset_status(assets: dict[str, tuple[DataFrame, str, float, float]], now: st
     return rows
 
 
+def overall_state(assets: DataFrame) -> DataFrame:
+    """asset_status' rows with the worst of their states on each: one small row for each asset is joined with one."""
+    return assets.crossJoin(F.broadcast(assets.agg(worst(F.col("freshness_state")).alias("overall_state"))))
+
+
 def gap_plan(dates: DataFrame, symbols: DataFrame, end: str, lookback: int, overlap: int = 0, business: bool = True) -> DataFrame:
     """One row: the window to refresh for (symbol, date) against all (business) days of the look-back window.
 
@@ -93,6 +100,25 @@ def symbol_coverage(required: DataFrame, prices: DataFrame, fundamentals: DataFr
     return out.select(F.col("symbol").alias("ticker"), *flags, "market_data_last_date", "fundamentals_last_date", "next_earnings_date", status.alias("coverage_status"), reason.alias("reason"))
 
 
+# Fixed value: symbols that another has taken the place of.
+SUPERSEDED = {"700.HK": "0700.HK"}
+
+
+def complete_coverage(prices: DataFrame, quotes: DataFrame, fundamentals: DataFrame, earnings: DataFrame, as_of: str) -> DataFrame:
+    """Coverage of every symbol that any source has, rebuilt from the rows themselves.
+
+    Only price rows make market data available; quotes keep a symbol in sight. Without prices, placeholders and superseded symbols
+    are left out.
+    """
+    everything = reduce(DataFrame.unionAll, [df.select(symbol(F.col(key)).alias("symbol")) for df, key in ((prices, "symbol"), (quotes, "symbol"), (fundamentals, "ticker"), (earnings, "ticker"))])
+    named = lambda df, key: df.withColumn(key, symbol(F.col(key)))
+    required = everything.where("symbol IS NOT NULL")
+    found = symbol_coverage(required, named(prices, "symbol"), named(fundamentals, "ticker"), named(earnings, "ticker"), as_of)
+    left_out = is_placeholder(F.col("ticker")) | F.col("ticker").isin(*SUPERSEDED)
+    reason = F.when(F.col("reason") == "all_domains_available", "market_fundamentals_earnings_available").otherwise(F.col("reason"))
+    return found.where(F.col("market_data_available") | ~left_out).withColumn("reason", reason)
+
+
 def merge_coverage(own: DataFrame, existing: DataFrame, columns: Sequence[str]) -> DataFrame:
     """existing with one domain's columns from own where own has the ticker; other columns stay, new tickers come in."""
     o = own.select("ticker", *(F.col(c).alias(f"_{c}") for c in columns), F.lit(True).alias("_own"))
@@ -120,16 +146,34 @@ def ticker_readiness(registry: DataFrame, prices: DataFrame, technicals: DataFra
     return out.withColumns({"readiness_state": state, "tracked": has[0] & has[1] & ~F.col("is_placeholder_symbol")})
 
 
+def with_coverage(rows: DataFrame, coverage: DataFrame, registry: DataFrame, readiness: DataFrame) -> DataFrame:
+    """Readiness rows with what coverage says of market data (null: nothing), its status, and whether a rejected listing only shadows a tracked one.
+
+    A ticker is such a shadow if the registry has a rejected and another row of it and readiness tracks it with a scorecard.
+    """
+    said = coverage.groupBy("ticker").agg(F.bool_or("market_data_available").alias("coverage_market_data"), F.max("coverage_status").alias("coverage_status"))
+    gone = F.coalesce(F.lower(F.trim("status")) == "rejected", F.lit(False))
+    both = registry.groupBy("ticker").agg((F.bool_or(gone) & F.bool_or(~gone)).alias("both"))
+    ready = readiness.where("tracked AND scorecard_ready").select("ticker", F.lit(True).alias("ready")).distinct()
+    out = rows.join(said, "ticker", "left").join(both, "ticker", "left").join(ready, "ticker", "left")
+    return out.withColumn("shadow", F.coalesce(F.col("both") & F.col("ready"), F.lit(False))).drop("both", "ready")
+
+
 def readiness_issues(rows: DataFrame) -> DataFrame:
-    """(ticker, issue_type): every issue of every ticker."""
+    """(ticker, issue_type): every issue of every ticker. With with_coverage's columns also those of coverage, and its two exceptions:
+    a rejected shadow of a tracked listing may have data, a rejected placeholder is cleaned up only if coverage knows nothing of it."""
+    known = {c: F.col(c) if c in rows.columns else F.lit(v) for c, v in (("coverage_market_data", None), ("coverage_status", None), ("shadow", False))}
+    market = known["coverage_market_data"].cast("boolean")
+    unseen = market.isNull() & (F.coalesce(known["coverage_status"].cast("string"), F.lit("")) == "")
     p, t, s = (F.col(c) > 0 for c in ("source_price_rows", "technical_feature_rows", "scorecard_rows"))
     rejected = F.coalesce(F.col("registry_status") == "rejected", F.lit(False))
     issues = {
         "registry_active_validated_without_prices": F.col("registry_active_validated") & ~p,
         "prices_without_technicals": p & ~t,
         "technicals_without_scorecard": t & ~s,
-        "rejected_with_materialized_data": rejected & (p | t | s),
-        "placeholder_like_symbol": F.col("is_placeholder_symbol") & ~(rejected & ~p & ~t & ~s),
+        "rejected_with_materialized_data": rejected & (p | t | s) & ~known["shadow"],
+        "placeholder_like_symbol": F.col("is_placeholder_symbol") & ~(rejected & ~p & ~t & ~s & unseen),
+        "coverage_disagrees_with_materialized_rows": F.coalesce(market != p, F.lit(False)),
     }
     found = F.array_compact(F.array(*(F.when(c, F.lit(n)) for n, c in issues.items())))
     return rows.select("ticker", F.explode(found).alias("issue_type"))

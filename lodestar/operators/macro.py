@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.casts import day, number
 from ..functions.dates import business_days, on_business_day, period_label, release_day, saturday_on_or_before, thursday_after
+from ..functions.symbols import lookup
 from .timeseries import as_of, keep_last, spine
 
 # Business days after which a value is stale, by frequency; grace of a release; longest lag of a vendor's week.
@@ -134,3 +135,57 @@ def calendar_violations(calendar: DataFrame) -> DataFrame:
     each = counts.select(F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).alias("n")) for r in rules))).alias("x")).select("x.*")
     doubled = calendar.groupBy("series_key", "observation_period").count().where("count > 1").agg(F.count("*").alias("n")).select(F.lit("duplicate_key").alias("rule"), "n")
     return each.unionAll(doubled).where("n > 0")
+
+
+# The series with provider, code, frequency, whether required, since when, whether optional; calendars.
+SERIES = (
+    ("VIX", "yfinance", "^VIX", "daily", True, "1990-01-02", False),
+    ("VIX3M", "fred", "VXVCLS", "daily", True, "2007-12-04", False),
+    ("VVIX", "yfinance", "^VVIX", "daily", True, "2007-01-03", False),
+    ("10Y_Treasury_Yield", "fred", "DGS10", "daily", True, None, False),
+    ("2Y_Treasury_Yield", "fred", "DGS2", "daily", True, None, False),
+    ("High_Yield_Spread", "fred", "BAMLH0A0HYM2", "daily", True, None, False),
+    ("TED_Spread", "fred", "TEDRATE", "daily", False, None, True),
+    ("CPI_Headline", "fred", "CPIAUCSL", "monthly", False, None, False),
+    ("CPI_Core", "fred", "CPILFESL", "monthly", False, None, False),
+    ("UNRATE", "fred", "UNRATE", "monthly", True, None, False),
+    ("U6RATE", "fred", "U6RATE", "monthly", False, None, False),
+    ("ICSA", "fred", "ICSA", "weekly", False, None, False),
+    ("CIVPART", "fred", "CIVPART", "monthly", False, None, False),
+    ("WTI", "fred", "DCOILWTICO", "daily", False, None, False),
+    ("Gasoline_US_Regular", "fred", "GASREGW", "weekly", False, None, False),
+    ("NatGas_HenryHub", "fred", "DHHNGSP", "daily", False, None, False),
+    ("DBC", "yfinance", "DBC", "daily", False, None, False),
+)
+CALENDARS = {
+    "CPI_Headline": "bls_cpi_release_calendar_v1", "CPI_Core": "bls_cpi_release_calendar_v1", "UNRATE": "bls_unrate_release_calendar_v1",
+    "U6RATE": "bls_unrate_release_calendar_v1", "CIVPART": "bls_unrate_release_calendar_v1", "ICSA": "fred_icsa_release_calendar_v2",
+}
+
+
+def series_catalog(specs: DataFrame) -> DataFrame:
+    """Catalog rows of series specs (series_key, source_provider, source_code, frequency, required_by_default, required_from_date, optional,
+    staleness_max_bdays): the limit of age is the series' own, else that of its frequency; the calendar goes by the key."""
+    limit = F.coalesce("staleness_max_bdays", lookup({k: str(v) for k, v in STALE_AFTER.items()}, F.col("frequency")).cast("int"))
+    calendar = lookup(CALENDARS, F.trim("series_key"))
+    return specs.withColumns({"staleness_max_bdays": limit, "release_calendar_source": calendar})
+
+
+def known_series(spark: SparkSession) -> DataFrame:
+    """SERIES as specs."""
+    schema = "series_key string, source_provider string, source_code string, frequency string, required_by_default boolean, required_from_date string, optional boolean"
+    rows = spark.createDataFrame(list(SERIES), schema)
+    return rows.withColumns({"required_from_date": F.col("required_from_date").cast("date"), "staleness_max_bdays": F.lit(None).cast("int")})
+
+
+def with_overrides(schedule: DataFrame, overrides: DataFrame, source: str) -> DataFrame:
+    """Release dates of a schedule (observation_period, scheduled, observed, source) corrected by overrides (observation_period, release_date).
+
+    An override takes the place of the scheduled date, and of an observed one that is there; the row then names the override's source.
+    Overrides have one row a period.
+    """
+    own = overrides.select("observation_period", F.col("release_date").alias("_date"))
+    out = schedule.join(own, "observation_period", "left")
+    given = F.col("_date").isNotNull()
+    observed = F.when(given & F.col("observed").isNotNull(), F.col("_date")).otherwise(F.col("observed"))
+    return out.withColumns({"scheduled": F.coalesce("_date", "scheduled"), "observed": observed, "source": F.when(given, source).otherwise(F.col("source"))}).drop("_date")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import near, scale_factor
@@ -83,3 +83,38 @@ def sanity_status(rows: DataFrame) -> DataFrame:
     """blocked if a symbol has a mismatch or a scale anomaly, passed if any rank is exact, else unverified."""
     bad = F.bool_or(F.col("kind").isin("mismatch", "scale_anomaly"))
     return rows.groupBy("symbol").agg(F.when(bad, "blocked").when(F.bool_or(F.col("kind") == "exact"), "passed").otherwise("unverified").alias("status"), F.count_if(F.col("kind") == "exact").alias("exact"))
+
+
+def timing_parity(canonical: DataFrame, legacy: DataFrame, keys: Sequence[str], at: str = "available_at") -> DataFrame:
+    """One row: canonical rows, those without a legacy time, and those whose time differs, exactly in UTC. The last legacy row of a key counts.
+
+    legacy has a column seq that orders its rows.
+    """
+    last = legacy.groupBy(*keys).agg(F.max_by(at, "seq").alias("_legacy"))
+    rows = canonical.join(last, list(keys), "left")
+    own, other = F.col(at), F.col("_legacy")
+    missing, different = own.isNotNull() & other.isNull(), own.isNotNull() & other.isNotNull() & (own != other)
+    counts = rows.agg(F.count("*").alias("compared"), F.count_if(missing).alias("missing"), F.count_if(different).alias("mismatched"))
+    return counts.withColumn("status", F.when((F.col("missing") == 0) & (F.col("mismatched") == 0), "ok").otherwise("fail"))
+
+
+def placeholder_reason(at: Column, end: str, schedule_only: Column | None = None) -> Column:
+    """Why a release is no release yet: only scheduled, after the end of the window's last day, or without a time; null for the others."""
+    last = F.lit(f"{end} 23:59:59").cast("timestamp")
+    planned = F.coalesce(schedule_only, F.lit(False)) if schedule_only is not None else F.lit(False)
+    return F.when(planned, "schedule_based_only_no_observation").when(at > last, "forward_unrealized_release_timestamp").when(at.isNull(), "missing_release_timestamp")
+
+
+def release_parity(canonical: DataFrame, legacy: DataFrame, keys: Sequence[str], end: str) -> DataFrame:
+    """One row: both tables' effective releases (key, at, schedule_only) by key: shared, only in one, with another time; and placeholders left out."""
+    def split(df: DataFrame, side: str) -> tuple[DataFrame, DataFrame]:
+        rows = df.withColumn("_why", placeholder_reason(F.col("at"), end, F.col("schedule_only") if "schedule_only" in df.columns else None))
+        return rows.where("_why IS NULL").groupBy(*keys).agg(F.max("at").alias(f"at_{side}")), rows.where("_why IS NOT NULL").agg(F.count("*").alias(f"placeholders_{side}"))
+
+    (a, left_out_a), (b, left_out_b) = split(canonical, "canonical"), split(legacy, "legacy")
+    one, other = F.col("at_canonical").isNotNull(), F.col("at_legacy").isNotNull()
+    counts = a.join(b, list(keys), "full_outer").agg(
+        F.count_if(one & other).alias("shared"), F.count_if(one & ~other).alias("only_canonical"), F.count_if(~one & other).alias("only_legacy"),
+        F.count_if(F.col("at_canonical") != F.col("at_legacy")).alias("timestamp_mismatches"),
+    )
+    return counts.crossJoin(left_out_a).crossJoin(left_out_b)
