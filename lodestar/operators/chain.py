@@ -30,9 +30,11 @@ def _has_prefix(isins: str, country: str) -> Column:
 
 def expansion_matches(listings: DataFrame, records: DataFrame) -> DataFrame:
     """Listings (symbol, name_key, country) against expanded entities (lei, name_key, isins): one that has the name and an ISIN of the country attaches with high confidence, several are ambiguous."""
-    fits = listings.join(records, "name_key").where(_has_prefix("isins", "country"))
-    found = fits.groupBy("symbol").agg(F.countDistinct("lei").alias("n_matches"), F.min("lei").alias("lei"))
-    rows = listings.join(found, "symbol", "left").withColumn("n_matches", F.coalesce("n_matches", F.lit(0).cast("long")))
+    # Entities are counted by name and country before the join, so a listing meets one row and no blank name meets any.
+    prefixes = F.array_distinct(F.transform("isins", lambda x: F.substring(x, 1, 2)))
+    spread = records.where("trim(name_key) <> ''").select("name_key", "lei", F.explode(prefixes).alias("country"))
+    found = spread.groupBy("name_key", "country").agg(F.countDistinct("lei").alias("n_matches"), F.min("lei").alias("lei"))
+    rows = listings.join(found, ["name_key", "country"], "left").withColumn("n_matches", F.coalesce("n_matches", F.lit(0).cast("long")))
     one = F.col("n_matches") == 1
     method = F.when(one, "lei_expansion").when(F.col("n_matches") > 1, "unattached_ambiguous").otherwise("unattached")
     return rows.select("symbol", F.when(one, F.col("lei")).alias("entity_lei"), "n_matches", method.alias("entity_attach_method"), F.when(one, "high").when(F.col("n_matches") > 1, "manual").alias("confidence"))

@@ -18,11 +18,13 @@ def clean_prices(prices: DataFrame) -> DataFrame:
     return prices.select(symbol(F.col("symbol")).alias("symbol"), day(F.col("date")).alias("date"), number(F.col("close")).alias("close"), volume.alias("volume")).dropna(subset=["symbol", "date", "close"])
 
 
-def _ranked(prices: DataFrame) -> DataFrame:
-    """Prices with rk (1: latest) and ret (change to the row before), over one shuffle and sort."""
+def _ranked(prices: DataFrame, most: int | None = None) -> DataFrame:
+    """Prices with rk (1: latest) and ret (change to the row before), over one shuffle and sort; the latest `most` rows of a symbol, whose
+    last has no ret. That limit is applied before the shuffle and again after it, so older rows are neither sent on nor kept."""
     by = Window.partitionBy("symbol").orderBy(F.desc("date"))
-    clean = clean_prices(prices)
-    return clean.withColumns({"rk": F.row_number().over(by), "ret": ratio(F.col("close"), F.lead("close").over(by)) - 1})
+    rows = clean_prices(prices).withColumn("rk", F.row_number().over(by))
+    rows = rows if most is None else rows.where(F.col("rk") <= most)
+    return rows.withColumn("ret", ratio(F.col("close"), F.lead("close").over(by)) - 1)
 
 
 def _at(rank: int, c: str = "close") -> Column:
@@ -36,7 +38,7 @@ def _within(n: int, c: str | Column) -> Column:
 def market_stats(prices: DataFrame) -> DataFrame:
     """One row for each symbol: last price, returns over 1, 21, 63 and 252 rows, volatility of 30 returns, drawdown and distances over 252 rows."""
     top = F.max(_within(YEAR, "close")).over(Window.partitionBy("symbol").orderBy("date").rowsBetween(Window.unboundedPreceding, 0))
-    rows = _ranked(prices).withColumn("fall", _within(YEAR, ratio(F.col("close"), top) - 1))
+    rows = _ranked(prices, YEAR + 1).withColumn("fall", _within(YEAR, ratio(F.col("close"), top) - 1))
     vol = F.when(F.count(_within(30, "ret")) >= 2, F.stddev_samp(_within(30, "ret")) * F.sqrt(F.lit(float(YEAR))))
     back = {f"return_{name}": ratio(_at(1), _at(n + 1)) - 1 for name, n in (("1d", 1), ("1m", 21), ("3m", 63), ("1y", 252))}
     stats = {"last_price": _at(1), **back, "vol_30d": vol, "drawdown_1y": F.min("fall"), "dist_high_52w": ratio(_at(1), F.max(_within(YEAR, "close"))) - 1, "dist_low_52w": ratio(_at(1), F.min(_within(YEAR, "close"))) - 1}
@@ -53,7 +55,7 @@ def trend_features(prices: DataFrame) -> DataFrame:
 
 def quote_changes(prices: DataFrame) -> DataFrame:
     """Latest price against the one before: change and per cent, and the list of fields that are missing."""
-    rows = _ranked(prices).where("rk <= 2").groupBy("symbol").agg(_at(1).alias("price"), _at(2).alias("previous_close"), _at(1, "volume").alias("volume"))
+    rows = _ranked(prices, 2).groupBy("symbol").agg(_at(1).alias("price"), _at(2).alias("previous_close"), _at(1, "volume").alias("volume"))
     fields = F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in ("price", "previous_close", "volume"))))
     return rows.select("symbol", "price", "previous_close", (F.col("price") - F.col("previous_close")).alias("change"), ((ratio(F.col("price"), F.col("previous_close")) - 1) * 100).alias("change_pct"), F.array_join(fields, ",").alias("missing"))
 
@@ -68,10 +70,8 @@ def history_repairs(universe: DataFrame, prices: DataFrame, min_rows: int, stale
 
 def data_windows(prices: DataFrame) -> DataFrame:
     """Dates, expected and missing business days, completeness and its tier, and the largest gap of each symbol."""
-    rows = largest_gap(clean_prices(prices), "symbol", "date")
-    expected = business_days_inclusive(F.col("first_date"), F.col("last_date"))
-    weekday_dates = clean_prices(prices).where(F.weekday("date") < 5).groupBy("symbol").agg(F.countDistinct("date").alias("n_business"))
-    rows = rows.join(weekday_dates, "symbol", "left").withColumns({"expected": expected, "actual": F.coalesce("n_business", F.lit(0))})
+    rows = largest_gap(clean_prices(prices), "symbol", "date", F.count_if(F.weekday("date") < 5).alias("actual"))
+    rows = rows.withColumn("expected", business_days_inclusive(F.col("first_date"), F.col("last_date")))
     rows = rows.withColumns({"missing": F.greatest(F.lit(0), F.col("expected") - F.col("actual")), "completeness": F.coalesce(ratio(F.col("actual") * 100.0, F.col("expected")), F.lit(0.0))})
     tier = F.when(F.col("missing") == 0, "complete").when((F.col("completeness") >= 99) & (F.col("largest_gap") <= 3), "nearly complete").when(F.col("completeness") >= 95, "usable").otherwise("incomplete")
     return rows.select("symbol", "first_date", "last_date", "expected", "actual", "missing", "completeness", "largest_gap", "gap_after", "gap_before", tier.alias("assessment"))

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.casts import day, number, ratio, split_factor
 from .timeseries import top_k
 
-# Signal words of filings, in the order in which they are looked for.
+# Forms of filings that may hold guidance, and the signal words that are looked for in them, in order.
+GUIDANCE_FORMS = ("8-K", "6-K")
+FILING_SIGNALS = ("item 2.02", "item 7.01", "item 8.01", "ex-99.", "press release", "earnings release", "guidance", "outlook", "results")
+#: Signal words of other texts, in the order in which they are looked for.
 GUIDANCE_SIGNALS = ("raises guidance", "lowers guidance", "reaffirms guidance", "withdraws guidance", "guidance", "outlook", "forecast")
 
 
@@ -62,6 +65,11 @@ def signal_candidates(texts: DataFrame, signals: tuple[str, ...] = GUIDANCE_SIGN
     return found.withColumn("snippet", F.substring(F.regexp_replace(F.substring(F.col("text"), start, end - start), r"\s+", " "), 1, most))
 
 
+def filing_candidates(filings: DataFrame) -> DataFrame:
+    """Filings (form, text) of GUIDANCE_FORMS with a signal word: signal_candidates with FILING_SIGNALS."""
+    return signal_candidates(filings.where(F.upper(F.trim("form")).isin(*GUIDANCE_FORMS)), FILING_SIGNALS)
+
+
 def outcomes(results: DataFrame) -> DataFrame:
     """For each symbol: skipped if any provider was, unresolved if none found it, else resolved."""
     lost = F.bool_and(F.col("status").isin("not_found", "error"))

@@ -57,11 +57,11 @@ def conflict_counts(conflicts: DataFrame) -> DataFrame:
 
 def earnings_conflicts(first: DataFrame, second: DataFrame) -> DataFrame:
     """Each row of first with its match in second, by fiscal period or else by report date (first by seq), and the size of the EPS difference."""
-    b = second.select(*(F.col(c).alias(f"b_{c}") for c in ("ticker", "fiscal_period", "report_date", "eps", "seq")))
-    by_period = first.join(b, (first.ticker == b.b_ticker) & (first.fiscal_period == b.b_fiscal_period)).withColumn("priority", F.lit(1))
-    by_date = first.join(b, (first.ticker == b.b_ticker) & (first.report_date == b.b_report_date)).withColumn("priority", F.lit(2))
-    best = top_k(by_period.unionByName(by_date), ["ticker", "seq"], [F.asc("priority"), F.asc("b_seq")], 1).select("ticker", "seq", "b_report_date", "b_fiscal_period", "b_eps")
-    rows = first.join(best, ["ticker", "seq"], "left")
+    # The first row of second for each period and for each date, so that a row of first meets one of either.
+    match = F.struct(F.col("report_date").alias("b_report_date"), F.col("fiscal_period").alias("b_fiscal_period"), F.col("eps").alias("b_eps"))
+    one = lambda key: second.where(F.col(key).isNotNull()).groupBy("ticker", key).agg(F.min_by(match, "seq").alias(f"_{key}"))
+    met = first.join(one("fiscal_period"), ["ticker", "fiscal_period"], "left").join(one("report_date"), ["ticker", "report_date"], "left")
+    rows = met.withColumn("_b", F.coalesce("_fiscal_period", "_report_date")).select(*first.columns, "_b.*")
     delta = F.abs(F.col("eps") - F.col("b_eps"))
     bucket = F.when(F.col("b_report_date").isNull(), "unmatched").when(delta.isNull(), "no_value").when(delta <= 1e-12, "exact").when(delta <= 0.02, "small").when(delta <= 0.05, "medium").otherwise("large")
     return rows.select("ticker", "seq", bucket.alias("bucket"), (F.col("report_date") != F.col("b_report_date")).alias("report_date_differs"), (F.col("fiscal_period") != F.col("b_fiscal_period")).alias("fiscal_period_differs"))

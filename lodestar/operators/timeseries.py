@@ -48,11 +48,12 @@ def as_of(left: DataFrame, points: DataFrame, keys: Sequence[str], left_date: st
     return p.unionAll(rows).withColumn("_seen", seen).where(F.col("_left").isNotNull()).select("_left.*", F.col("_seen._date").alias(point_date), *(F.col(f"_seen.{v}").alias(v) for v in values))
 
 
-def largest_gap(df: DataFrame, key: str, date: str) -> DataFrame:
-    """For each key its first and last date, the number of dates, and the widest run of missing business days with the dates around it (the earliest of equal ones)."""
+def largest_gap(df: DataFrame, key: str, date: str, *more: Column) -> DataFrame:
+    """For each key its first and last date, the number of dates, more aggregates over the distinct dates, and the widest run of missing
+    business days with the dates around it (the earliest of equal ones)."""
     days = df.select(key, date).where(F.col(date).isNotNull()).distinct()
     before = F.lag(date).over(Window.partitionBy(key).orderBy(date))
     gaps = days.withColumn("_before", before).withColumn("_gap", F.coalesce(business_days_between(F.col("_before"), F.col(date)), F.lit(0)))
     widest = F.max_by(F.struct("_before", date), F.struct("_gap", -F.unix_date(F.col(date))))
-    found = gaps.groupBy(key).agg(F.min(date).alias("first_date"), F.max(date).alias("last_date"), F.count("*").alias("n_dates"), F.max("_gap").alias("largest_gap"), widest.alias("_w"))
+    found = gaps.groupBy(key).agg(F.min(date).alias("first_date"), F.max(date).alias("last_date"), F.count("*").alias("n_dates"), F.max("_gap").alias("largest_gap"), widest.alias("_w"), *more)
     return found.select("*", F.when(F.col("largest_gap") > 0, F.col("_w._before")).alias("gap_after"), F.when(F.col("largest_gap") > 0, F.col(f"_w.{date}")).alias("gap_before")).drop("_w")

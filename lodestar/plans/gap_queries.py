@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import classify, geography, symbols
-from ..operators import audits, chain, health, macro, payloads, reconcile
+from ..operators import audits, chain, health, macro, observations, payloads, reconcile
 from ..sources import adapters as a
 from .queries import AS_OF, query
 
@@ -380,3 +380,30 @@ def rg8_entity_attributes(spark, sf):
         F.lit(None).cast("string").alias("home_country"), F.lit(None).cast("string").alias("instrument_type"), F.col("p_partkey").alias("seq"),
     )
     return payloads.entity_attributes(rows)
+
+
+# --- filings
+
+FORMS = ("8-K", "10-Q", " 6-k ", None, "8-K/A")
+FILED = ("Item 2.02  Results of Operations", "EX-99.1 of the press release", "annual meeting", "Business OUTLOOK for the year", None, "we withdraw guidance; results follow", "Item 8.01 other events")
+
+
+@query(
+    f"""SELECT * FROM (SELECT event_id, CASE {" ".join(f"WHEN contains(lower(t), '{s}') THEN '{s}'" for s in observations.FILING_SIGNALS)} END AS signal, regexp_replace(t, '\s+', ' ', 'g') AS snippet
+FROM (SELECT event_id, {picked(FILED, "event_id // 5")} AS t, {picked(FORMS, "event_id")} AS f FROM events) WHERE upper(trim(f)) IN ('8-K', '6-K')) WHERE signal IS NOT NULL"""
+)
+def ob6_filing_guidance(spark, sf):
+    filings = a.table(spark, sf, "events").select("event_id", pick(FORMS, "event_id").alias("form"), pick(FILED, "event_id div 5").alias("text"))
+    return observations.filing_candidates(filings).select("event_id", "signal", "snippet")
+
+
+@query(
+    """, s AS (SELECT 'prices' AS asset, max(l_shipdate::DATE)::TIMESTAMP AS last, 48 AS f, 48 AS g FROM lineitem UNION ALL SELECT 'orders', max(o_orderdate::DATE)::TIMESTAMP, 26, 24 FROM orders),
+r AS (SELECT asset, CASE WHEN h <= f THEN 'fresh' WHEN h <= f + g THEN 'stale_within_tolerance' ELSE 'failed_hard' END AS freshness_state FROM (SELECT *, (epoch(TIMESTAMP '2001-11-05 12:00:00') - epoch(last)) / 3600 AS h FROM s))
+SELECT asset, freshness_state, CASE WHEN bool_or(freshness_state = 'failed_hard') OVER () THEN 'failed_hard' WHEN bool_or(freshness_state = 'stale_within_tolerance') OVER () THEN 'stale_within_tolerance' ELSE 'fresh' END AS overall_state FROM r""",
+    "one AS (SELECT 1)",
+)
+def fr3_overall_state(spark, sf):
+    orders = a.table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("date"))
+    rows = health.asset_status({"prices": (a.prices(spark, sf), "date", 48, 48), "orders": (orders, "date", 26, 24)}, "2001-11-05 12:00:00")
+    return health.overall_state(rows).select("asset", "freshness_state", "overall_state")

@@ -66,20 +66,48 @@ def replace_slice(existing: DataFrame, new: DataFrame, keys: DataFrame, on: Sequ
     return existing.join(keys.select(*on).distinct(), list(on), "left_anti").unionByName(new, allowMissingColumns=True)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def write_version(df: DataFrame, path: str, version: str) -> None:
     """Write a version of a table beside the others; then the pointer, as the last step, names it as the current one.
 
-    Nothing that is being read is overwritten, and a failed write leaves the pointer as it was.
+    Nothing that is being read is overwritten, and a failed write leaves the pointer as it was. A version that was written whole
+    (its success marker is there) is not written again, a half-written one is; so a rerun after a crash at any point ends with the
+    version whole and the pointer on it.
     """
-    df.write.mode("errorifexists").parquet(f"{path}/version={version}")
-    pointer = df.sparkSession.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at"))
-    pointer.coalesce(1).write.mode("append").parquet(f"{path}/_current")
+    spark = df.sparkSession
+    if not _exists(spark, f"{path}/version={version}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(f"{path}/version={version}")
+    if version not in pointed_versions(spark, path):
+        place = len(pointed_versions(spark, path))
+        spark.range(1).select(F.lit(version).alias("version"), F.lit(place).alias("place")).coalesce(1).write.mode("append").parquet(f"{path}/_current")
+
+
+def pointed_versions(spark: SparkSession, path: str) -> list[str]:
+    """The versions that the pointer has named, in order; one row a version."""
+    if not _exists(spark, f"{path}/_current"):
+        return []
+    return [r.version for r in spark.read.schema("version string, place int").parquet(f"{path}/_current").orderBy("place").collect()]
+
+
+def read_current(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The version that the pointer names; without one an empty table of the schema, or an error where none is given."""
+    versions = pointed_versions(spark, path)
+    if not versions and schema is not None:
+        return spark.createDataFrame([], schema)
+    if not versions:
+        raise ValueError(f"{path} has no current version")
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{path}/version={versions[-1]}")
 
 
-def read_current(spark: SparkSession, path: str) -> DataFrame:
-    """The version that the pointer was last set to."""
-    version = spark.read.parquet(f"{path}/_current").agg(F.max_by("version", "at")).first()[0]
-    return spark.read.parquet(f"{path}/version={version}")
+def replace_snapshot(df: DataFrame, path: str, version: str) -> DataFrame:
+    """The whole table as df's rows: a new version behind the pointer, read back from its files."""
+    write_version(df, path, version)
+    return read_current(df.sparkSession, path, df.schema)
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.tables import keyed_append, read_table, write_version
+from ..sources.tables import keyed_append, pointed_versions, read_current, write_version
 
 
 def deduplicated(stream: DataFrame, keys: Sequence[str], at: str, delay: str) -> DataFrame:
@@ -18,17 +19,17 @@ def deduplicated(stream: DataFrame, keys: Sequence[str], at: str, delay: str) ->
 def append_stream(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str] = (), transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Merge each micro-batch into the keyed table at path, as a new version behind its pointer.
 
-    transform is the same function that a batch job uses. A batch that runs again writes no second version: versions are named
-    by batch. Late repeats beyond a watermark are merged by key here.
+    transform is the same function that a batch job uses. Versions are named by checkpoint and batch: a batch that runs again, after
+    a crash at any point, ends with one version of its own and the pointer on it, and a new checkpoint goes on from the current
+    version. Late repeats beyond a watermark are merged by key here. One stream at a time may write a table.
     """
+    own = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def merge(batch: DataFrame, number: int) -> None:
         spark: SparkSession = batch.sparkSession
-        new = transform(batch) if transform else batch
-        done = read_table(spark, f"{path}/version={number}", new.schema)
-        if done.schema and done.limit(1).count():
-            return
-        before = read_table(spark, f"{path}/version={number - 1}", new.schema) if number else spark.createDataFrame([], new.schema)
-        write_version(keyed_append(before, new, keys, order), path, str(number))
+        version = f"{own}-{number:012d}"
+        if version not in pointed_versions(spark, path):
+            new = transform(batch) if transform else batch
+            write_version(keyed_append(read_current(spark, path, new.schema), new, keys, order), path, version)
 
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(merge).start()
