@@ -69,7 +69,7 @@ class PreTokens:
     def count(self, words: list[str]) -> list[int]:
         """Tokens of each pre-token. At most REMEMBERED short ones are known at once."""
         known = self.known
-        new = {w: len(self.encode(w)) for w in {*words} - known.keys()}
+        new = {w: len(self.encode(w)) for w in {*words} if w not in known}
         out = [known.get(w) or new[w] for w in words] if new else [known[w] for w in words]
         if new:
             if len(known) + len(new) > REMEMBERED:
