@@ -10,6 +10,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,8 @@ from .common import all_matches, spans
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: White space as that pattern means it (the white space of Unicode); Python's has four control characters more.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Pre-tokens whose counts a worker remembers.
-REMEMBERED = 1 << 17
+#: Pre-tokens whose counts a worker remembers (at most 40 code points each: some 80 MB).
+REMEMBERED = 1 << 19
 
 
 @lru_cache(maxsize=2)
@@ -68,13 +69,13 @@ class PreTokens:
 
     def count(self, words: list[str]) -> list[int]:
         """Tokens of each pre-token. At most REMEMBERED short ones are known at once."""
-        known = self.known
-        new = {w: len(self.encode(w)) for w in {*words} if w not in known}
-        out = [known.get(w) or new[w] for w in words] if new else [known[w] for w in words]
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                self.known = known = dict.fromkeys(self.special, 1)
-            known.update((w, n) for w, n in list(new.items())[:REMEMBERED] if len(w) <= 40)
+        out = [*map(self.known.get, words)]
+        if None in out:
+            new = {w: len(self.encode(w)) for w in {w for w, n in zip(words, out, strict=True) if n is None}}
+            out = [new[w] if n is None else n for w, n in zip(words, out, strict=True)]
+            if len(self.known) + len(new) > REMEMBERED:
+                self.known = dict.fromkeys(self.special, 1)
+            self.known.update((w, n) for w, n in islice(new.items(), REMEMBERED) if len(w) <= 40)
         return out
 
     def leaves(self, text: str) -> tuple[np.ndarray, np.ndarray]:
