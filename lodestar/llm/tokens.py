@@ -25,8 +25,8 @@ from .common import all_matches, spans
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: White space as that pattern means it (the white space of Unicode); Python's has four control characters more.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Pre-tokens whose counts a worker remembers (at most 40 code points each: some 80 MB).
-REMEMBERED = 1 << 19
+#: Pre-tokens whose counts a worker remembers (at most 40 code points each: some 40 MB).
+REMEMBERED = 1 << 18
 
 
 @lru_cache(maxsize=2)
