@@ -389,7 +389,7 @@ FILED = ("Item 2.02  Results of Operations", "EX-99.1 of the press release", "an
 
 
 @query(
-    f"""SELECT * FROM (SELECT event_id, CASE {" ".join(f"WHEN contains(lower(t), '{s}') THEN '{s}'" for s in observations.FILING_SIGNALS)} END AS signal, regexp_replace(t, '\s+', ' ', 'g') AS snippet
+    f"""SELECT * FROM (SELECT event_id, CASE {" ".join(f"WHEN contains(lower(t), '{s}') THEN '{s}'" for s in observations.FILING_SIGNALS)} END AS signal, regexp_replace(t, '\\s+', ' ', 'g') AS snippet
 FROM (SELECT event_id, {picked(FILED, "event_id // 5")} AS t, {picked(FORMS, "event_id")} AS f FROM events) WHERE upper(trim(f)) IN ('8-K', '6-K')) WHERE signal IS NOT NULL"""
 )
 def ob6_filing_guidance(spark, sf):
