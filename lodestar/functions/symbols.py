@@ -103,4 +103,6 @@ def listing_key(figi: Column, isin: Column, mic: Column, provider: Column, count
 
 
 def registry_key(token: Column, region: Column, exchange: Column) -> Column:
-    return F.concat_ws("|", symbol(token), F.coalesce(F.lower(F.trim(region)), F.lit("us")), F.coalesce(symbol(exchange), F.lit("DEFAULT")))
+    """SYMBOL|region|EXCHANGE; a region that isn't there is global, an exchange default, a symbol empty."""
+    place = F.nullif(F.lower(F.trim(region)), F.lit(""))
+    return F.concat_ws("|", F.coalesce(symbol(token), F.lit("")), F.coalesce(place, F.lit("global")), F.coalesce(symbol(exchange), F.lit("default")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.casts import day, number
+from ..functions.casts import day, instant, number
 from ..functions.dates import business_days, on_business_day, period_label, release_day, saturday_on_or_before, thursday_after
 from ..functions.symbols import lookup
 from .timeseries import as_of, keep_last, spine
@@ -13,6 +13,8 @@ from .timeseries import as_of, keep_last, spine
 # Business days after which a value is stale, by frequency; grace of a release; longest lag of a vendor's week.
 STALE_AFTER = {"daily": 5, "weekly": 10, "monthly": 45}
 GRACE_HOURS, VENDOR_LAG_DAYS = 4, 14
+# States of availability.
+AVAILABILITY = ("observed_available", "scheduled_provisional", "late_missing_observation", "schedule_only_unsupported_history")
 
 
 def observations(series: DataFrame) -> DataFrame:
@@ -106,7 +108,7 @@ def availability(calendar: DataFrame, now: Column, supported_from: str) -> DataF
     observed = F.col("observed_at").isNotNull()
     delay = F.unix_timestamp("observed_at") - F.unix_timestamp("scheduled_at")
     late = now > F.col("scheduled_at") + F.expr(f"interval {GRACE_HOURS} hours")
-    status = F.when(observed, "observed_available").when(F.col("scheduled_at") < F.lit(supported_from).cast("timestamp"), "unsupported_history").when(late, "late_missing_observation").otherwise("provisional")
+    status = F.when(observed, "observed_available").when(F.col("scheduled_at") < F.lit(supported_from).cast("timestamp"), "schedule_only_unsupported_history").when(late, "late_missing_observation").otherwise("scheduled_provisional")
     return calendar.withColumns({"availability_status": status, "delay_vs_schedule_seconds": F.when(observed, delay), "is_schedule_based_only": ~observed})
 
 
@@ -120,21 +122,52 @@ def latest_effective(calendar: DataFrame, now: Column) -> DataFrame:
     return calendar.agg(F.coalesce(F.max(F.when(at <= now, at)), F.max(at)).alias("latest_effective_at"))
 
 
-def calendar_violations(calendar: DataFrame) -> DataFrame:
-    """(rule, n) of broken rules of a release calendar with availability."""
-    observed = F.col("observed_at").isNotNull()
-    rules = {
-        "null_key": F.col("series_key").isNull() | F.col("observation_period").isNull(),
-        "null_schedule": F.col("scheduled_at").isNull(),
-        "observed_but_schedule_only": observed & F.col("is_schedule_based_only"),
-        "observed_status": observed & (F.col("availability_status") != "observed_available"),
-        "delay_on_schedule_only": ~observed & F.col("delay_vs_schedule_seconds").isNotNull(),
-        "delay_value": observed & (F.col("delay_vs_schedule_seconds") != F.unix_timestamp("observed_at") - F.unix_timestamp("scheduled_at")),
+def calendar_rules(now: Column) -> dict[str, tuple[tuple[str, ...], Column]]:
+    """What each rule of a release calendar reads, and the condition of a row that breaks it. Columns may hold texts or typed values."""
+    times = ("scheduled_at", "released_at", "observed_at", "ingested_at")
+    at = {c: instant(F.col(c)) for c in times}
+    text = {c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in ("series_key", "observation_period", "zone", "availability_status", "availability_source", "is_schedule_based_only")}
+    token = F.lower(text["is_schedule_based_only"])
+    schedule_only = F.when(token.isin("true", "1"), True).when(token.isin("false", "0"), False)
+    observed, status, delay = at["observed_at"].isNotNull(), text["availability_status"], number(F.col("delay_vs_schedule_seconds"))
+    due = F.rint((F.unix_micros(at["observed_at"]) - F.unix_micros(at["scheduled_at"])) / 1e6)
+    flag, late = ("observed_at", "is_schedule_based_only"), ("observed_at", "delay_vs_schedule_seconds")
+    rules = {f"empty_{c}": ((c,), text[c] == "") for c in ("series_key", "observation_period", "zone", "availability_status", "availability_source")}
+    rules |= {f"invalid_{c}": ((c,), at[c].isNull()) for c in ("scheduled_at", "released_at", "ingested_at")}
+    rules |= {f"invalid_{c}": ((c,), day(F.col(c)).isNull()) for c in ("observation_date", "release_date_local")}
+    return rules | {
+        "invalid_observed_at": (("observed_at",), F.col("observed_at").isNotNull() & ~observed),
+        "invalid_is_schedule_based_only": (("is_schedule_based_only",), schedule_only.isNull()),
+        "invalid_delay": (("delay_vs_schedule_seconds",), F.col("delay_vs_schedule_seconds").isNotNull() & delay.isNull()),
+        "released_is_not_scheduled": (("released_at", "scheduled_at"), at["released_at"] != at["scheduled_at"]),
+        "unknown_status": (("availability_status",), ~status.isin("", *AVAILABILITY)),
+        "observed_but_schedule_only": (flag, observed & schedule_only),
+        "neither_observed_nor_schedule_only": (flag, ~observed & ~schedule_only),
+        "observed_status": (("observed_at", "availability_status"), observed & (status != AVAILABILITY[0])),
+        "delay_value": ((*late, "scheduled_at"), observed & at["scheduled_at"].isNotNull() & (delay.isNull() | (F.rint(delay) != due))),
+        "delay_on_schedule_only": (late, ~observed & delay.isNotNull()),
+        "observed_in_future": (("observed_at",), at["observed_at"] > now),
     }
-    counts = calendar.agg(*(F.count_if(c).alias(r) for r, c in rules.items()))
-    each = counts.select(F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).alias("n")) for r in rules))).alias("x")).select("x.*")
-    doubled = calendar.groupBy("series_key", "observation_period").count().where("count > 1").agg(F.count("*").alias("n")).select(F.lit("duplicate_key").alias("rule"), "n")
-    return each.unionAll(doubled).where("n > 0")
+
+
+def calendar_violations(calendar: DataFrame, now: Column | None = None, allow_empty: bool = False) -> DataFrame:
+    """(rule, n): every broken rule of a release calendar with the number of rows that break it.
+
+    Blank and null texts are empty. A column that is not there is reported as missing_<column>, and the rules that read it are left
+    out. duplicate_key counts all rows of a repeated key. All rules but that one are counted in one pass.
+    """
+    rules = calendar_rules(F.current_timestamp() if now is None else now)
+    wanted = sorted({c for needs, _ in rules.values() for c in needs})
+    missing = [c for c in wanted if c not in calendar.columns]
+    conditions = {name: broken for name, (needs, broken) in rules.items() if not set(needs) & set(missing)}
+    empty = F.lit(0) if allow_empty else (F.count("*") == 0).cast("int")
+    named = {"empty_calendar": empty.cast("long"), **{f"missing_{c}": F.lit(1).cast("long") for c in missing}, **{r: F.count_if(c) for r, c in conditions.items()}}
+    counts = calendar.agg(F.count("*").alias("_rows"), *(c.alias(r) for r, c in named.items()))
+    each = counts.select(F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).alias("n")) for r in named))).alias("x")).select("x.*")
+    if not {"series_key", "observation_period"} & set(missing):
+        doubled = calendar.groupBy("series_key", "observation_period").count().where("count > 1").agg(F.sum("count").alias("n"))
+        each = each.unionAll(doubled.select(F.lit("duplicate_key").alias("rule"), "n"))
+    return each.where("n > 0")
 
 
 # The series with provider, code, frequency, whether required, since when, whether optional; calendars.

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.casts import day, number, ratio, symbol
-from ..functions.dates import business_days_inclusive
+from ..functions.casts import day, instant, number, ratio, symbol
+from ..functions.dates import business_days_inclusive, quarter_index
 from .timeseries import largest_gap, top_k
 
 YEAR = 252
@@ -70,13 +70,35 @@ def history_repairs(universe: DataFrame, prices: DataFrame, min_rows: int, stale
 
 def data_windows(prices: DataFrame) -> DataFrame:
     """Dates, expected and missing business days, completeness and its tier, and the largest gap of each symbol."""
-    rows = largest_gap(clean_prices(prices), "symbol", "date", F.count_if(F.weekday("date") < 5).alias("actual"))
+    rows = largest_gap(clean_prices(prices), "symbol", "date").withColumnRenamed("n_dates", "actual")
     rows = rows.withColumn("expected", business_days_inclusive(F.col("first_date"), F.col("last_date")))
-    rows = rows.withColumns({"missing": F.greatest(F.lit(0), F.col("expected") - F.col("actual")), "completeness": F.coalesce(ratio(F.col("actual") * 100.0, F.col("expected")), F.lit(0.0))})
-    tier = F.when(F.col("missing") == 0, "complete").when((F.col("completeness") >= 99) & (F.col("largest_gap") <= 3), "nearly complete").when(F.col("completeness") >= 95, "usable").otherwise("incomplete")
+    rows = rows.withColumns({"missing": F.greatest(F.lit(0), F.col("expected") - F.col("actual")), "completeness": F.round(ratio(F.col("actual") * 100.0, F.col("expected")), 2)})
+    tier = F.when(F.col("missing") == 0, "complete").when((F.col("completeness") >= 99) & (F.col("missing") <= 3), "nearly complete").when(F.col("completeness") >= 95, "usable").otherwise("incomplete")
     return rows.select("symbol", "first_date", "last_date", "expected", "actual", "missing", "completeness", "largest_gap", "gap_after", "gap_before", tier.alias("assessment"))
 
 
+def period_windows(rows: DataFrame, key: str, date: str, updates: tuple[str, ...] = (), quarterly: bool = False) -> DataFrame:
+    """Dates of each key, its latest update over the time columns, and the widest gap (the earliest of equal ones) as a text.
+
+    quarterly: quarters from the first to the last date are expected, and those not there are missing; otherwise nothing is expected.
+    A key without a date has no window, but a latest update.
+    """
+    stamp = F.array_max(F.array(*(instant(F.col(c)) for c in updates))) if updates else F.lit(None).cast("timestamp")
+    days = rows.groupBy(key, day(F.col(date)).alias("_day")).agg(F.max(stamp).alias("_at"))
+    days = days.withColumn("_before", F.lag("_day").over(Window.partitionBy(key).orderBy("_day")))
+    between = (quarter_index(F.col("_day")) - quarter_index(F.col("_before")) if quarterly else F.datediff("_day", "_before")) - 1
+    days = days.withColumn("_gap", F.greatest(F.lit(0), between))
+    widest = F.max_by(F.struct("_gap", "_before", "_day"), F.struct("_gap", -F.unix_date("_day"))).alias("_w")
+    found = days.groupBy(key).agg(F.min("_day").alias("first_date"), F.max("_day").alias("last_date"), F.max("_at").alias("latest_update"), F.count("_day").alias("actual"), widest)
+    expected = (quarter_index(F.col("last_date")) - quarter_index(F.col("first_date")) + 1 if quarterly else F.lit(None)).cast("long")
+    unit = "missing_quarters" if quarterly else "missing_calendar_days"
+    summary = F.when(F.col("_w._gap") > 0, F.format_string(f"%s -> %s ({unit}=%d)", F.col("_w._before").cast("string"), F.col("_w._day").cast("string"), "_w._gap"))
+    found = found.withColumn("expected", expected)
+    missing = F.when(F.col("expected").isNotNull(), F.greatest(F.lit(0), F.col("expected") - F.col("actual")))
+    completeness = F.round(ratio(F.col("actual") * 100.0, F.col("expected")), 2)
+    return found.select(key, "first_date", "last_date", "latest_update", "expected", "actual", missing.alias("missing"), completeness.alias("completeness"), summary.alias("largest_gap"))
+
+
 def latest_and_history(prices: DataFrame) -> DataFrame:
     """The latest row of each symbol."""
     return top_k(clean_prices(prices), ["symbol"], [F.desc("date"), F.desc("close")], 1)

@@ -88,9 +88,9 @@ def mk5_history_repairs(spark, sf):
 
 @query(
     f"""SELECT symbol, first_date, last_date, expected, actual, missing, round(completeness, 6) AS completeness, largest_gap, CASE WHEN largest_gap > 0 THEN w.b END AS gap_after, CASE WHEN largest_gap > 0 THEN w.d END AS gap_before,
- CASE WHEN missing = 0 THEN 'complete' WHEN completeness >= 99 AND largest_gap <= 3 THEN 'nearly complete' WHEN completeness >= 95 THEN 'usable' ELSE 'incomplete' END AS assessment
-FROM (SELECT *, greatest(0, expected - actual) AS missing, coalesce(actual * 100.0::DOUBLE / nullif(expected, 0), 0) AS completeness FROM (
- SELECT symbol, min(date) AS first_date, max(date) AS last_date, {a.weekdays("(max(date) + 1)")} - {a.weekdays("min(date)")} AS expected, count(*) FILTER (isodow(date) < 6) AS actual, max(gap) AS largest_gap, arg_max({{'b': before, 'd': date}}, (gap, -date_diff('day', DATE '1970-01-01', date))) AS w
+ CASE WHEN missing = 0 THEN 'complete' WHEN completeness >= 99 AND missing <= 3 THEN 'nearly complete' WHEN completeness >= 95 THEN 'usable' ELSE 'incomplete' END AS assessment
+FROM (SELECT *, greatest(0, expected - actual) AS missing, round(actual * 100.0::DOUBLE / nullif(expected, 0), 2) AS completeness FROM (
+ SELECT symbol, min(date) AS first_date, max(date) AS last_date, {a.weekdays("(max(date) + 1)")} - {a.weekdays("min(date)")} AS expected, count(*) AS actual, max(gap) AS largest_gap, arg_max({{'b': before, 'd': date}}, (gap, -date_diff('day', DATE '1970-01-01', date))) AS w
  FROM (SELECT *, coalesce(greatest(0, {a.weekdays("date")} - {a.weekdays("(before + 1)")}), 0) AS gap FROM (SELECT symbol, date, lag(date) OVER (PARTITION BY symbol ORDER BY date) AS before FROM prices)) GROUP BY symbol))""",
     a.PRICES,
 )
@@ -277,7 +277,7 @@ def rc3_weekly_schedule(spark, sf):
     return macro.weekly_schedule(weeks, vendor)
 
 
-CALENDAR_SQL = """cal AS (SELECT series_key, observation_period, scheduled_at, observed_at, CASE WHEN observed_at IS NOT NULL THEN 'observed_available' WHEN scheduled_at < TIMESTAMP '2024-01-05' THEN 'unsupported_history' WHEN TIMESTAMP '2024-01-28 12:00:00' > scheduled_at + INTERVAL 4 HOUR THEN 'late_missing_observation' ELSE 'provisional' END AS availability_status,
+CALENDAR_SQL = """cal AS (SELECT series_key, observation_period, scheduled_at, observed_at, CASE WHEN observed_at IS NOT NULL THEN 'observed_available' WHEN scheduled_at < TIMESTAMP '2024-01-05' THEN 'schedule_only_unsupported_history' WHEN TIMESTAMP '2024-01-28 12:00:00' > scheduled_at + INTERVAL 4 HOUR THEN 'late_missing_observation' ELSE 'scheduled_provisional' END AS availability_status,
  CASE WHEN observed_at IS NOT NULL THEN epoch(observed_at)::BIGINT - epoch(scheduled_at)::BIGINT END AS delay_vs_schedule_seconds, observed_at IS NULL AS is_schedule_based_only FROM o)"""
 
 
@@ -296,16 +296,6 @@ def rc6_latest_releases(spark, sf):
     return macro.latest_releases(_calendar(spark, sf)).select("series_key", "observation_period", "availability_status")
 
 
-@query(
-    """, bad AS (SELECT * FROM cal UNION ALL SELECT * FROM cal WHERE observation_period = '2024-01-10')
-SELECT 'duplicate_key' AS rule, count(*) AS n FROM (SELECT 1 FROM bad GROUP BY series_key, observation_period HAVING count(*) > 1) HAVING count(*) > 0""",
-    a.MACRO, OBS, CALENDAR_SQL,
-)
-def rc7_calendar_violations(spark, sf):
-    rows = _calendar(spark, sf)
-    return macro.calendar_violations(rows.unionAll(rows.where("observation_period = '2024-01-10'")))
-
-
 @query("SELECT availability_status, series_key, count(*) AS n FROM cal GROUP BY ALL", a.MACRO, OBS, CALENDAR_SQL)
 def rc8_status_counts(spark, sf):
     return _calendar(spark, sf).groupBy("availability_status", "series_key").agg(F.count("*").alias("n"))

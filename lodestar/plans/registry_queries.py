@@ -133,7 +133,12 @@ def sc36_request_keys(spark, sf):
     return registry.request_keys(a.table(spark, sf, "supplier").select(F.concat(F.lit("q"), k, F.lit(".de")).alias("symbol"), F.when(k % 3 == 0, " xetr").alias("mic"), F.when(k % 5 == 0, "US").alias("exchange_code"), F.when(k % 2 == 0, "usd").alias("currency")))
 
 
-@query(None)
+@query(
+    f"""SELECT symbol, 'Market price history ' || CASE WHEN expected > 0 THEN 'is ' || printf('%.2f', pct) || '% complete from ' || lo || ' to ' || hi || ', with ' || missing || ' missing business days.' ELSE 'window is from ' || lo || ' to ' || hi || '.' END || ' Assessment: ' ||
+ CASE WHEN missing = 0 THEN 'acceptable (no missing business days in range).' WHEN pct IS NULL THEN 'needs review (completeness percentage unavailable).' WHEN pct >= 99 AND missing <= 3 THEN 'generally acceptable with minor gaps.' WHEN pct >= 95 THEN 'usable but gaps should be reviewed before strict analyses.' ELSE 'not acceptable for strict analyses until gaps are resolved.' END AS summary
+FROM (SELECT *, greatest(0, expected - actual) AS missing, round(actual * 100.0::DOUBLE / nullif(expected, 0), 2) AS pct FROM (SELECT symbol, min(date) AS lo, max(date) AS hi, count(*) AS actual, {a.weekdays("(max(date) + 1)")} - {a.weekdays("min(date)")} AS expected FROM prices GROUP BY symbol))""",
+    a.PRICES,
+)
 def mk16_completeness_text(spark, sf):
     return registry.completeness_text(market.data_windows(a.prices(spark, sf)))
 

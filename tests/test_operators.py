@@ -27,7 +27,7 @@ def test_identifiers(spark):
     assert [one(spark, symbols.isin_is_valid(F.col("s")), s=x) for x in ("US0378331005", "US0378331006", "DE0007164600", "GB0002634946", "x", None)] == [True, False, True, True, False, False]
     assert [one(spark, symbols.country_of(F.col("s")), s=x) for x in ("VOD LN", "0700.HK", "AAPL")] == ["GB", "HK", None]
     assert [one(spark, symbols.is_placeholder(F.col("s")), s=x) for x in ("1234A", "123A", None)] == [True, False, False]
-    assert one(spark, symbols.registry_key(F.col("s"), F.col("r"), F.col("e")), s=" abc", r=None, e="xnys") == "ABC|us|XNYS"
+    assert one(spark, symbols.registry_key(F.col("s"), F.col("r"), F.col("e")), s=" abc", r=None, e="xnys") == "ABC|global|XNYS"
 
 
 def test_lenient_casts(spark):
