@@ -98,7 +98,7 @@ def ob9_rebalances(spark, sf):
 
 
 @query(
-    r"""SELECT * FROM (SELECT page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '<h[12][^>]*>(.*?)</h[12]>', 1, 'is'), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS title, try_cast(nullif(regexp_extract(html, '\b([0-9]{4}-[0-9]{2}-[0-9]{2})\b', 1), '') AS DATE) AS event_date FROM pages) WHERE title <> ''"""
+    r"""SELECT * FROM (SELECT page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '<h[1-4][^>]*>(.*?)</h[1-4]>', 1, 'is'), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS title, try_cast(nullif(regexp_extract(html, '\b([0-9]{4}-[0-9]{2}-[0-9]{2})\b', 1), '') AS DATE) AS event_date FROM pages) WHERE title <> ''"""
 )
 def ob11_page_events(spark, sf):
     return events.page_events(a.table(spark, sf, "pages"))
