@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BLOCK = 256
@@ -114,3 +114,18 @@ def all_matches(text: Column, pattern: str, guard: Column | None = None) -> Colu
     """The text of all matches, in order; none for null. The pattern must not match an empty string. guard: whether there can be a match."""
     found = F.coalesce(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.expr("cast(array() as array<string>)"))
     return found if guard is None else F.when(guard, found).otherwise(F.expr("cast(array() as array<string>)"))
+
+
+def numbered(df: DataFrame, order: list[Column], name: str, folder: str) -> DataFrame:
+    """df with the column name: 0, 1, ... in the given order, null first as the order says; equal rows in any order. df is written once.
+
+    Rows are range-partitioned, sorted and written; a row's number is its place in its file after all rows of earlier files. The
+    row's place in the input is the last key of the order, so equal keys, however many, spread over tasks. Only one count a file is
+    sent to every task (as many as there are shuffle partitions).
+    """
+    placed = df.withColumn("_tie", F.monotonically_increasing_id())
+    sorted_rows = placed.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie").withColumn("_part", F.spark_partition_id())
+    rows = cut(sorted_rows, folder).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    earlier = Window.orderBy("_part", "_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy("_part", "_file").count().select("_part", "_file", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_before"))
+    return rows.join(F.broadcast(files), ["_part", "_file"]).withColumn(name, F.col("_before") + F.col("_place")).drop("_part", "_file", "_place", "_before")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, embeddings, language, packing, quality, secrets, sharding, simhash, tokens, warc
+from . import common, decontaminate, embeddings, language, packing, quality, resampling, secrets, sharding, simhash, tokens, warc
 
 
 def tokenizer() -> str:
@@ -64,10 +64,20 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_embedding_near_dedup, op3_quality, op4_language, op5_simhash, op6_warc, op7_decontamination, op8_token_counts, op9_packing, op10_secrets)}
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_embedding_near_dedup, op3_quality, op4_language, op5_simhash, op6_warc, op7_decontamination, op8_token_counts, op9_packing, op10_secrets, op12_importance_resampling)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+#: CTEs for crc32 of strings: the table of 256 remainders, and an expression over it.
+_CRC_TABLE = """bit AS (SELECT i::BIGINT AS i, i::BIGINT AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bit WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS crc_of FROM bit WHERE k = 8)"""
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode({0}))),
+  lambda i: ('0x' || substr(hex(encode({0})), (2 * i + 1)::BIGINT, 2))::BIGINT)), lambda c, x: xor(c >> 8, crc_of[xor(c & 255, x) + 1])), 4294967295)"""
 
 SQL = {
     "op2_embedding_near_dedup": """
@@ -103,4 +113,19 @@ named AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS i
 SELECT doc.doc_id, coalesce(len(doc.w), 0)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(named.n, 0)::BIGINT AS n_items,
   sha256(coalesce(named.ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op12_importance_resampling": rf"""
+WITH RECURSIVE {_CRC_TABLE},
+doc AS (SELECT doc_id, unnest({_WORDS}) AS w FROM documents),
+item AS (SELECT unnest({_WORDS}) AS w FROM benchmark),
+bucket AS (SELECT w, {_CRC.format("w")} % 10000 AS b FROM (SELECT w FROM doc UNION SELECT w FROM item), crc_table),
+s AS (SELECT b, count(*) AS s FROM doc JOIN bucket USING (w) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM item JOIN bucket USING (w) GROUP BY b),
+gain AS (SELECT b, floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT count(*) FROM doc) + 10000)::DOUBLE / ((coalesce(s, 0) + 1) * ((SELECT count(*) FROM item) + 10000)::DOUBLE))) AS gain
+  FROM (SELECT DISTINCT b FROM bucket) LEFT JOIN s USING (b) LEFT JOIN t USING (b)),
+weight AS (SELECT doc_id, count(*) AS n, floor(sum(gain) / count(*))::BIGINT AS weight FROM doc JOIN bucket USING (w) JOIN gain USING (b) GROUP BY doc_id),
+scored AS (SELECT doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM documents LEFT JOIN weight USING (doc_id)),
+placed AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= (SELECT count(place) * 10 // 100 FROM placed) THEN place END AS rank FROM placed""",
 }
