@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, embeddings, language, packing, quality, resampling, secrets, sharding, simhash, tokens, warc
+from . import common, decontaminate, embeddings, fingerprints, language, packing, quality, resampling, secrets, sharding, simhash, tokens, warc
 
 
 def tokenizer() -> str:
@@ -64,11 +64,15 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_report(table(spark, sf_dir, "documents"))
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.document_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_embedding_near_dedup, op3_quality, op4_language, op5_simhash, op6_warc, op7_decontamination, op8_token_counts, op9_packing, op10_secrets, op12_importance_resampling)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_embedding_near_dedup, op3_quality, op4_language, op5_simhash, op6_warc, op7_decontamination, op8_token_counts, op9_packing, op10_secrets, op11_document_fingerprints, op12_importance_resampling)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
