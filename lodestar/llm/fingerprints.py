@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import cut, numbered
 
 #: Samples in a fingerprint, and the hex digits that each takes in it.
-SAMPLES, DIGITS = 16, 8
+SAMPLES, DIGITS = 32, 8
 _LOW = 0xFFFFFFFF
 
 
@@ -68,20 +68,20 @@ def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
-    """(doc_id, dg, copies, next_id, next_dg): each text of an id and what follows it in the order of doc_id, then of the text's digest.
+    """(key, doc_id, n_chars, copies, next_key): each text of an id and what follows it in the order of doc_id, then of the text's digest.
 
     Equal rows stand in a row: all but the last are followed by themselves. So an id and text has one row, or two of which one has
-    copies - 1. The last row is followed by the first. Only ids and digests are sorted, over all tasks.
+    copies - 1. The last row is followed by the first. Only ids, digests and lengths are sorted, over all tasks.
     """
-    known = cut(docs.groupBy("doc_id", "dg").agg(F.count("*").alias("n")), "known")
-    placed = numbered(known, [F.asc_nulls_first("doc_id"), F.asc("dg")], "place", "ordered")
+    known = cut(docs.groupBy("key", "doc_id", "dg", "n_chars").agg(F.count("*").alias("n")), "known")
+    placed = numbered(known, [F.asc_nulls_first("doc_id"), F.asc("dg")], "place", "ordered").drop("dg")
     total = known.count()
-    after = placed.select(((F.col("place") - 1 + total) % F.lit(max(total, 1))).alias("place"), F.col("doc_id").alias("next_id"), F.col("dg").alias("next_dg"))
+    after = placed.select(((F.col("place") - 1 + total) % F.lit(max(total, 1))).alias("place"), F.col("key").alias("next_key"))
     ways = F.array(
-        F.struct(F.lit(1).cast("long").alias("copies"), F.col("next_id"), F.col("next_dg")),
-        F.struct((F.col("n") - 1).alias("copies"), F.col("doc_id").alias("next_id"), F.col("dg").alias("next_dg")),
+        F.struct(F.lit(1).cast("long").alias("copies"), F.col("next_key")),
+        F.struct((F.col("n") - 1).alias("copies"), F.col("key").alias("next_key")),
     )
-    return placed.join(after, "place").select("doc_id", "dg", F.inline(F.filter(ways, lambda w: w["copies"] > 0)))
+    return placed.join(after, "place").select("key", "doc_id", "n_chars", F.inline(F.filter(ways, lambda w: w["copies"] > 0)))
 
 
 def document_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
@@ -91,30 +91,25 @@ def document_fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     empty; texts without words are alike and like no other; rows of one id follow each other by the MD5 of their texts, equal rows give
     equal results but for the last of them; a single row follows itself; other columns are ignored and an empty table gives no rows.
 
-    Texts are shuffled once by id and digest, equal rows as one, and once more at most half of each to the document before it.
-    Everything that grows with the words of a text stays in the task that holds the text.
+    Texts are shuffled once, by a digest of id and text, equal rows as one, and at most half of each once more to the document before
+    it. Everything that grows with the words of a text stays in the task that holds the text.
     """
-    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("dg", F.unhex(F.md5("text")))
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["dg"] == b["dg"])
-    texts = keyed.groupBy("doc_id", "dg").agg(F.first("text").alias("text"))
-    pairs = cut(neighbours(keyed.select("doc_id", "dg")).join(
-        keyed.groupBy("doc_id", "dg").agg(F.max(F.char_length("text")).cast("long").alias("n_chars")).withColumnsRenamed({"doc_id": "_id", "dg": "_dg"}),
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("dg") == F.col("_dg")),
-    ).drop("_id", "_dg"), "pairs")
+    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("dg", F.md5("text"))
+    keyed = keyed.withColumn("key", F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "dg"))))
+    texts = keyed.groupBy("key").agg(F.first("text").alias("text"))
+    pairs = cut(neighbours(keyed.select("key", "doc_id", "dg", F.char_length("text").cast("long").alias("n_chars"))), "pairs")
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    ends = pairs.join(texts.withColumnsRenamed({"doc_id": "_id", "dg": "_dg"}), F.col("next_id").eqNullSafe(F.col("_id")) & (F.col("next_dg") == F.col("_dg")))
-    ends = ends.select(*pairs.columns, F.substring(F.col("text"), F.lit(1), half).alias("end"))
-    both = ends.join(texts.withColumnsRenamed({"doc_id": "_id", "dg": "_dg"}), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("dg") == F.col("_dg")))
+    next_text = texts.select(F.col("key").alias("next_key"), F.col("text").alias("next_text"))
+    ends = pairs.join(next_text.hint("merge"), "next_key").select(*pairs.columns, F.substring(F.col("next_text"), F.lit(1), half).alias("end"))
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - half).cast("int")), F.col("end"))
-    both = both.select("_id", "_dg", *pairs.columns, "text", edited.alias("edited"))
-    told = both.select("_id", "_dg", *pairs.columns, F.sha2("edited", 256).alias("edited_sha256"), F.posexplode(F.array("text", "edited")).alias("which", "own"))
-    by = ["_id", "_dg", *pairs.columns, "edited_sha256"]
+    both = texts.join(ends.hint("merge"), "key").select(*pairs.columns, "text", edited.alias("edited"))
+    told = both.select(*pairs.columns, F.sha2("edited", 256).alias("edited_sha256"), F.posexplode(F.array("text", "edited")).alias("which", "own"))
+    by = [*pairs.columns, "edited_sha256"]
     marks = fingerprints(told, [*by, "which"], F.col("own"), samples)
     of = lambda which: F.max(F.when(F.col("which") == which, F.col("fingerprint")))
-    found = cut(marks.groupBy(*by).agg(of(0).alias("fingerprint"), of(1).alias("edited_fingerprint")).drop("_id", "_dg"), "marks")
-    others = found.groupBy(F.col("doc_id").alias("_id"), F.col("dg").alias("_dg")).agg(F.max("fingerprint").alias("next_fingerprint"))
-    joined = found.join(others, F.col("next_id").eqNullSafe(F.col("_id")) & (F.col("next_dg") == F.col("_dg")))
-    result = joined.select(
+    found = cut(marks.groupBy(*by).agg(of(0).alias("fingerprint"), of(1).alias("edited_fingerprint")), "marks")
+    others = found.groupBy(F.col("key").alias("next_key")).agg(F.max("fingerprint").alias("next_fingerprint"))
+    result = found.join(others, "next_key").select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint"), samples).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint"), samples).alias("near_next"),
