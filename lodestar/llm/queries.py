@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, embeddings, fingerprints, language, packing, quality, resampling, secrets, sharding, simhash, tokens, warc
+from . import common, conversations, decontaminate, embeddings, fingerprints, language, packing, quality, resampling, secrets, sharding, simhash, tokens, warc
 
 
 def tokenizer() -> str:
@@ -72,7 +72,11 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_embedding_near_dedup, op3_quality, op4_language, op5_simhash, op6_warc, op7_decontamination, op8_token_counts, op9_packing, op10_secrets, op11_document_fingerprints, op12_importance_resampling)}
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_embedding_near_dedup, op3_quality, op4_language, op5_simhash, op6_warc, op7_decontamination, op8_token_counts, op9_packing, op10_secrets, op11_document_fingerprints, op12_importance_resampling, op13_prefix_trie)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER.format('text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -132,4 +136,23 @@ scored AS (SELECT doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight,
   FROM documents LEFT JOIN weight USING (doc_id)),
 placed AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place FROM scored)
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= (SELECT count(place) * 10 // 100 FROM placed) THEN place END AS rank FROM placed""",
+    "op13_prefix_trie": rf"""
+WITH RECURSIVE {_CRC_TABLE},
+turns AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (SELECT c, n, {_CRC.format("c::VARCHAR")} % 9 AS h FROM (SELECT c, count(*) AS n FROM turns GROUP BY c), crc_table),
+plan AS (SELECT conv.c, conv.h, least(conv.h, coalesce(base.n, 0)) AS m FROM conv LEFT JOIN conv base ON base.c = conv.c - conv.c % 5),
+rebuilt AS (SELECT plan.c, pos AS d, role, text FROM plan JOIN turns ON turns.c = plan.c - plan.c % 5 AND pos <= h
+  UNION ALL SELECT plan.c, m + pos - h, role, text FROM plan JOIN turns ON turns.c = plan.c AND pos > h),
+path AS (SELECT c, 0::BIGINT AS d, sha256('') AS key, NULL::VARCHAR AS parent, 0::BIGINT AS bytes FROM plan
+  UNION ALL SELECT path.c, rebuilt.d, sha256(path.key || sha256(role) || sha256(text)), path.key, octet_length(encode(text)) FROM path JOIN rebuilt ON rebuilt.c = path.c AND rebuilt.d = path.d + 1),
+node AS (SELECT key, min(c) AS c, max(d) AS d, count(*) AS n, max(parent) AS parent, max(bytes) AS bytes FROM path GROUP BY key),
+long AS (SELECT c, max(d) AS d FROM path GROUP BY c),
+ends AS (SELECT key, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM path JOIN long USING (c, d) GROUP BY key),
+kids AS (SELECT parent AS key, count(*) AS n FROM node WHERE parent IS NOT NULL GROUP BY parent),
+under AS (SELECT a.key, sum((kids.n IS NULL)::INT) AS leaves, sum((v.n - 1) * v.bytes) AS saved
+  FROM node v LEFT JOIN kids ON kids.key = v.key JOIN path a ON a.c = v.c AND a.d <= v.d GROUP BY a.key)
+SELECT v.c AS conv_id, v.d AS depth, above.c AS parent_conv_id, v.n AS n_convs, coalesce(kids.n, 0)::BIGINT AS n_children, under.leaves::BIGINT AS n_leaves,
+  under.saved::BIGINT AS saved_tokens, sha256(coalesce(ends.ids, '')) AS ends_sha256
+FROM node v LEFT JOIN node above ON above.key = v.parent LEFT JOIN kids ON kids.key = v.key LEFT JOIN ends ON ends.key = v.key JOIN under ON under.key = v.key""",
 }
