@@ -32,15 +32,26 @@ def observation_id(*columns: str) -> Column:
     return F.sha2(F.to_json(F.struct(*sorted(columns))), 256)
 
 
+def broken_payloads(raw: DataFrame) -> DataFrame:
+    """(payload_id, provider, symbol, raw_payload) of successful payloads that are no JSON object or array."""
+    broken = F.try_parse_json("raw_payload").isNull() | ~F.ltrim("raw_payload").rlike(r"^[\[{]")
+    rows = raw.where((F.col("status") == "success") & F.coalesce(broken, F.lit(True)))
+    return rows.select(F.sha2(F.concat_ws("|", "provider", "symbol", F.coalesce("raw_payload", F.lit(""))), 256).alias("payload_id"), "provider", "symbol", "raw_payload")
+
+
 def corporate_actions(raw: DataFrame) -> DataFrame:
     """Dividends and splits of successful payloads (provider, symbol, status, raw_payload): one row for each id, rows without an ex-date go."""
+    return top_k(corporate_action_rows(raw), ["observation_id"], [F.asc("ex_date")], 1)
+
+
+def corporate_action_rows(raw: DataFrame) -> DataFrame:
+    """corporate_actions with repeats: row by row, so that it runs on a stream as well."""
     items = raw.where("status = 'success'").select("provider", "symbol", F.explode(payload_items(F.col("raw_payload"), ("data", "results", "historical"))).alias("item"))
     i = F.col("item")
     factor = F.coalesce(split_factor(first_key(i, "ratio", "splitRatio")), ratio(number(first_key(i, "numerator")), number(first_key(i, "denominator"))))
     rows = items.select("provider", "symbol", day(first_key(i, "ex_date", "exDate", "date")).alias("ex_date"), number(first_key(i, "amount", "dividend", "adjDividend")).alias("amount"), factor.alias("factor")).where(F.col("ex_date").isNotNull())
     rows = rows.withColumn("action", F.when(F.col("factor").isNotNull(), "split").otherwise("dividend"))
-    rows = rows.withColumn("observation_id", observation_id("provider", "symbol", "action", "ex_date", "amount", "factor"))
-    return top_k(rows, ["observation_id"], [F.asc("ex_date")], 1)
+    return rows.withColumn("observation_id", observation_id("provider", "symbol", "action", "ex_date", "amount", "factor"))
 
 
 def filings(raw: DataFrame) -> DataFrame:

@@ -44,40 +44,3 @@ def test_blank_names_attach_to_nothing(spark):
     assert {r.symbol: (r.n_matches, r.entity_lei) for r in chain.expansion_matches(listings, records).collect()} == {"A": (0, None), "B": (1, "L2")}
 
 
-@pytest.mark.parametrize("crash", ["half a version", "no pointer", "no crash"])
-def test_streamed_append_survives_crashes_and_new_checkpoints(spark, tmp_path, monkeypatch, crash):
-    from lodestar.sources import tables
-    from lodestar.streaming import incremental
-
-    source, path = f"file://{tmp_path}/in", f"file://{tmp_path}/t"
-    put = lambda k: spark.createDataFrame([(k, 1.0)], "k string, v double").coalesce(1).write.mode("append").parquet(source)
-
-    def run(checkpoint):
-        stream = spark.readStream.schema("k string, v double").parquet(source)
-        incremental.append_stream(stream, path, f"file://{tmp_path}/{checkpoint}", ["k"]).awaitTermination()
-
-    put("a")
-    run("one")
-    put("b")
-    real = tables.write_version
-    if crash != "no crash":
-
-        def broken(df, where, version):
-            if crash == "half a version":
-                (tmp_path / "t" / f"version={version}").mkdir()
-                (tmp_path / "t" / f"version={version}" / "part-0.parquet").write_bytes(b"half")
-            else:
-                df.write.parquet(f"{where}/version={version}")
-            raise RuntimeError("crash")
-
-        monkeypatch.setattr(incremental, "write_version", broken)
-        with pytest.raises(Exception, match="crash"):
-            run("one")
-        assert sorted(r.k for r in tables.read_current(spark, path).collect()) == ["a"]
-        monkeypatch.setattr(incremental, "write_version", real)
-    run("one")
-    assert sorted(r.k for r in tables.read_current(spark, path).collect()) == ["a", "b"]
-    put("c")
-    run("two")
-    assert sorted(r.k for r in tables.read_current(spark, path).collect()) == ["a", "b", "c"]
-    assert len(tables.pointed_versions(spark, path)) == 3

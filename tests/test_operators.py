@@ -152,7 +152,7 @@ def test_tables_and_versions(spark, tmp_path):
 
 
 def test_streamed_batches_merge_by_key(spark, tmp_path):
-    from lodestar.sources import tables
+    from lodestar.sources import commits
     from lodestar.streaming import incremental
 
     source, path = f"file://{tmp_path}/in", f"file://{tmp_path}/t"
@@ -161,7 +161,7 @@ def test_streamed_batches_merge_by_key(spark, tmp_path):
         spark.sql(f"SELECT 'A' AS symbol, timestamp'2026-01-01 00:00:00' AS ts, {i}.0D AS price UNION ALL SELECT 'B{i}', timestamp'2026-01-01 00:00:0{i}', 5.0D").coalesce(1).write.mode("append").parquet(source)
         stream = incremental.deduplicated(spark.readStream.schema(schema).parquet(source), ["symbol", "ts"], "ts", "1 hour")
         incremental.append_stream(stream, path, f"file://{tmp_path}/c", ["symbol", "ts"], transform=lambda df: df.withColumn("price", F.col("price") * 2)).awaitTermination()
-    got = sorted((r.symbol, r.price) for r in tables.read_current(spark, path).collect())
+    got = sorted((r.symbol, r.price) for r in commits.read_bucketed(spark, path).collect())
     assert got == [("A", 0.0), ("B0", 10.0), ("B1", 10.0)]
 
 
