@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .casts import number, symbol
+from .casts import number, symbol, tri_state
 from .symbols import EXCHANGE_SUFFIX, is_placeholder, let, lookup
 
 # Names of instrument types, proxies, country funds; currencies and markers of what is no equity; aliases of described fields.
@@ -42,35 +42,51 @@ def equity_like(raw_symbol: Column, name: Column, asset_class: Column) -> Column
     return ((kind == "") | shares) & ~bad_symbol & ~marked & (token.rlike("[A-Z]") | (shares & token.rlike(r"^[0-9.\\-]+$")))
 
 
-def instrument_type(raw_symbol: Column, hint: Column, exchange: Column, metadata: Column, overrides: Mapping[str, str] | None = None) -> Column:
-    """struct(type, source): by override, hint, what a provider says (a map of texts), or the symbol and exchange, in this order."""
-    token, given = F.coalesce(symbol(raw_symbol), F.lit("")), F.lower(F.trim(hint))
-    field = lambda *names: F.coalesce(*(F.nullif(F.try_element_at(metadata, F.lit(n)), F.lit("")) for n in names))
-    quoted = F.replace(_text(field("quoteType", "quote_type", "securityType", "security_type")), F.lit(" "), F.lit(""))
-    words = F.concat_ws(" ", *(F.nullif(F.upper(field(*n)), F.lit("")) for n in (("shortName", "short_name"), ("longName", "long_name"), ("category",), ("fundFamily", "fund_family"))))
-    padded = F.concat(F.lit(" "), words, F.lit(" "))
-    country_fund = token.isin(*COUNTRY_FUNDS) | padded.contains(" MSCI ") | padded.contains(" COUNTRY ")
-    receipt = padded.contains(" ADR") | padded.contains(" ADS")
-    fund = F.when(country_fund, "country_fund").otherwise("etf")
-    told = (
+def instrument_types(df: DataFrame, candidate: Column, hint: Column, exchange: Column, metadata: Column, overrides: Mapping[str, str] | None = None, entered: Column | None = None) -> DataFrame:
+    """df with type and source: by override of the candidate symbol and then the entered one, by hint, by what a provider says (a map of
+    texts), or by the candidate symbol and exchange, in this order.
+
+    Texts that several rules read are columns of their own, so the plan stays as small as the rules are.
+    """
+    field = lambda *names: F.coalesce(*(F.nullif(F.try_element_at(F.col("_said"), F.lit(n)), F.lit("")) for n in names))
+    words = (("shortName", "short_name"), ("longName", "long_name"), ("category",), ("fundFamily", "fund_family"))
+    given = lambda c: F.coalesce(symbol(c), F.lit(""))
+    told = df.withColumns({"_token": given(candidate), "_entered": given(candidate if entered is None else entered), "_hint": F.lower(F.trim(hint)), "_said": metadata, "_exchange": _text(exchange)})
+    told = told.withColumns(
+        {
+            "_quoted": F.replace(_text(field("quoteType", "quote_type", "securityType", "security_type")), F.lit(" "), F.lit("")),
+            "_words": F.concat(F.lit(" "), F.concat_ws(" ", *(F.nullif(F.upper(field(*n)), F.lit("")) for n in words)), F.lit(" ")),
+            "_flagged": F.coalesce(tri_state(field("isAdr", "is_adr")), F.lit(False)),
+        }
+    )
+    token, quoted, padded = F.col("_token"), F.col("_quoted"), F.col("_words")
+    told = told.withColumns(
+        {
+            "_fund": F.when(token.isin(*COUNTRY_FUNDS) | padded.contains(" MSCI ") | padded.contains(" COUNTRY "), "country_fund").otherwise("etf"),
+            "_receipt": padded.contains(" ADR") | padded.contains(" ADS"),
+            "_proxy": token.isin(*INDEX_PROXIES),
+        }
+    )
+    by_provider = (
         F.when(quoted == "INDEX", "index_proxy")
-        .when(quoted.isin("ETF", "MUTUALFUND", "FUND"), fund)
+        .when(quoted.isin("ETF", "MUTUALFUND", "FUND"), F.col("_fund"))
         .when(quoted == "ADR", "adr")
-        .when(quoted.isin("EQUITY", "COMMONSTOCK", "STOCK"), F.when(F.coalesce(field("isAdr", "is_adr").isNotNull(), F.lit(False)) | receipt, "adr").otherwise("equity"))
-        .when(padded.contains(" ETF") | padded.contains(" FUND"), fund)
-        .when(padded.contains(" INDEX") & token.isin(*INDEX_PROXIES), "index_proxy")
-        .when(receipt, "adr")
+        .when(quoted.isin("EQUITY", "COMMONSTOCK", "STOCK"), F.when(F.col("_flagged") | F.col("_receipt"), "adr").otherwise("equity"))
+        .when(padded.contains(" ETF") | padded.contains(" FUND"), F.col("_fund"))
+        .when(padded.contains(" INDEX") & F.col("_proxy"), "index_proxy")
+        .when(F.col("_receipt"), "adr")
     )
     by_symbol = (
-        F.when(token.isin(*INDEX_PROXIES) | token.startswith("^"), "index_proxy")
+        F.when(F.col("_proxy") | token.startswith("^"), "index_proxy")
         .when(token.isin(*COUNTRY_FUNDS) | (token.startswith("EW") & (F.length(token) <= 4)), "country_fund")
         .when(token.contains(".") & F.element_at(F.split(token, r"\."), -1).isin(*_SUFFIXES), "equity")
-        .when(_text(exchange) != "", "equity")
+        .when(F.col("_exchange") != "", "equity")
     )
-    forced = lookup(dict(overrides), token) if overrides else F.lit(None).cast("string")
-    known = F.when(given.isin(*INSTRUMENT_TYPES), given)
-    source = F.when(forced.isNotNull(), "explicit_override").when(known.isNotNull(), "input_hint").when(told.isNotNull(), "provider_metadata").when(by_symbol.isNotNull(), "symbol_heuristic").otherwise("fallback_unknown")
-    return F.struct(F.coalesce(forced, known, told, by_symbol, F.lit("unknown")).alias("type"), source.alias("source"))
+    forced = F.coalesce(lookup(dict(overrides), token), lookup(dict(overrides), F.col("_entered"))) if overrides else F.lit(None).cast("string")
+    found = told.withColumns({"_forced": forced, "_known": F.when(F.col("_hint").isin(*INSTRUMENT_TYPES), F.col("_hint")), "_by_provider": by_provider, "_by_symbol": by_symbol})
+    ways = {"_forced": "explicit_override", "_known": "input_hint", "_by_provider": "provider_metadata", "_by_symbol": "symbol_heuristic"}
+    source = F.coalesce(*(F.when(F.col(c).isNotNull(), F.lit(s)) for c, s in ways.items()), F.lit("fallback_unknown"))
+    return found.select(*(F.col(f"`{c}`") for c in df.columns), F.coalesce(*ways, F.lit("unknown")).alias("type"), source.alias("source"))
 
 
 def provenance(source: Column) -> Column:

@@ -11,7 +11,9 @@ from ..functions.dates import business_days
 from .timeseries import as_of, top_k
 
 # The domains that each instrument type must and should support.
-POLICY = {"equity": (("market",), ("fundamentals", "earnings")), "adr": (("market",), ("fundamentals", "earnings")), "etf": (("market",), ()), "index": (("market",), ())}
+POLICY = {
+    "equity": (("market",), ("fundamentals", "earnings")), "adr": (("market",), ("fundamentals", "earnings")), "etf": (("market",), ()), "country_fund": (("market",), ()), "index_proxy": (("market",), ()), "unknown": (("market",), ()),
+}
 ALLOWED_MISSING_SESSIONS, SESSION_DAYS = 1, 14
 
 
@@ -45,12 +47,19 @@ def rebuild_summary(rebuilt: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def promotion_status(instruments: DataFrame) -> DataFrame:
-    """Status by policy from (ticker, instrument_type, market, fundamentals, earnings): rejected without a required domain, full with all, market only with what is preferred and absent."""
-    required = F.when(F.coalesce(*(F.when(F.col("instrument_type") == t, F.lit(True)) for t in POLICY), F.lit(False)), F.col("market")).otherwise(F.lit(False))
-    lacks = [F.when((F.col("instrument_type").isin(*[t for t, (_, p) in POLICY.items() if d in p])) & ~F.col(d), F.lit(f"missing_{d}")) for d in ("fundamentals", "earnings")]
-    rows = instruments.withColumn("reasons", F.array_join(F.array_compact(F.array(*lacks)), ","))
-    status = F.when(~required, "rejected").when(F.col("fundamentals") & F.col("earnings"), "validated_full").otherwise("validated_market_only")
-    return rows.select("ticker", status.alias("promotion_status"), F.when(~required, "missing_market").otherwise(F.col("reasons")).alias("reasons"))
+    """Status by policy from (ticker, instrument_type, market, fundamentals, earnings): rejected without a required domain, full with all,
+    market only with the reason: what is preferred and absent, or none. Types without a policy, null too, go by that of unknown ones."""
+    given = F.coalesce(F.when(F.col("instrument_type").isin(*POLICY), F.col("instrument_type")), F.lit("unknown"))
+    domain = lambda d: F.coalesce(F.col(d), F.lit(False))
+    of = lambda d, level: given.isin(*[t for t, p in POLICY.items() if d in p[level]])
+    lost = [F.when(of(d, 0) & ~domain(d), F.lit(f"missing_{d}")) for d in ("market", "fundamentals", "earnings")]
+    lacks = [F.when(of(d, 1) & ~domain(d), F.lit(f"missing_{d}")) for d in ("fundamentals", "earnings")]
+    texts = lambda parts: F.array_join(F.array_compact(F.array(*parts)), ",")
+    rows = instruments.select("ticker", given.alias("_type"), texts(lost).alias("_lost"), texts(lacks).alias("_lacks"), (domain("market") & domain("fundamentals") & domain("earnings")).alias("_full"))
+    status = F.when(F.col("_lost") != "", "rejected").when(F.col("_full"), "validated_full").otherwise("validated_market_only")
+    plain = F.when(F.col("_type") == "index_proxy", "market_supported_index_proxy").otherwise("market_supported")
+    reasons = F.when(F.col("_lost") != "", F.col("_lost")).when(F.col("_full"), "all_domains_supported").when(F.col("_lacks") != "", F.col("_lacks")).otherwise(plain)
+    return rows.select("ticker", status.alias("promotion_status"), reasons.alias("reasons"))
 
 
 def staleness_replay(points: DataFrame, days: DataFrame, limit: int) -> DataFrame:

@@ -25,9 +25,13 @@ def observations(series: DataFrame) -> DataFrame:
 
 
 def attach_releases(obs: DataFrame, calendar: DataFrame, timed: tuple[str, ...]) -> DataFrame:
-    """obs with the release times of series that are timed by releases; the last calendar row of a key counts."""
-    known = keep_last(calendar, ["series_key", "observation_period"], ["seq"]).select("series_key", "observation_period", "scheduled_at", "observed_at", "zone")
-    return obs.join(known.where(F.col("series_key").isin(*timed)), ["series_key", "observation_period"], "left")
+    """obs with what the calendar says of each release: all its columns but seq, null for series that are not timed by releases and for
+    periods that it doesn't hold. The last calendar row (by seq) of a series and period counts; keys are compared trimmed."""
+    keys = ["series_key", "observation_period"]
+    said = [c for c in calendar.columns if c not in (*keys, "seq")]
+    known = calendar.select(*(F.trim(k).alias(f"_{k}") for k in keys), *said, "seq").where(F.col("_series_key").isin(*timed))
+    known = keep_last(known, ["_series_key", "_observation_period"], ["seq"]).drop("seq")
+    return obs.join(known, [F.trim(k) == F.col(f"_{k}") for k in keys], "left").select(*obs.columns, *said)
 
 
 def daily_alignment(obs: DataFrame, catalog: DataFrame, start: str, end: str, release_timed: bool = True) -> DataFrame:

@@ -43,17 +43,6 @@ def cv5_rebuild_summary(spark, sf):
     return audits.rebuild_summary(rows.where("market_data_available OR fundamentals_available"), rows)
 
 
-@query(
-    """SELECT 'L' || c_custkey AS ticker, CASE WHEN NOT (t <> 'other' AND m) THEN 'rejected' WHEN f AND e THEN 'validated_full' ELSE 'validated_market_only' END AS promotion_status,
-CASE WHEN NOT (t <> 'other' AND m) THEN 'missing_market' WHEN t IN ('equity', 'adr') THEN concat_ws(',', CASE WHEN NOT f THEN 'missing_fundamentals' END, CASE WHEN NOT e THEN 'missing_earnings' END) ELSE '' END AS reasons
-FROM (SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'equity' WHEN 'MACHINERY' THEN 'etf' WHEN 'AUTOMOBILE' THEN 'adr' WHEN 'FURNITURE' THEN 'index' ELSE 'other' END AS t, c_custkey % 7 <> 0 AS m, c_custkey % 3 <> 0 AS f, c_custkey % 2 = 0 AS e FROM customer)"""
-)
-def rg5_promotion_status(spark, sf):
-    k = F.col("c_custkey")
-    kind = F.when(F.col("c_mktsegment") == "BUILDING", "equity").when(F.col("c_mktsegment") == "MACHINERY", "etf").when(F.col("c_mktsegment") == "AUTOMOBILE", "adr").when(F.col("c_mktsegment") == "FURNITURE", "index").otherwise("other")
-    return audits.promotion_status(a.table(spark, sf, "customer").select(F.concat(F.lit("L"), k).alias("ticker"), kind.alias("instrument_type"), (k % 7 != 0).alias("market"), (k % 3 != 0).alias("fundamentals"), (k % 2 == 0).alias("earnings")))
-
-
 @query(
     _daily_sql(False) + """, dd AS (SELECT days.series_key, days.as_of_date FROM days), r AS (SELECT dd.*, o.observation_date FROM dd ASOF LEFT JOIN o ON dd.series_key = o.series_key AND dd.as_of_date >= o.observation_date)
 SELECT series_key, as_of_date, observation_date IS NULL OR """ + f"{a.weekdays('as_of_date')} - {a.weekdays('observation_date')} > 5 AS replayed_stale FROM r",

@@ -102,22 +102,29 @@ HINTS = (None, "ETF", "adr", "common", "", "equity", None)
 QUOTES = (None, "ETF", "EQUITY", "MUTUAL FUND", "INDEX", "ADR", "common stock", None, "")
 LONG = (None, "Alibaba Group ADR", "iShares MSCI Japan", "Apple Inc.", "Country fund of Chile", "S&P 500 Index", "Vanguard ETF")
 PLACED = (None, "NYSE", "")
+FLAGS = (None, "false", "true", "0", "yes", "")
+
+
+def instrument_types(spark, sf):
+    """p_partkey, type and source of parts that play listings."""
+    said = F.map_from_arrays(F.array(F.lit("quoteType"), F.lit("longName"), F.lit("isAdr")), F.array(pick(QUOTES, "p_partkey + p_size"), pick(LONG, "p_partkey div 3"), pick(FLAGS, "p_partkey div 7")))
+    rows = a.table(spark, sf, "part").select("p_partkey", "p_size")
+    typed = classify.instrument_types(rows, pick(TYPED, "p_partkey"), pick(HINTS, "p_size"), pick(PLACED, "p_partkey div 2"), said, {"TSM": "adr", "SPY": "etf"}, pick(TYPED, "p_partkey div 11"))
+    return typed.select("p_partkey", "type", "source")
 
 
 @query(
     f"""SELECT p_partkey, coalesce(forced, hint, told, guess, 'unknown') AS type, CASE WHEN forced IS NOT NULL THEN 'explicit_override' WHEN hint IS NOT NULL THEN 'input_hint' WHEN told IS NOT NULL THEN 'provider_metadata' WHEN guess IS NOT NULL THEN 'symbol_heuristic' ELSE 'fallback_unknown' END AS source FROM (
-SELECT p_partkey, CASE WHEN s = 'TSM' THEN 'adr' END AS forced, CASE WHEN lower(trim(h)) IN ({", ".join(map(quoted, classify.INSTRUMENT_TYPES))}) THEN lower(trim(h)) END AS hint,
- CASE WHEN q = 'INDEX' THEN 'index_proxy' WHEN q IN ('ETF', 'MUTUALFUND', 'FUND') THEN fund WHEN q = 'ADR' THEN 'adr' WHEN q IN ('EQUITY', 'COMMONSTOCK', 'STOCK') THEN CASE WHEN contains(w, ' ADR') OR contains(w, ' ADS') THEN 'adr' ELSE 'equity' END
+SELECT p_partkey, CASE WHEN s = 'TSM' THEN 'adr' WHEN s = 'SPY' THEN 'etf' WHEN entered = 'TSM' THEN 'adr' WHEN entered = 'SPY' THEN 'etf' END AS forced, CASE WHEN lower(trim(h)) IN ({", ".join(map(quoted, classify.INSTRUMENT_TYPES))}) THEN lower(trim(h)) END AS hint,
+ CASE WHEN q = 'INDEX' THEN 'index_proxy' WHEN q IN ('ETF', 'MUTUALFUND', 'FUND') THEN fund WHEN q = 'ADR' THEN 'adr' WHEN q IN ('EQUITY', 'COMMONSTOCK', 'STOCK') THEN CASE WHEN flag IN ('true', 'yes') OR contains(w, ' ADR') OR contains(w, ' ADS') THEN 'adr' ELSE 'equity' END
   WHEN contains(w, ' ETF') OR contains(w, ' FUND') THEN fund WHEN contains(w, ' INDEX') AND s IN ({", ".join(map(quoted, classify.INDEX_PROXIES))}) THEN 'index_proxy' WHEN contains(w, ' ADR') OR contains(w, ' ADS') THEN 'adr' END AS told,
  CASE WHEN s IN ({", ".join(map(quoted, classify.INDEX_PROXIES))}) OR s LIKE '^%' THEN 'index_proxy' WHEN s IN ({", ".join(map(quoted, classify.COUNTRY_FUNDS))}) OR (s LIKE 'EW%' AND length(s) <= 4) THEN 'country_fund'
   WHEN split_part(s, '.', 2) IN ({", ".join(map(quoted, sorted(set(symbols.EXCHANGE_SUFFIX.values()))))}) THEN 'equity' WHEN trim(coalesce(x, '')) <> '' THEN 'equity' END AS guess
 FROM (SELECT *, CASE WHEN s IN ({", ".join(map(quoted, classify.COUNTRY_FUNDS))}) OR contains(w, ' MSCI ') OR contains(w, ' COUNTRY ') THEN 'country_fund' ELSE 'etf' END AS fund FROM (
- SELECT p_partkey, {picked(TYPED, "p_partkey")} AS s, {picked(HINTS, "p_size")} AS h, replace(upper(trim(coalesce({picked(QUOTES, "p_partkey + p_size")}, ''))), ' ', '') AS q, ' ' || upper(coalesce({picked(LONG, "p_partkey // 3")}, '')) || ' ' AS w, {picked(PLACED, "p_partkey // 2")} AS x FROM part)))"""
+ SELECT p_partkey, {picked(TYPED, "p_partkey")} AS s, {picked(HINTS, "p_size")} AS h, replace(upper(trim(coalesce({picked(QUOTES, "p_partkey + p_size")}, ''))), ' ', '') AS q, ' ' || upper(coalesce({picked(LONG, "p_partkey // 3")}, '')) || ' ' AS w, {picked(PLACED, "p_partkey // 2")} AS x, {picked(FLAGS, "p_partkey // 7")} AS flag, {picked(TYPED, "p_partkey // 11")} AS entered FROM part)))"""
 )
 def sc32_instrument_types(spark, sf):
-    meta = F.map_from_arrays(F.array(F.lit("quoteType"), F.lit("longName")), F.array(pick(QUOTES, "p_partkey + p_size"), pick(LONG, "p_partkey div 3")))
-    kind = classify.instrument_type(pick(TYPED, "p_partkey"), pick(HINTS, "p_size"), pick(PLACED, "p_partkey div 2"), meta, {"TSM": "adr"})
-    return a.table(spark, sf, "part").select("p_partkey", kind.alias("k")).select("p_partkey", "k.type", "k.source")
+    return instrument_types(spark, sf)
 
 
 SOURCES = ("ALFRED vintage", "fred_release_calendar_v2", "BLS official page", "inferred_lag", "manual entry", "lapse_backfill", "canceled 2025", None, "other", " Missing row ")

@@ -51,9 +51,8 @@ def sr3_pairs(spark, sf):
     return tables.scan_pairs(a.table(spark, sf, "orders"), "o_custkey", "o_orderdate", keys, "1997-03-01", "1999-03-01")
 
 
-def _payloads(spark, sf):
+def _payloads(o):
     """Orders as payloads of three shapes: a list, a list under a key, a single object."""
-    o = a.table(spark, sf, "orders")
     split = F.col("o_orderkey") % 10 == 0
     item = F.to_json(F.struct(F.when(F.col("o_orderkey") % 20 != 1, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("exDate"), F.when(~split, F.col("o_totalprice")).alias("amount"), F.when(split, F.concat((F.col("o_custkey") % 4 + 1).cast("string"), F.lit(":2"))).alias("ratio")))
     shape = F.col("o_orderkey") % 3
@@ -63,7 +62,7 @@ def _payloads(spark, sf):
 
 @query("SELECT DISTINCT 'p' AS provider, 'C' || o_custkey AS symbol, CASE WHEN o_orderkey % 10 = 0 THEN 'split' ELSE 'dividend' END AS action, o_orderdate::DATE AS ex_date, CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice END AS amount, CASE WHEN o_orderkey % 10 = 0 THEN (o_custkey % 4 + 1) / 2 END AS factor FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 20 <> 1")
 def ob1_corporate_actions(spark, sf):
-    return observations.corporate_actions(_payloads(spark, sf)).drop("observation_id")
+    return observations.corporate_actions(_payloads(a.table(spark, sf, "orders"))).drop("observation_id")
 
 
 FILED = "filed AS (SELECT 'C' || o_custkey AS symbol, o_orderkey::VARCHAR AS accession, o_orderpriority AS form, o_orderdate::DATE AS filing_date FROM orders)"
