@@ -62,13 +62,6 @@ def name_anchors(listings: DataFrame, candidates: DataFrame) -> DataFrame:
     return rows.select("symbol", F.when(reason.isNull(), F.col("lei")).alias("entity_lei"), F.when(reason.isNull(), "confirmed").when(reason == "legal_name_search_ambiguous", "ambiguous").otherwise("rejected").alias("status"), reason.alias("reject_reason"))
 
 
-def prefix_mismatch_anchors(listings: DataFrame, records: DataFrame) -> DataFrame:
-    """Listings whose ISIN is of another country: attached only where the ISIN has an entity and its name is the listing's; others keep why not."""
-    rows = listings.where(F.substring("isin", 1, 2) != F.col("country")).join(records.select("isin", "lei", F.col("name_key").alias("entity_name_key")), "isin", "left")
-    reason = F.when(F.col("lei").isNull(), "valid_isin_no_gleif_lei").when(~F.coalesce(F.col("name_key") == F.col("entity_name_key"), F.lit(False)), "direct_isin_prefix_mismatch_name_unconfirmed")
-    return rows.select("symbol", "isin", F.when(reason.isNull(), F.col("lei")).alias("entity_lei"), reason.alias("reject_reason"))
-
-
 def curated(rows: DataFrame, decisions: DataFrame) -> DataFrame:
     """rows (symbol, entity_lei, entity_legal_name, entity_attach_method) overwritten by the last valid decision (seq) of each symbol."""
     valid = decisions.where((F.coalesce("lei", F.lit("")) != "") & (F.coalesce("legal_name", F.lit("")) != "") & F.coalesce("lifecycle_state", F.lit("resolved")).isin(*DECIDED))

@@ -92,15 +92,6 @@ def _records(spark, sf):
     return a.table(spark, sf, "customer").where(k % 5 != 0).select(F.concat(F.lit("C"), k % 3, k).alias("isin"), F.concat(F.lit("E"), k).alias("lei"), F.concat(F.lit("NAME"), k % 997 + F.when(k % 4 == 0, 1).otherwise(0)).alias("name_key"))
 
 
-@query(
-    """, j AS (SELECT symbol, isin, lei, CASE WHEN lei IS NULL THEN 'valid_isin_no_gleif_lei' WHEN name_key <> entity_name THEN 'direct_isin_prefix_mismatch_name_unconfirmed' END AS reject_reason FROM ch LEFT JOIN rec USING (isin) WHERE substr(isin, 1, 2) <> country)
-SELECT symbol, isin, CASE WHEN reject_reason IS NULL THEN lei END AS entity_lei, reject_reason FROM j""",
-    LISTED, RECORDS,
-)
-def id9_prefix_mismatches(spark, sf):
-    return chain.prefix_mismatch_anchors(_listed(spark, sf), _records(spark, sf))
-
-
 @query(
     """, d AS (SELECT o_custkey, 'D' || o_orderkey AS lei, o_orderpriority AS nm FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderstatus <> 'P' QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1)
 SELECT symbol, coalesce(d.lei, 'E' || c_custkey) AS entity_lei, coalesce(d.nm, c_name) AS entity_legal_name, CASE WHEN d.lei IS NULL THEN 'direct_isin' ELSE 'curated_identity' END AS entity_attach_method, CASE WHEN d.lei IS NOT NULL THEN 'reviewed_safe' END AS review_state
