@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.casts import ratio, weight
-from .timeseries import top_k
+from ..functions.classify import equity_like
+from ..functions.geography import country_code, listing_country
+from ..functions.symbols import listing_symbol, listing_symbol_in
+from .timeseries import keep_last, top_k
 
 MIN_CONSTITUENTS, MIN_RATIO = 5, 0.10
 MAX_WEIGHT, MAX_TOTAL = 0.50, 1.35
@@ -20,6 +23,28 @@ def normalised_weights(holdings: DataFrame) -> DataFrame:
     return rows.select("etf_ticker", "holding_symbol", F.round(F.when(percent, F.col("w") / 100).otherwise(F.col("w")), 10).alias("weight"))
 
 
+def normalised_holdings(rows: DataFrame, fetched: Column) -> DataFrame:
+    """etf_ticker, holding_symbol, holding_name, holding_country, weight, as_of of the shares among raw rows (etf_ticker, symbol, name, weight,
+    asset_class, country, as_of and stated as dates, seq).
+
+    Cash, currencies, derivatives, placeholders and other asset classes go before weights are judged, as do rows without a weight; of a fund's
+    rows of one symbol and date the last (seq) stays. A fund is in per cent if any weight has a %, if they sum to over MAX_TOTAL or one is
+    over 1; that is one row a fund, joined to its rows, so a fund may have any number.
+    """
+    # In steps: each of these texts is read by several later rules.
+    own = rows.withColumn("_given", country_code(F.col("country")))
+    own = own.withColumn("holding_symbol", F.nullif(F.when(F.col("_given") != "", listing_symbol_in(F.col("symbol"), F.col("_given"))).otherwise(listing_symbol(F.col("symbol"))), F.lit("")))
+    own = own.select(
+        F.upper("etf_ticker").alias("etf_ticker"), "holding_symbol", F.nullif(F.trim("name"), F.lit("")).alias("holding_name"), "asset_class", listing_country(F.col("_given"), F.col("holding_symbol")).alias("holding_country"),
+        weight(F.col("weight")).alias("_w"), F.coalesce(F.col("weight").contains("%"), F.lit(False)).alias("_pct"), F.coalesce("as_of", "stated", fetched).alias("as_of"), "seq",
+    )
+    own = own.where(equity_like(F.col("holding_symbol"), F.col("holding_name"), F.col("asset_class")) & F.col("_w").isNotNull())
+    own = keep_last(own, ["etf_ticker", "holding_symbol", "as_of"], ["seq"])
+    funds = own.groupBy("etf_ticker").agg((F.bool_or("_pct") | (F.sum("_w") > MAX_TOTAL) | (F.max("_w") > 1.0)).alias("_percent"))
+    share = F.round(F.when(F.col("_percent"), F.col("_w") / 100).otherwise(F.col("_w")), 10)
+    return own.join(funds, "etf_ticker").select("etf_ticker", "holding_symbol", "holding_name", "holding_country", share.alias("weight"), "as_of")
+
+
 def plausibility(holdings: DataFrame) -> DataFrame:
     """Largest and total weight of each fund, and whether they can be right."""
     out = holdings.groupBy("etf_ticker").agg(F.max("weight").alias("max_weight"), F.sum("weight").alias("total_weight"))

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import casts, dates
-from ..operators import audits, macro, observations, publication
+from ..operators import audits, etf, macro, observations, publication
 from ..sources import adapters as a
-from ..sources import commits, tables
+from ..sources import commits, layouts, tables
 from ..streaming import incremental
-from .gap_queries import instrument_types
+from .gap_queries import COUNTRIES_SQL, code_sql, instrument_types
 from .more_queries import OLD_NEW, _payloads
 from .publication_queries import AUDIT, _plan
 from .queries import SQL, query
@@ -147,3 +147,39 @@ def sc15_release_times(spark, sf):
     o = a.table(spark, sf, "orders").withColumn("named", F.col("o_orderpriority"))
     flag = F.when(F.col("o_orderstatus") == "F", " Yes").when(F.col("o_orderstatus") == "O", "maybe")
     return o.select("o_orderkey", casts.first_present(o, "o_clerk", "named", "o_orderpriority").isNotNull().alias("named"), casts.tri_state(flag).alias("told"), dates.local_time_utc(F.col("o_orderdate").cast("date")).alias("released_at"))
+
+
+# --- holdings files of three layouts
+
+_P = "substr(holding_symbol, 2)::BIGINT"
+
+
+@query(
+    f"""SELECT etf_ticker, sym AS holding_symbol, name AS holding_name, country AS holding_country, round(CASE WHEN layout = 1 OR s > 1.35 OR m > 1 THEN w / 100 ELSE w END, 6) AS weight, day AS as_of
+FROM (SELECT *, sum(w) OVER (PARTITION BY etf_ticker) AS s, max(w) OVER (PARTITION BY etf_ticker) AS m,
+  CASE WHEN given = 'US' AND sym LIKE '%.L' THEN 'GB' WHEN given = '' THEN CASE WHEN sym LIKE '%.L' THEN 'GB' ELSE 'US' END ELSE given END AS country
+ FROM (SELECT etf_ticker, layout, CASE WHEN p % 10 = 0 THEN 'P' || p || '.L' ELSE 'P' || p END AS sym, 'Part, ' || p AS name, CASE layout WHEN 2 THEN round(weight, 6) ELSE round(weight * 100, 4) END AS w,
+   CASE layout WHEN 0 THEN DATE '2024-01-31' WHEN 1 THEN as_of ELSE DATE '2024-02-02' END AS day, CASE WHEN layout = 1 THEN '' ELSE {code_sql("place")} END AS given
+  FROM (SELECT *, {_P} AS p, (substr(etf_ticker, 2)::BIGINT % 3)::INT AS layout, CASE {_P} % 4 WHEN 0 THEN 'Germany' WHEN 1 THEN 'USA' WHEN 2 THEN 'jp' ELSE '' END AS place FROM holdings)
+  WHERE p % 11 <> 0 AND p % 12 <> 5 AND p % 13 <> 0 AND (layout = 1 OR p % 17 <> 0)))""",
+    a.HOLDINGS, COUNTRIES_SQL,
+)
+def et1_holdings_of_files(spark, sf):
+    """Funds' holdings written in three layouts, one file a fund, with cash and derivatives among them, and read back in one scan."""
+    at, p = commits.scratch(spark, "holdings"), F.substring("holding_symbol", 2, 20).cast("long")
+    held = a.holdings(spark, sf).withColumns({"p": p, "layout": F.substring("etf_ticker", 2, 20).cast("long") % 3})
+    held = held.withColumns({
+        "sym": F.when(F.col("p") % 11 == 0, "CASH").when(F.col("p") % 12 == 5, "usd").when(F.col("p") % 10 == 0, F.concat("holding_symbol", F.lit(".L"))).otherwise(F.lower("holding_symbol")),
+        "name": F.when(F.col("p") % 13 == 0, "E-mini future").otherwise(F.concat(F.lit("Part, "), "p")), "kind": F.when(F.col("p") % 17 == 0, "Bond").otherwise("Equity"),
+        "place": F.when(F.col("p") % 4 == 0, "Germany").when(F.col("p") % 4 == 1, "USA").when(F.col("p") % 4 == 2, "jp").otherwise(""), "pct": F.format_string("%.4f", F.round(F.col("weight") * 100, 4)), "share": F.format_string("%.6f", F.round("weight", 6)),
+    })
+    quoted = F.concat(F.lit('"'), "name", F.lit('"'))
+    line = F.when(F.col("layout") == 0, F.concat_ws(",", "sym", quoted, "pct", "kind", "place")).when(F.col("layout") == 1, F.concat_ws(",", F.date_format("as_of", "yyyy-MM-dd"), quoted, F.concat("pct", F.lit("%")), "sym")).otherwise(F.concat_ws(",", "place", "kind", "share", "sym", quoted))
+    heads = F.when(F.col("layout") == 0, F.array(F.lit("Some fund"), F.lit("Fund holdings as of 01/31/2024"), F.lit("Ticker,Name,Weight (%),Asset Class,Location"))).when(F.col("layout") == 1, F.array(F.lit('Date,"Security Name","% of Net Assets","Holding Ticker"'))).otherwise(F.array(F.lit("Country / Region,Security Type,Weight,Identifier,Description")))
+    top = held.select("etf_ticker", "layout").distinct().select("etf_ticker", F.posexplode(heads).alias("n", "value"))
+    text = top.unionAll(held.select("etf_ticker", F.lit(9).alias("n"), line.alias("value"))).repartition("etf_ticker").sortWithinPartitions("etf_ticker", "n", "value")
+    text.select("etf_ticker", "value").write.partitionBy("etf_ticker").text(at)
+    rows = layouts.read_layouts(spark, f"{at}/*")
+    fund = F.regexp_extract("file", "etf_ticker=([^/]+)/", 1)
+    rows = rows.select(fund.alias("etf_ticker"), "symbol", "name", "weight", "asset_class", "country", layouts.any_day(F.col("as_of")).alias("as_of"), "stated", "seq")
+    return etf.normalised_holdings(rows, F.lit("2024-02-02").cast("date"))
