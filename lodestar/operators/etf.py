@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.casts import ratio, weight
 from ..functions.classify import equity_like
 from ..functions.geography import country_code, listing_country
-from ..functions.symbols import listing_symbol, listing_symbol_in
+from ..functions.symbols import let, listing_symbol, listing_symbol_in
 from .timeseries import keep_last, top_k
 
 MIN_CONSTITUENTS, MIN_RATIO = 5, 0.10
@@ -31,14 +31,14 @@ def normalised_holdings(rows: DataFrame, fetched: Column) -> DataFrame:
     rows of one symbol and date the last (seq) stays. A fund is in per cent if any weight has a %, if they sum to over MAX_TOTAL or one is
     over 1; that is one row a fund, joined to its rows, so a fund may have any number.
     """
-    # In steps: each of these texts is read by several later rules.
-    own = rows.withColumn("_given", country_code(F.col("country")))
-    own = own.withColumn("holding_symbol", F.nullif(F.when(F.col("_given") != "", listing_symbol_in(F.col("symbol"), F.col("_given"))).otherwise(listing_symbol(F.col("symbol"))), F.lit("")))
-    own = own.select(
-        F.upper("etf_ticker").alias("etf_ticker"), "holding_symbol", F.nullif(F.trim("name"), F.lit("")).alias("holding_name"), "asset_class", listing_country(F.col("_given"), F.col("holding_symbol")).alias("holding_country"),
-        weight(F.col("weight")).alias("_w"), F.coalesce(F.col("weight").contains("%"), F.lit(False)).alias("_pct"), F.coalesce("as_of", "stated", fetched).alias("as_of"), "seq",
+    # Each text that several rules read is bound once, so that a filter which moves below its projection doesn't repeat it.
+    named = F.nullif(F.trim("name"), F.lit(""))
+    bound = let(country_code(F.col("country")), lambda g: F.struct(g.alias("given"), F.nullif(F.when(g != "", listing_symbol_in(F.col("symbol"), g)).otherwise(listing_symbol(F.col("symbol"))), F.lit("")).alias("held")))
+    judged = let(bound, lambda t: F.struct(t["held"].alias("held"), listing_country(t["given"], t["held"]).alias("country"), equity_like(t["held"], named, F.col("asset_class")).alias("share")))
+    own = rows.select("*", judged.alias("_t"), weight(F.col("weight")).alias("_w")).where(F.col("_t.share") & F.col("_w").isNotNull()).select(
+        F.upper("etf_ticker").alias("etf_ticker"), F.col("_t.held").alias("holding_symbol"), named.alias("holding_name"), F.col("_t.country").alias("holding_country"),
+        "_w", F.coalesce(F.col("weight").contains("%"), F.lit(False)).alias("_pct"), F.coalesce("as_of", "stated", fetched).alias("as_of"), "seq",
     )
-    own = own.where(equity_like(F.col("holding_symbol"), F.col("holding_name"), F.col("asset_class")) & F.col("_w").isNotNull())
     own = keep_last(own, ["etf_ticker", "holding_symbol", "as_of"], ["seq"])
     funds = own.groupBy("etf_ticker").agg((F.bool_or("_pct") | (F.sum("_w") > MAX_TOTAL) | (F.max("_w") > 1.0)).alias("_percent"))
     share = F.round(F.when(F.col("_percent"), F.col("_w") / 100).otherwise(F.col("_w")), 10)
