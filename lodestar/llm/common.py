@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -56,6 +57,29 @@ def clear(spark: SparkSession) -> None:
     discard(spark, *_WRITTEN)
 
 
+def aside(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """docs with all columns but `used` under names that no operator has, and what gives a result its columns back.
+
+    A result has the columns of docs first, in order; columns after them keep their names.
+    """
+    names = [c if c in used else f"user_column_{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), lambda out: out.toDF(*docs.columns, *out.columns[len(names) :])
+
+
+def any_columns(*used: str) -> Callable:
+    """A function of docs that returns rows of docs, made to take columns of any name: only those of `used` are named inside."""
+
+    def made(f: Callable) -> Callable:
+        @functools.wraps(f)
+        def run(docs: DataFrame, *args, **options) -> DataFrame:
+            own, back = aside(docs, *used)
+            return back(f(own, *args, **options))
+
+        return run
+
+    return made
+
+
 def crc_remainder(col: str, n: int) -> Column:
     """crc32 of the column as text, modulo n; null for null."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(n)

@@ -235,6 +235,7 @@ def rollup(nodes: DataFrame, paths: DataFrame, values: list[str], local: int = L
     while not active.isEmpty():
         middle = active.where(F.col("size") * 2 >= F.col("total")).groupBy("top").agg(F.max(F.struct("depth", "key", "owner", "size")).alias("c"))
         middle = middle.select("top", F.col("c.depth").alias("c_depth"), F.col("c.key").alias("c_key"), F.col("c.owner").alias("c_owner"), F.col("c.size").alias("c_size"))
+        middle = cut(middle, "middle")  # apart from the join, so that the join's rows of a large component can be split
         told = active.join(middle.hint("merge"), "top")
         # The part of a deeper node: its ancestor just below the centroid, if that is the centroid's child.
         below = paths.select(F.col("conv_id").alias("owner"), (F.col("depth") - 1).alias("c_depth"), F.col("key").alias("part"), F.col("parent").alias("c_key"))

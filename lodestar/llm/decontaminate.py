@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from .common import cut
+from .common import any_columns, cut
 
 #: Words in a window; bytes of memory that the matcher of one block of the benchmark may take in a Python worker, which holds one at a time;
 #: bytes it takes for each word, at most (tests measure them).
@@ -229,11 +229,10 @@ def items_digest() -> Column:
     return F.sha2(F.concat_ws(",", "items").cast("binary"), 256)
 
 
+@any_columns("text")
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs without any word inside an occurrence of a benchmark window; all columns."""
-    found = find_contamination(docs.select(*docs.columns, F.struct(*docs.columns).alias("_row")) if {"n_words", "hits", "items"} & set(docs.columns) else docs, benchmark)
-    clean = found.where(F.size("hits") == 0)
-    return clean.select("_row.*") if "_row" in found.columns else clean.select(docs.columns)
+    return find_contamination(docs, benchmark).where(F.size("hits") == 0).select(docs.columns)
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import all_matches, running, spans
+from .common import all_matches, any_columns, running, spans
 
 # The base patterns, the group that is judged, and its least length, in the order of their kinds.
 BASE = {
@@ -135,9 +135,10 @@ def secrets_report(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", *(count(i).alias(f"n_{kind}") for i, kind in enumerate(BASE)), F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("secrets")).alias("spans"))
 
 
+@any_columns("text", "n_chars")
 def redact(docs: DataFrame, placeholder: str = "[SECRET]") -> DataFrame:
     """docs, all columns, with the union of each document's spans replaced; n_chars follows where there is such a column. Other texts stay as they are."""
-    found = find_secrets(docs.select(*(c for c in docs.columns if c != "secrets"), *([F.col("secrets").alias("_secrets")] if "secrets" in docs.columns else [])))
+    found = find_secrets(docs)
     ends = running(F.transform("secrets", lambda s: s["end"]), F.lit(0), lambda acc, x: F.greatest(acc, x))
     placed = F.transform(F.arrays_zip(F.col("secrets").alias("s"), ends.alias("b")), lambda z: F.struct(z["b"].alias("before"), z["s"]["start"].alias("start")))
     text = F.col("text")
@@ -147,4 +148,4 @@ def redact(docs: DataFrame, placeholder: str = "[SECRET]") -> DataFrame:
     out = found.withColumn("text", F.when(F.size("secrets") > 0, F.concat(F.array_join(parts, ""), rest)).otherwise(text)).drop("secrets")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.withColumnRenamed("_secrets", "secrets").select(docs.columns)
+    return out.select(docs.columns)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from .common import cut
+from .common import any_columns, cut
 from .graph import SALTS, connected_components
 from .simhash import keep_rows, linked, over_half, shingle_hashes, text_hash
 
@@ -167,6 +167,7 @@ def similar(docs: DataFrame, rows: DataFrame, least: float = LEAST, width: int =
     return connected_components(cut(found.unionAll(central), "similar-sets"))
 
 
+@any_columns("doc_id", "text")
 def keep_one(docs: DataFrame, least: float = LEAST, width: int = WIDTH) -> DataFrame:
     """One row of docs, all columns, for each group of near copies (see keep_rows). Texts without words are copies of each other."""
     rows = cut(sketches(docs, width), "sketches")

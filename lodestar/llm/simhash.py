@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import components, cut
+from .common import any_columns, components, cut
 from .graph import connected_components
 
 #: Shingles whose bits are counted at once; fingerprints of a shard tree at most; queries that go down a tree at once.
@@ -193,6 +193,7 @@ def fingerprint_components(fps: DataFrame, radius: int) -> tuple[DataFrame, Data
     return nodes, connected_components(linked(nodes.select("fp"), radius)).withColumnsRenamed({"node": "fp", "component": "root"})
 
 
+@any_columns("doc_id", "text")
 def keep_one(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFrame:
     """One row of docs, all columns, for each component of near_duplicates (see keep_rows)."""
     fps = cut(fingerprints(docs, width=width), "fingerprints")
