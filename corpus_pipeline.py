@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm import decontaminate, language, packing, secrets, shingles
-from lodestar.llm.common import cut
+from lodestar.llm.common import aside, cut
 from lodestar.llm.queries import table, tokenizer
 
 #: A document whose n-gram ranks are further than this from every learned language is no text in any of them.
@@ -15,8 +15,9 @@ LEAST_LIKENESS = 0.1
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; those without a letter, or far from every profile, go. Profiles are learned from docs."""
-    found = language.predict(docs, language.learn(docs), ("_lang", "_likeness"))
-    return found.where((F.col("_lang") != language.UNKNOWN) & (F.col("_likeness") >= LEAST_LIKENESS)).select(docs.columns)
+    own, back = aside(docs, "text", "lang")
+    found = language.predict(own, language.learn(own), ("_lang", "_likeness"))
+    return back(found.where((F.col("_lang") != language.UNKNOWN) & (F.col("_likeness") >= LEAST_LIKENESS)).select(own.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
