@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from .common import any_columns, cut
+from .common import any_columns, components, cut
 from .graph import SALTS, connected_components
 from .simhash import keep_rows, linked, over_half, shingle_hashes, text_hash
 
@@ -109,6 +109,19 @@ def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return docs.select("doc_id", "text", text_hash("text").alias("text_hash")).mapInArrow(of, schema)
 
 
+def contracted(banded: DataFrame) -> DataFrame:
+    """Edges (a, b) with the same components as node-first over all rows (node, band, first; first is a node of the band).
+
+    Each node hooks to the least of its bands' firsts, and each band joins the hooks of its nodes. A large group has few hooks, so its
+    edges are about one a node and not one a band of each node.
+    """
+    hooks = banded.groupBy("node").agg(F.min("first").alias("low"), F.collect_set("band").alias("bands"))
+    hooks = cut(hooks, "hooks")
+    met = cut(hooks.select("low", F.explode("bands").alias("band")).distinct(), "hooks-of-bands")
+    least = met.groupBy("band").agg(F.min("low").alias("least"), F.max("low").alias("most")).where("least <> most").select("band", "least")
+    return hooks.select(F.col("node").alias("a"), F.col("low").alias("b")).unionAll(met.join(least.hint("merge"), "band").select(F.col("low").alias("a"), F.col("least").alias("b")).where("a <> b").distinct())
+
+
 def candidates(nodes: DataFrame) -> DataFrame:
     """node and component: distinct sets (node, fp, bands) that a tree or a band brings together, over any steps.
 
@@ -118,7 +131,7 @@ def candidates(nodes: DataFrame) -> DataFrame:
     shared = keyed.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
     least = shared.select("band", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     salted = keyed.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
-    banded = salted.join(least.hint("merge"), ["band", "salt"]).select(F.col("node").alias("a"), F.col("first").alias("b"))
+    banded = contracted(cut(salted.join(least.hint("merge"), ["band", "salt"]).select("node", "band", "first"), "shared-bands"))
     # Sets of one fingerprint share a band of their own, so a tree's edge between two fingerprints joins one set of each.
     prints = cut(nodes.groupBy("fp").agg(F.min("node").alias("node")), "set-prints")
     near = linked(prints.select("fp"), RADIUS)
@@ -146,7 +159,10 @@ def similar(docs: DataFrame, rows: DataFrame, least: float = LEAST, width: int =
     def compare(key: tuple, table: pa.Table) -> pa.Table:
         node, query = table.column("node").to_numpy(), table.column("query").to_numpy()
         a, b = links([shingles(t, width) for t in table.column("text").to_pylist()], least, None if query.all() else query)
-        return pa.table({"a": node[a], "b": node[b]}, edge)
+        # A forest of what is linked here: edges grow with the sets and not with their pairs.
+        label = components(len(node), a, b)
+        moved = np.flatnonzero(label != np.arange(len(node)))
+        return pa.table({"a": node[moved], "b": node[label[moved]]}, edge)
 
     def with_centre(key: tuple, table: pa.Table, centre: pa.Table) -> pa.Table:
         """Edges of the sets like the centre; a loop for each of the others."""
