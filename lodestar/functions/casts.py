@@ -68,3 +68,16 @@ def scale_factor(a: Column, b: Column) -> Column:
     """1e3, 1e6 or 1e9 where one value is that many times the other within 1 %, else null."""
     r = F.greatest(F.abs(ratio(a, b)), F.abs(ratio(b, a)))
     return F.coalesce(*(F.when(F.abs(r / f - 1) <= 0.01, F.lit(f)) for f in (1e3, 1e6, 1e9)))
+
+
+def canonical_json(c: Column) -> Column:
+    """A JSON text with its keys sorted at every depth, no spaces and one form of a number (1, 1.0 and 1.00 are 1); null where it is no JSON.
+
+    Letters are not escaped. Numbers with an exponent are doubles, so those of 10^7 or more keep one (1e10 is 1.0E10 and not 10000000000).
+    """
+    return F.regexp_replace(F.to_json(F.try_parse_json(c)), r'("(?:[^"\\]|\\.)*+")|(-?\d+)\.0(?=[,}\]]|$)', "$1$2")
+
+
+def payload_hash(c: Column) -> Column:
+    """SHA-256 of a JSON text's canonical form: the same for reordered keys and other spellings of a number."""
+    return F.sha2(canonical_json(c), 256)

@@ -99,7 +99,7 @@ def listing_key(figi: Column, isin: Column, mic: Column, provider: Column, count
     """The first of figi, isin and mic, isin, provider symbol, mic and symbol, country and symbol, symbol that is there."""
     own = [F.nullif(F.upper(F.trim(c)), F.lit("")) for c in (figi, isin, mic, provider, country, token)]
     figi, isin, mic, provider, country, token = own
-    return F.coalesce(F.concat(F.lit("figi:"), figi), F.concat(F.lit("isin_mic:"), isin, F.lit(":"), mic), F.concat(F.lit("isin:"), isin), F.concat(F.lit("provider:"), provider), F.concat(F.lit("mic_symbol:"), mic, F.lit(":"), token), F.concat(F.lit("country_symbol:"), country, F.lit(":"), token), F.concat(F.lit("symbol:"), token))
+    return F.coalesce(F.concat(F.lit("figi:"), figi), F.concat(F.lit("isin:"), isin, F.lit(":mic:"), mic), F.concat(F.lit("isin:"), isin), F.concat(F.lit("provider:"), provider), F.concat(F.lit("mic:"), mic, F.lit(":symbol:"), token), F.concat(F.lit("country:"), country, F.lit(":symbol:"), token), F.concat(F.lit("symbol:"), token))
 
 
 def registry_key(token: Column, region: Column, exchange: Column) -> Column:

@@ -21,6 +21,13 @@ CAPITAL_RULES = (
     ("shelf_registration", ("S-3", "S-3ASR", "424B", "424B5"), ("shelf registration", "registration statement", "prospectus supplement")),
 )
 PROXY_FORMS, MATERIAL_FORMS = ("DEF 14A", "DEFA14A", "PRE 14A"), ("8-K", "6-K")
+#: Fields of a mapping's match and the keys that they are read from, in order.
+MAPPED = {
+    "figi": ("figi",), "composite_figi": ("compositeFIGI", "compositeFigi"), "share_class_figi": ("shareClassFIGI", "shareClassFigi"), "isin": ("isin", "ID_ISIN"), "lei": ("lei", "LEI"),
+    "legal_entity_id": ("legalEntityId", "entityId", "issuerId", "issuerFigi"), "ticker": ("ticker",), "name": ("name", "securityDescription"), "exchange": ("exchCode", "exchange"),
+    "exchange_mic": ("micCode", "exchangeMIC", "exchangeMic"), "country": ("country", "marketSecDes"), "currency": ("currency",),
+    "home_country": ("homeCountry", "countryOfIncorporation", "domicileCountry"), "security_type": ("securityType2", "securityType"),
+}
 MATERIAL_SIGNALS = ("investor presentation", "earnings call", "conference call", "webcast", "presentation", "results")
 
 
@@ -150,15 +157,20 @@ def embedded_events(pages: DataFrame, id_col: str = "page_id", html_col: str = "
 
 
 def security_mappings(raw: DataFrame) -> DataFrame:
-    """What a mapping answered for each symbol (symbol, raw_payload): an error text, no data, one match, or the first of several as ambiguous."""
+    """What a mapping answered for each symbol (symbol, raw_payload): an error text, no data, one match, or the first of several as ambiguous.
+
+    An answer that is no JSON object is an error. All columns of raw but the payload stay; the match's fields are null without one.
+    """
     items = F.from_json(F.get_json_object("raw_payload", "$.data"), "array<map<string,string>>")
-    error = F.get_json_object("raw_payload", "$.error")
-    rows = raw.withColumns({"error": error, "n": F.coalesce(F.size(items), F.lit(0)), "i": F.try_element_at(items, F.lit(1))})
+    shape = F.when(F.try_parse_json("raw_payload").isNull() | ~F.ltrim("raw_payload").startswith("{"), "unexpected_openfigi_item_shape")
+    error = F.coalesce(shape, F.nullif(F.get_json_object("raw_payload", "$.error"), F.lit("")))
+    kept = F.struct(*(c for c in raw.columns if c != "raw_payload")).alias("row")
+    rows = raw.select(kept, error.alias("error"), F.coalesce(F.size(items), F.lit(0)).alias("n"), F.try_element_at(items, F.lit(1)).alias("i"))
     lost = F.lower("error").contains("not found") | F.lower("error").contains("no identifier found")
     status = F.when(F.col("error").isNotNull(), F.when(lost, "not_found").otherwise("error")).when(F.col("n") <= 0, "not_found").when(F.col("n") > 1, "ambiguous").otherwise("success")
     why = F.coalesce("error", F.when(F.col("n") <= 0, "no_openfigi_data").when(F.col("n") > 1, "multiple_openfigi_matches"))
-    fields = {"figi": ("figi",), "composite_figi": ("compositeFIGI", "compositeFigi"), "isin": ("isin", "ID_ISIN"), "lei": ("lei", "LEI")}
-    return rows.select("symbol", status.alias("status"), why.alias("error_message"), *(F.when(F.col("error").isNull(), F.upper(first_key(F.col("i"), *names))).alias(c) for c, names in fields.items()))
+    found = {c: F.when(F.col("error").isNull(), first_key(F.col("i"), *names)) for c, names in MAPPED.items()}
+    return rows.select("row.*", status.alias("status"), why.alias("error_message"), *((v if c == "name" else F.upper(v)).alias(c) for c, v in found.items()))
 
 
 def entity_records(raw: DataFrame) -> DataFrame:

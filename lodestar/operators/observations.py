@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casts import day, number, ratio, split_factor
+from ..functions.casts import day, number, payload_hash, ratio, split_factor
 from .timeseries import top_k
 
 # Forms of filings that may hold guidance, and the signal words that are looked for in them, in order.
@@ -28,8 +28,8 @@ def first_key(item: Column, *names: str) -> Column:
 
 
 def observation_id(*columns: str) -> Column:
-    """A digest of the columns as JSON: the same for the same values."""
-    return F.sha2(F.to_json(F.struct(*sorted(columns))), 256)
+    """A digest of the columns as canonical JSON, nulls included: the same for the same values."""
+    return payload_hash(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}))
 
 
 def broken_payloads(raw: DataFrame) -> DataFrame:

@@ -113,7 +113,7 @@ def ob12_security_mappings(spark, sf):
     item = F.to_json(F.struct(F.concat(F.lit("bbg"), k).alias("figi"), F.concat(F.lit("CF"), k).alias("compositeFigi"), F.concat(F.lit("IS"), k).alias("ID_ISIN")))
     error = lambda text: F.lit('{"error":"' + text + '"}')
     payload = F.when(k % 5 == 0, error("No identifier found.")).when(k % 5 == 1, error("Too many requests")).when(k % 5 == 2, F.lit('{"data":[]}')).when(k % 5 == 3, F.concat(F.lit('{"data":['), item, F.lit(","), item, F.lit("]}"))).otherwise(F.concat(F.lit('{"data":['), item, F.lit("]}")))
-    return events.security_mappings(a.table(spark, sf, "supplier").select(F.concat(F.lit("S"), k).alias("symbol"), payload.alias("raw_payload")))
+    return events.security_mappings(a.table(spark, sf, "supplier").select(F.concat(F.lit("S"), k).alias("symbol"), payload.alias("raw_payload"))).select("symbol", "status", "error_message", "figi", "composite_figi", "isin", "lei")
 
 
 @query(
