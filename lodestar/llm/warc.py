@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, shared_dir
@@ -177,11 +177,11 @@ class Member:
         return got if got and got[1] > 0 else None
 
 
-def records(file: pa.NativeFile, size: int, start: int, end: int, with_broken: bool = False) -> Iterator[dict]:
-    """Records whose member starts in [start, end). Gzip magic there is a candidate; it counts if it decodes to the head of a record.
+def members(file: pa.NativeFile, size: int, start: int, end: int) -> Iterator[tuple[int, int | None, list[dict]]]:
+    """(start, end, records) of each member that starts in [start, end). Gzip magic there is a candidate; it counts if it decodes to the head of a record.
 
     After a whole member the next candidate is where it ended; after a false one the scan goes on at the next byte, as it does after
-    one that begins as a record but is broken, which gives a row of type `broken` if with_broken.
+    one that begins as a record but is broken, which has no end and one row of type `broken`.
     """
     member, at = Member(file, size), start
     while at < end:
@@ -197,16 +197,23 @@ def records(file: pa.NativeFile, size: int, start: int, end: int, with_broken: b
         begins = member.starts_record(at)
         got = member.read(at) if begins else None
         if got is None:
-            if begins and with_broken:
-                yield broken()
+            if begins:
+                yield at, None, [broken()]
             at += 1
             continue
-        yield from (r for r in parse(got[0]) if with_broken or r["record_type"] != "broken")
+        yield at, got[1], parse(got[0])
         at = got[1]
 
 
+def records(file: pa.NativeFile, size: int, start: int, end: int, with_broken: bool = False) -> Iterator[dict]:
+    """Records of the members that start in [start, end), as this range alone shows them: what lies inside a member that began before counts as well (see read_archives)."""
+    for _, _, rows in members(file, size, start, end):
+        yield from (r for r in rows if with_broken or r["record_type"] != "broken")
+
+
 #: Columns of a record that is read.
 COLUMNS = {"page_id": pa.int64(), "record_id": pa.string(), "url": pa.string(), "record_type": pa.string(), "refers_to": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "payload": pa.binary()}
+_PLACE = "path string, range_start long, member_start long, member_end long"
 _SCHEMA = "page_id long, record_id string, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
 
 
@@ -216,10 +223,16 @@ def read_archives(files: DataFrame, split_bytes: int = SPLIT_BYTES, payload: boo
     Each file is cut to ranges of split_bytes, which are dealt to tasks. The digest of a response is computed from what was read.
     Archives of others may hold records of any type (see parse); members that can't be read whole are rows of type `broken`, so a
     count of these tells whether the result is whole.
+
+    Deflate stores what it can't compress as it is, so an archive inside an archive shows its own members to a range that starts
+    there. What starts before the end of a member of an earlier range is therefore left out: rows are written once, the farthest end
+    of each range (one row a range) is carried along its file, and the few members that it covers are taken from the rows. A member
+    inside another ends inside it. So every split size gives the same rows.
     """
     ranges = files.select("path", "bytes", F.explode(F.expr(f"sequence(0L, greatest(bytes - 1, 0L), {split_bytes}L)")).alias("start"))
     n = max(1, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    types = {c: t for c, t in COLUMNS.items() if payload or c != "payload"}
+    wanted = [c for c in COLUMNS if payload or c != "payload"]
+    types = {"path": pa.string(), "range_start": pa.int64(), "member_start": pa.int64(), "member_end": pa.int64()} | {c: COLUMNS[c] for c in wanted}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = lambda rows: pa.RecordBatch.from_pydict({c: pa.array([r[c] for r in rows], t) for c, t in types.items()})
@@ -228,16 +241,22 @@ def read_archives(files: DataFrame, split_bytes: int = SPLIT_BYTES, payload: boo
                 disk, name = filesystem(path)
                 rows, held = [], 0
                 with disk.open_input_file(name) as file:
-                    for r in records(file, size, start, min(size, start + split_bytes), True):
-                        rows.append(r)
-                        held += 500 + (len(r["payload"] or b"") if payload else 0)
+                    for at, after, found in members(file, size, start, min(size, start + split_bytes)):
+                        rows += (r | {"path": path, "range_start": start, "member_start": at, "member_end": after} for r in found)
+                        held += sum(500 + (len(r["payload"] or b"") if payload else 0) for r in found)
                         if held >= READ_BYTES * 4:
                             yield table(rows)
                             rows, held = [], 0
                 if rows:
                     yield table(rows)
 
-    return ranges.repartition(n, F.xxhash64("path", "start")).mapInArrow(read, _SCHEMA if payload else _SCHEMA.removesuffix(", payload binary"))
+    schema = f"{_PLACE}, {_SCHEMA if payload else _SCHEMA.removesuffix(', payload binary')}"
+    rows = cut(ranges.repartition(n, F.xxhash64("path", "start")).mapInArrow(read, schema), "archive-rows")
+    earlier = Window.partitionBy("path").orderBy("range_start").rowsBetween(Window.unboundedPreceding, -1)
+    reach = rows.groupBy("path", "range_start").agg(F.max("member_end").alias("reach")).withColumn("covered", F.max("reach").over(earlier))
+    inside = rows.select("path", "range_start", "member_start").join(reach, ["path", "range_start"]).where("member_start < covered")
+    inside = cut(inside.select("path", "member_start").distinct(), "members-in-members")
+    return rows.join(inside, ["path", "member_start"], "left_anti").select(*wanted)
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:

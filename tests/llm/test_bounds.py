@@ -101,6 +101,29 @@ def test_records_of_other_archives(tmp_path):
     assert warc.header(b"WARC/1.junk\r\n\r\n") is None and warc.header(b"WARC/1.0\r\nno field\r\n\r\n") is None
 
 
+def test_archives_inside_archives_give_the_same_rows_at_every_split_size(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    made = lambda i, html: warc.record(i, "u", html, hashlib.sha256(html).hexdigest(), None, False)
+    inner = b"".join(made(100 + i, rng.bytes(n)) for i, n in enumerate((900, 40_000, 300, 120_000, 500)))
+    # Twice inside: an archive in an archive in an archive; and an archive that is cut short.
+    deeper = made(200, inner) + made(201, rng.bytes(2000))
+    data = [made(1, b"p" * 300), made(2, inner), made(3, b"q" * 300), made(4, deeper), made(5, inner[:-200]), made(6, b"r" * 300)]
+    path = tmp_path / "nested.warc.gz"
+    path.write_bytes(b"".join(data))
+    plain = tmp_path / "plain.warc.gz"
+    plain.write_bytes(data[0] + data[5])
+    files = spark.createDataFrame([(f"file://{p}", p.stat().st_size) for p in (path, plain)], "path string, bytes long")
+    read = lambda split, **more: sorted((r["page_id"], r["record_type"], r["payload_bytes"], r["payload_digest"]) for r in warc.read_archives(files, split, **more).collect())
+    whole = read(1 << 30)
+    assert [r[:2] for r in whole] == [(i, "response") for i in (1, 1, 2, 3, 4, 5, 6, 6)]
+    # A range by itself does show what lies inside.
+    ends = path.stat().st_size
+    assert any((r["page_id"] or 0) >= 100 for a in range(0, ends, 4096) for r in warc.records(pa.BufferReader(path.read_bytes()), ends, a, min(ends, a + 4096)))
+    for split in (4096, 50_000, 65_536):
+        assert read(split) == whole
+    assert read(4096, payload=False) == whole
+
+
 # --- benchmarks
 
 
