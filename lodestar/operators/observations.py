@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casts import day, number, payload_hash, ratio, split_factor
+from ..functions.casts import day, instant, number, payload_hash, ratio, split_factor, symbol
 from .timeseries import top_k
 
 # Forms of filings that may hold guidance, and the signal words that are looked for in them, in order.
 GUIDANCE_FORMS = ("8-K", "6-K")
 FILING_SIGNALS = ("item 2.02", "item 7.01", "item 8.01", "ex-99.", "press release", "earnings release", "guidance", "outlook", "results")
+#: Fields of a filing and their keys, who gives them, and where documents of filings are.
+FILED = {"accession_number": "accessionNumber", "form_type": "form", "filing_date": "filingDate", "report_date": "reportDate", "acceptance_datetime": "acceptanceDateTime", "primary_document": "primaryDocument", "primary_doc_description": "primaryDocDescription"}
+FILINGS_PROVIDER, FILING_ADDRESS = "sec_edgar", "https://www.sec.gov/Archives/edgar/data"
 #: Signal words of other texts, in the order in which they are looked for.
 GUIDANCE_SIGNALS = ("raises guidance", "lowers guidance", "reaffirms guidance", "withdraws guidance", "guidance", "outlook", "forecast")
 
@@ -62,6 +65,37 @@ def filings(raw: DataFrame) -> DataFrame:
     return rows.select("symbol", "f.accession", "f.form", day(F.col("f.date")).alias("filing_date")).where(F.col("accession").isNotNull())
 
 
+def filing_observations(raw: DataFrame, provider: str = FILINGS_PROVIDER) -> DataFrame:
+    """Filings with their addresses and hashes from payloads (symbol, cik, known_at, status, raw_payload), one row each observation.
+
+    Recent filings are a list of objects or arrays under one key, zipped by place. Payloads without symbol, number or day of knowledge,
+    and filings without accession, form or date, go. The address needs a document and an accession of letters and digits. The hash
+    is of the canonical JSON of what was filed, the id of it with the day on which it was known; more_files says that older filings
+    are in files of their own, which are not read.
+    """
+    recent = F.get_json_object("raw_payload", "$.filings.recent")
+    arrays = F.from_json(recent, f"struct<{', '.join(f'{k}: array<string>' for k in FILED.values())}>")
+    by_place = F.arrays_zip(*(F.coalesce(arrays[k], F.array().cast("array<string>")).alias(k) for k in FILED.values()))
+    listed = F.from_json(recent, f"array<struct<{', '.join(f'{k}: string' for k in FILED.values())}>>")
+    filer = F.trim("cik")
+    more = F.coalesce(F.json_array_length(F.get_json_object("raw_payload", "$.filings.files")) > 0, F.lit(False))
+    own = raw.where("status = 'success'").select(
+        symbol(F.col("symbol")).alias("symbol"), F.when(filer.rlike(r"^\d+$"), F.when(F.length(filer) < 10, F.lpad(filer, 10, "0")).otherwise(filer)).alias("cik"), day(F.col("known_at")).alias("known_at"), F.nullif(F.trim(F.get_json_object("raw_payload", "$.name")), F.lit("")).alias("company_name"),
+        more.alias("more_files"), F.explode(F.when(F.ltrim(recent).startswith("["), listed).otherwise(by_place)).alias("f"),
+    )
+    text = {c: F.nullif(F.trim(F.col("f")[k]), F.lit("")) for c, k in FILED.items()}
+    typed = {"filing_date": day, "report_date": day, "acceptance_datetime": instant}
+    rows = own.select("symbol", "cik", "known_at", "company_name", "more_files", *(typed.get(c, lambda x: x)(v).alias(c) for c, v in text.items()))
+    rows = rows.dropna(subset=["symbol", "cik", "known_at", "accession_number", "form_type", "filing_date"])
+    bare = F.regexp_replace("accession_number", "-", "")
+    url = F.when(bare.rlike(r"^[\p{L}\p{N}]+$"), F.concat(F.lit(f"{FILING_ADDRESS}/"), F.regexp_replace("cik", r"^0+(?=\d)", ""), F.lit("/"), bare, F.lit("/"), F.col("primary_document")))
+    rows = rows.withColumns({"filing_url": url, "provider": F.lit(provider)})
+    accepted = F.date_format("acceptance_datetime", "yyyy-MM-dd'T'HH:mm:ss").alias("acceptance_datetime")
+    body = F.struct("provider", "symbol", "cik", *(accepted if c == "acceptance_datetime" else c for c in FILED), "filing_url")
+    rows = rows.withColumn("observation_hash", payload_hash(F.to_json(body, {"ignoreNullFields": "false"})))
+    return rows.withColumn("observation_id", observation_id("observation_hash", "known_at")).dropDuplicates(["observation_id"])
+
+
 def form_counts(rows: DataFrame) -> DataFrame:
     """Filings of each form: how many, first and last date."""
     return rows.groupBy("form").agg(F.count("*").alias("n"), F.min("filing_date").alias("first_date"), F.max("filing_date").alias("last_date"))

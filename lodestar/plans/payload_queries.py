@@ -133,6 +133,24 @@ def sc24_reordered_payloads(spark, sf):
     return rows.select("id", casts.payload_hash(F.col("f")).alias("forward"), casts.payload_hash(F.col("r")).alias("reordered"))
 
 
+# --- filings
+
+
+@query(
+    """SELECT symbol, cik, acc AS accession_number, d AS filing_date, doc AS primary_document, url AS filing_url, more AS more_files, sha256('{"acceptance_datetime":"' || d || 'T00:00:00","accession_number":"' || acc || '","cik":"' || cik || '","filing_date":"' || d || '","filing_url":' || coalesce('"' || url || '"', 'null')
+ || ',"form_type":"' || o_orderpriority || '","primary_doc_description":null,"primary_document":' || coalesce('"' || doc || '"', 'null') || ',"provider":"sec_edgar","report_date":null,"symbol":"' || symbol || '"}') AS observation_hash
+FROM (SELECT *, 'https://www.sec.gov/Archives/edgar/data/' || o_custkey || '/' || replace(acc, '-', '') || '/' || doc AS url FROM (SELECT *, 'C' || o_custkey AS symbol, lpad(o_custkey::VARCHAR, 10, '0') AS cik, '00-' || o_orderkey AS acc, o_orderdate::DATE AS d, CASE WHEN o_orderkey % 3 > 0 THEN 'd' || o_orderkey || '.htm' END AS doc, o_orderkey % 5 = 0 AS more FROM orders WHERE o_orderstatus <> 'P'))"""
+)
+def ob3_filing_observations(spark, sf):
+    """Payloads as lists and as arrays, of which that of documents is absent or empty at times; each comes twice."""
+    document, files = "if(k % 3 > 0, concat('d', k, '.htm'), null)", "if(k % 5 = 0, '[{\"name\":\"older\"}]', '[]')"
+    listed = f"to_json(array(named_struct('accessionNumber', concat('00-', k), 'form', o_orderpriority, 'filingDate', d, 'acceptanceDateTime', d, 'primaryDocument', {document}), named_struct('accessionNumber', '', 'form', 'x', 'filingDate', d, 'acceptanceDateTime', d, 'primaryDocument', 'x')))"
+    arrays = f"to_json(named_struct('accessionNumber', array(concat('00-', k), concat('01-', k)), 'form', array(o_orderpriority), 'filingDate', array(d), 'acceptanceDateTime', array(d), 'primaryDocument', if(k % 3 > 0, array({document}), null)))"
+    payload = f"concat('{{\"filings\":{{\"recent\":', if(k % 2 = 0, {listed}, {arrays}), ',\"files\":', {files}, '}}}}') AS raw_payload"
+    rows = _orders(spark, sf, "concat('c', c) AS symbol", "cast(c AS string) AS cik", "'2024-01-01' AS known_at", "if(o_orderstatus = 'P', 'error', 'success') AS status", payload)
+    return observations.filing_observations(rows.unionAll(rows)).select("symbol", "cik", "accession_number", "filing_date", "primary_document", "filing_url", "more_files", "observation_hash")
+
+
 # --- mappings
 
 _JSON = """'{' || coalesce('"currency":"' || cur || '",', '') || CASE WHEN market IS NULL THEN coalesce('"exchCode":"' || code || '",', '') ELSE '' END || '"idType":"TICKER","idValue":"' || ticker || '"' || coalesce(',"micCode":"' || market || '"', '') || '}'"""

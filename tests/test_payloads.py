@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestar.functions import casts
-from lodestar.operators import events, mapping, published
+from lodestar.operators import events, mapping, observations, published
 
 def now():
     return F.lit("2024-05-01 00:00:00").cast("timestamp")
@@ -122,3 +122,27 @@ def test_first_answer_that_settles(spark, first, second, settled):
 def test_columns_beside_a_mapping_stay(spark):
     got = events.security_mappings(rows(spark, "symbol raw_payload _n", ("s", '{"data":[{"name":"Own Name","securityType":"adr","homeCountry":"","domicileCountry":"ie"}],"error":""}', "kept"))).first()
     assert (got.symbol, got.status, got.name, got.security_type, got.home_country, got["_n"]) == ("s", "success", "Own Name", "ADR", "IE", "kept")
+
+
+@pytest.mark.parametrize(
+    ("accession", "document", "cik", "url"),
+    [
+        ("0001-24-7", "a.htm", "0000320193", "https://www.sec.gov/Archives/edgar/data/320193/0001247/a.htm"),
+        ("0001-24-7", "", "320193", None),
+        ("0001/24", "a.htm", "320193", None),
+        ("-", "a.htm", "320193", None),
+    ],
+)
+def test_address_of_a_filing(spark, accession, document, cik, url):
+    filing = {"accessionNumber": accession, "form": "8-K", "filingDate": "2024-01-02", "primaryDocument": document}
+    payloads = [json.dumps({"name": " Own ", "filings": {"recent": shape}}) for shape in ([filing], {k: [v] for k, v in filing.items()})]
+    given = rows(spark, "symbol cik known_at status raw_payload", *(("s", cik, "2024-01-03", "success", p) for p in payloads))
+    (got,) = observations.filing_observations(given).collect()
+    assert (got.symbol, got.cik, got.company_name, got.form_type, got.filing_url, got.more_files, got.report_date) == ("S", "0000320193", "Own", "8-K", url, False, None)
+
+
+def test_payloads_that_give_no_filing(spark):
+    whole = json.dumps({"filings": {"recent": {"accessionNumber": ["1", "2", None], "form": ["8-K"], "filingDate": ["2024-01-02", "2024-01-02"]}}})
+    base = ("s", "1", "2024-01-03", "success", whole)
+    bad = [("s", "1.0", *base[2:]), ("s", "x", *base[2:]), (" ", *base[1:]), (*base[:2], "soon", *base[3:]), (*base[:3], "error", whole), *((*base[:4], p) for p in (None, "", "{", "[]", '{"filings":{"recent":"x"}}', '{"filings":[]}'))]
+    assert [r.accession_number for r in observations.filing_observations(rows(spark, "symbol cik known_at status raw_payload", base, base, *bad)).collect()] == ["1"]
