@@ -156,15 +156,16 @@ def embedded_events(pages: DataFrame, id_col: str = "page_id", html_col: str = "
     return inside.unionByName(plain.select(id_col, "title", F.col("event_date").cast("timestamp").alias("starts_at"), F.lit("low").alias("confidence")), allowMissingColumns=True)
 
 
-def security_mappings(raw: DataFrame) -> DataFrame:
+def security_mappings(raw: DataFrame, strict: bool = False) -> DataFrame:
     """What a mapping answered for each symbol (symbol, raw_payload): an error text, no data, one match, or the first of several as ambiguous.
 
-    An answer that is no JSON object is an error. All columns of raw but the payload stay; the match's fields are null without one.
+    An answer that is no JSON object is an error if strict, else it has no data. Columns of raw stay, but for the payload and those named as a result; the match's fields are null without one.
     """
     items = F.from_json(F.get_json_object("raw_payload", "$.data"), "array<map<string,string>>")
-    shape = F.when(F.try_parse_json("raw_payload").isNull() | ~F.ltrim("raw_payload").startswith("{"), "unexpected_openfigi_item_shape")
+    odd = F.coalesce(F.try_parse_json("raw_payload").isNull() | ~F.ltrim("raw_payload").startswith("{"), F.lit(True))
+    shape = F.when(odd & F.lit(strict), "unexpected_openfigi_item_shape")
     error = F.coalesce(shape, F.nullif(F.get_json_object("raw_payload", "$.error"), F.lit("")))
-    kept = F.struct(*(c for c in raw.columns if c != "raw_payload")).alias("row")
+    kept = F.struct(*(c for c in raw.columns if c not in {"raw_payload", "status", "error_message", *MAPPED})).alias("row")
     rows = raw.select(kept, error.alias("error"), F.coalesce(F.size(items), F.lit(0)).alias("n"), F.try_element_at(items, F.lit(1)).alias("i"))
     lost = F.lower("error").contains("not found") | F.lower("error").contains("no identifier found")
     status = F.when(F.col("error").isNotNull(), F.when(lost, "not_found").otherwise("error")).when(F.col("n") <= 0, "not_found").when(F.col("n") > 1, "ambiguous").otherwise("success")

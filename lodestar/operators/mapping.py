@@ -61,7 +61,7 @@ def settled_mappings(variants: DataFrame, answers: DataFrame) -> DataFrame:
     answers (request_hash, raw_payload, fetched_at): of one request the answer fetched last counts. A request without answer is not_found.
     Answers are joined by request, so a listing asked for often meets its answer once; a listing has at most two attempts.
     """
-    known = security_mappings(keep_last(answers, ["request_hash"], ["fetched_at", "raw_payload"]).select("request_hash", "raw_payload"))
+    known = security_mappings(keep_last(answers, ["request_hash"], ["fetched_at", "raw_payload"]).select("request_hash", "raw_payload"), strict=True)
     rows = variants.join(known, "request_hash", "left")
     rows = rows.withColumns({"status": F.coalesce("status", F.lit("not_found")), "error_message": F.when(F.col("status").isNull(), "no_answer").otherwise(F.col("error_message"))})
     order = F.struct(F.col("status") == "not_found", "attempt", "request_hash")
