@@ -46,10 +46,14 @@ def name_anchors(listings: DataFrame, candidates: DataFrame) -> DataFrame:
     A listing passes with exactly one entity of its name, in an acceptable state, of its country and with an ISIN of its
     country; else the first gate that no entity passes is the reason.
     """
-    passed = listings.where("name_key <> ''").join(candidates, "name_key")
-    state, place = F.col("state").isin(*ENTITY_STATES), F.coalesce(F.col("legal_country") == F.col("country"), F.lit(False))
-    isin = _has_prefix("isins", "country")
-    counts = passed.groupBy("symbol").agg(F.count_if(state).alias("n_state"), F.count_if(state & place).alias("n_place"), F.countDistinct(F.when(state & place & isin, F.col("lei"))).alias("n_isin"), F.min(F.when(state & place & isin, F.col("lei"))).alias("lei"))
+    # Entities are counted by name and by name and country before the join, so a listing meets one row of each, however many share its name.
+    active = candidates.where(F.col("state").isin(*ENTITY_STATES))
+    named = active.groupBy("name_key").agg(F.count("*").alias("_state"))
+    held = F.when(_has_prefix("isins", "legal_country"), F.col("lei"))
+    placed = active.where("legal_country IS NOT NULL").groupBy("name_key", F.col("legal_country").alias("country")).agg(F.count("*").alias("_place"), F.min(held).alias("_lo"), F.max(held).alias("_hi"))
+    met = listings.where("name_key <> ''").select("symbol", "name_key", "country").join(named, "name_key").join(placed, ["name_key", "country"], "left")
+    lo, hi = F.min("_lo"), F.max("_hi")
+    counts = met.groupBy("symbol").agg(F.sum("_state").alias("n_state"), F.coalesce(F.sum("_place"), F.lit(0)).alias("n_place"), F.when(lo.isNull(), 0).when(lo == hi, 1).otherwise(2).alias("n_isin"), lo.alias("lei"))
     rows = listings.join(counts, "symbol", "left")
     reason = (
         F.when(F.coalesce("name_key", F.lit("")) == "", "no_listing_name_for_legal_name_search")

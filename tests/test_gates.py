@@ -1,6 +1,6 @@
 """Gates of entity attachment and the support behind attachments, against literal rows."""
 
-from lodestar.operators import publication, support, waterfall
+from lodestar.operators import chain, publication, support, waterfall
 
 LISTED = "symbol string, raw_isin string, isin_status string, isin_error_reason string, country string, provider_country string, exchange_code string, name string, provider_name string"
 M = "isin_prefix_mismatch"
@@ -95,3 +95,27 @@ def test_safe_needs_support_and_holds_publication_otherwise(spark):
 
     held = lambda df: [r.blocker for r in publication.blockers(support.gate_figures(df).withColumns({"unresolved_groups": F.lit(0), "guardrails_unmerged": F.lit(True)})).collect()]
     assert held(audit) == ["publication_gate_not_ready", "heuristic_review_required", "group_conflicts_present"] and held(audit.where("review_status <> 'needs_review'")) == []
+
+
+def _join_rows(df):
+    """Rows that each join of the frame's executed plan gave."""
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.executedPlan()
+        if "Join" in node.nodeName() and node.metrics().contains("numOutputRows"):
+            found.append(node.metrics().apply("numOutputRows").value())
+        todo += [node.plan()] if node.nodeName().endswith("QueryStage") else [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_name_anchors_meet_counts_and_not_entities(spark):
+    """400 listings and 400 entities of one name: each listing meets one row of the name's counts, not all entities of it."""
+    listings = spark.range(400).selectExpr("concat('L', id) AS symbol", "'N' AS name_key", "if(id % 2 = 0, 'C1', 'C2') AS country")
+    found = spark.range(400).selectExpr("concat('E', id) AS lei", "'N' AS name_key", "if(id % 4 = 3, 'LAPSED', 'ACTIVE') AS state", "if(id = 0, 'C1', 'C2') AS legal_country", "array('C1X', 'C2Y') AS isins")
+    got = chain.name_anchors(listings, found)
+    assert {(r.entity_lei, r.status) for r in got.where("symbol IN ('L0', 'L1')").collect()} == {("E0", "confirmed"), (None, "ambiguous")}
+    rows = _join_rows(got)
+    assert rows and max(rows) <= 400
