@@ -18,6 +18,8 @@ REGION_ALIASES = {
     "apac": ("apac", "asia", "asia_pacific", "asia pacific", "pacific", "il", "israel", "tlv", "tase", "xtae", "hkg", "asx"),
 }
 STATE_POINTS = {"validated_full": 300, "validated_market_only": 200, "pending_validation": 100, "rejected": 0}
+# Suffixes of the countries that list by numbers.
+NUMBERED = {"HK": "HK", "HONG KONG": "HK", "HONG KONG SAR": "HK", "JP": "T", "JAPAN": "T", "TW": "TW", "TAIWAN": "TW"}
 PROMOTED, PARTIAL_ROWS = ("validated_full", "validated_market_only"), 30
 
 
@@ -128,12 +130,12 @@ def onboarding_identities(holdings: DataFrame, entities: DataFrame, registered:
     """A provider symbol for each holding (etf_ticker, source_symbol, source_country, source_exchange), from the first source that has one.
 
     Known entities come first, then the registry, the exchange's suffix, a suffix that is there, the country's numbers, and US
-    symbols; what is left says why not. entities and registered have (symbol); a row that has the symbol in another country
+    symbols; what is left says why not. A bare number of a country that lists by numbers is its country's, well known or not. entities and registered have (symbol); a row that has the symbol in another country
     doesn't count.
     """
     src, place = F.coalesce(symbol(F.col("source_symbol")), F.lit("")), F.upper(F.trim("source_country"))
     rows = holdings.withColumns({"source_symbol": src, "source_country": place, "_plain": listing_symbol(src)})
-    rows = rows.withColumns({"_exchange": let(listing_symbol_on(src, F.col("source_exchange")), lambda s: F.when(s != F.col("_plain"), s)), "_number": let(listing_symbol_in(src, place), lambda s: F.when(s != F.col("_plain"), s))})
+    rows = rows.withColumns({"_exchange": let(listing_symbol_on(src, F.col("source_exchange")), lambda s: F.when(s != F.col("_plain"), s)), "_number": let(listing_symbol_in(src, place), lambda s: F.when((s != F.col("_plain")) | (src.rlike("^[0-9]+$") & s.endswith(F.concat(F.lit("."), lookup(NUMBERED, place)))), s))})
     rows = rows.withColumn("_wanted", F.coalesce("_exchange", F.when(F.col("_plain").contains("."), F.col("_plain")), "_number", "_plain"))
     for name, known in (("_entity", entities), ("_registry", registered)):
         own = known.select(F.col("symbol").alias("_wanted"), F.lit(True).alias(name)).distinct()
@@ -141,7 +143,7 @@ def onboarding_identities(holdings: DataFrame, entities: DataFrame, registered:
     fits = F.coalesce(place.isNull() | country_of(F.col("_wanted")).isNull() | (place == country_of(F.col("_wanted"))), F.lit(True))
     step = lambda when, source, confidence: F.when(when, F.struct(F.col("_wanted").alias("s"), F.lit(source).alias("source"), F.lit(confidence).alias("c")))
     bare_us = (place == "US") & F.col("_plain").rlike("^[A-Z][A-Z-]{0,5}$")
-    found = F.coalesce(step(F.col("_entity") & fits, "entity_attributes_static", 0.95), step(F.col("_registry") & fits, "ticker_registry", 0.92), step(F.col("_exchange").isNotNull(), "source_exchange", 0.86), step(F.col("_plain").contains("."), "provider_symbol_already_qualified", 0.90), step(F.col("_number").isNotNull(), "source_country_numeric_mapping", 0.84), step(bare_us, "us_bare_symbol", 0.75))
+    found = F.coalesce(step(F.col("_entity") & fits, "entity_attributes_static", 0.95), step(F.col("_registry") & fits, "ticker_registry", 0.92), step(F.col("_exchange").isNotNull(), "source_exchange", 0.86), step(F.col("_plain").contains(".") & F.col("_number").isNull(), "provider_symbol_already_qualified", 0.90), step(F.col("_number").isNotNull(), "source_country_numeric_mapping", 0.84), step(bare_us, "us_bare_symbol", 0.75))
     abroad = F.coalesce(place != "US", F.lit(False))
     lost = F.when(F.col("source_symbol") == "", "missing_source_symbol").when(abroad, "missing_provider_symbol").otherwise("ambiguous_listing")
     out = rows.withColumn("_f", F.when(F.col("source_symbol") != "", found))

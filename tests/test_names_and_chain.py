@@ -68,3 +68,11 @@ def test_completeness_sentences(spark):
     rows = spark.createDataFrame([("A", "2026-01-01", "2026-01-09", 7, 7, 0, 100.0), ("B", "2026-01-01", "2026-01-09", 7, 6, 1, 85.71), ("C", None, None, 0, 0, 0, 0.0)], "symbol string, first_date string, last_date string, expected int, actual int, missing int, completeness double")
     got = {r.symbol: r.summary for r in registry.completeness_text(rows).collect()}
     assert got["A"].endswith("acceptable (no missing business days in range).") and "85.71% complete from 2026-01-01 to 2026-01-09, with 1 missing" in got["B"] and "not available" in got["C"]
+
+
+def test_bare_numbers_are_their_countrys(spark):
+    held = spark.createDataFrame([("E", "700", "HK", None), ("E", "701", "HK", None), ("E", "700", "US", None), ("E", "700.HK", "HK", None)], "etf_ticker string, source_symbol string, source_country string, source_exchange string")
+    none = spark.createDataFrame([], "symbol string")
+    got = {(r.source_symbol, r.source_country): (r.provider_symbol, r.resolution_source) for r in registry.onboarding_identities(held, none, none).collect()}
+    by_number, given = "source_country_numeric_mapping", "provider_symbol_already_qualified"
+    assert got == {("700", "HK"): ("0700.HK", by_number), ("701", "HK"): ("0701.HK", by_number), ("700", "US"): ("0700.HK", given), ("700.HK", "HK"): ("0700.HK", given)}
