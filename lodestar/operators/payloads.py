@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casts import day, instant, no_null_tokens, number, symbol
+from ..functions.casts import day, first_present, instant, no_null_tokens, number, symbol
 from ..functions.classify import fiscal_quarter, fiscal_year, period_type
 from ..functions.geography import country_code, listing_country, region_of
 from ..functions.symbols import is_placeholder, listing_symbol_in
@@ -19,7 +19,8 @@ def fundamentals_payload(rows: DataFrame) -> DataFrame:
     """Fundamentals (ticker, metric, value, value_text, period_end, period_type, period, report_date, currency, source, fetched_at; all texts) as published.
 
     Rows without symbol, metric, period end or report date (the period end where none is given), or with neither value nor text, are
-    left out. Of a symbol, metric, period, type and report date the row fetched last stays, ties by value and text.
+    left out. Of a symbol, metric, period, type and report date the row fetched last stays, ties by value and text, then the first in
+    order of seq, if rows have it, so that repeated runs keep the same row.
     """
     clean = lambda c: F.trim(no_null_tokens(F.col(c)))
     end = day(F.col("period_end"))
@@ -28,9 +29,10 @@ def fundamentals_payload(rows: DataFrame) -> DataFrame:
         number(F.col("value")).alias("value"), clean("value_text").alias("value_text"), end.alias("period_end"), period_type(F.col("period_type"), F.col("period")).alias("period_type"),
         fiscal_year(F.lit(None), end).alias("fiscal_year"), fiscal_quarter(F.col("period"), end).alias("fiscal_quarter"),
         F.upper(F.coalesce(clean("currency"), F.lit(CURRENCY))).alias("currency"), clean("source").alias("source"), instant(F.col("fetched_at")).alias("source_updated_at"),
+        first_present(rows, "seq").alias("_seq"),
     )
     out = out.dropna(subset=["symbol", "report_date", "metric", "period_end"]).where("value IS NOT NULL OR value_text IS NOT NULL")
-    return keep_last(out, ["symbol", "metric", "period_end", "period_type", "report_date"], ["source_updated_at", "value", "value_text"])
+    return keep_last(out, ["symbol", "metric", "period_end", "period_type", "report_date"], ["source_updated_at", "value", "value_text", F.asc_nulls_last("_seq")]).drop("_seq")
 
 
 def earnings_payload(events: DataFrame, history: DataFrame) -> DataFrame:

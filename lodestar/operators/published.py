@@ -78,14 +78,14 @@ def macro_observations(rows: DataFrame, now: Column | None = None) -> DataFrame:
 
 
 def macro_daily(rows: DataFrame, now: Column | None = None) -> DataFrame:
-    """One row a day and series: the value that could be known then. Rows without day, series, observation or time of availability go; a null value stays."""
+    """One row a day and series: the value that could be known then. Rows without day, series, observation or time of availability go; a null value stays. Of equal times and values the first in order of seq stays, if rows have it."""
     out = rows.select(
         _day(rows, "as_of_date").alias("as_of_date"), _text(rows, "series_key").alias("series_key"), _value(rows, "value").alias("value"), _text(rows, "source_observation_period").alias("source_observation_period"),
         _day(rows, "source_observation_date").alias("source_observation_date"), instant(first_present(rows, "available_at_utc")).alias("available_at_utc"), _whole(rows, "staleness_bdays").alias("staleness_bdays"),
-        _flag(rows, "is_stale").alias("is_stale"), F.coalesce(_text(rows, "alignment_mode"), F.lit(ALIGNMENT)).alias("alignment_mode"), _at(rows, now, "ingested_at").alias("ingested_at"),
+        _flag(rows, "is_stale").alias("is_stale"), F.coalesce(_text(rows, "alignment_mode"), F.lit(ALIGNMENT)).alias("alignment_mode"), _at(rows, now, "ingested_at").alias("ingested_at"), first_present(rows, "seq").alias("_seq"),
     )
     needed = ["as_of_date", "series_key", "source_observation_period", "source_observation_date", "available_at_utc"]
-    return keep_last(out.dropna(subset=needed), ["as_of_date", "series_key"], ["ingested_at", "available_at_utc", "value"])
+    return keep_last(out.dropna(subset=needed), ["as_of_date", "series_key"], ["ingested_at", "available_at_utc", "value", F.asc_nulls_last("_seq")]).drop("_seq")
 
 
 def cached_macro_daily(rows: DataFrame, now: Column | None = None) -> DataFrame:

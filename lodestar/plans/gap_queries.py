@@ -317,7 +317,7 @@ def sk7_fundamentals_payload(spark, sf):
     value = F.when(F.col("o_orderkey") % 7 == 0, "n/a").when(F.col("o_orderkey") % 7 == 1, "nan").otherwise(F.col("o_totalprice").cast("string"))
     rows = a.table(spark, sf, "orders").select(
         F.concat(F.lit("c"), "o_custkey").alias("ticker"), F.col("o_orderpriority").alias("metric"), F.when(value != "nan", value).alias("value"), F.when(value == "n/a", value).alias("value_text"), F.substring(at, 1, 10).alias("period_end"),
-        F.lit(None).cast("string").alias("period_type"), pick(PERIODS, "o_orderkey").alias("period"), F.lit(None).cast("string").alias("report_date"), pick((None, "eur", "nan", "USD"), "o_orderkey").alias("currency"), F.lit("s").alias("source"), at.alias("fetched_at"),
+        F.lit(None).cast("string").alias("period_type"), pick(PERIODS, "o_orderkey").alias("period"), F.lit(None).cast("string").alias("report_date"), pick((None, "eur", "nan", "USD"), "o_orderkey").alias("currency"), F.lit("s").alias("source"), at.alias("fetched_at"), F.col("o_orderkey").alias("seq"),
     )
     return payloads.fundamentals_payload(rows).select("symbol", "report_date", "metric", "value", "value_text", "period_end", "period_type", "fiscal_year", "fiscal_quarter", "currency")
 

@@ -65,7 +65,7 @@ QUALIFY row_number() OVER (PARTITION BY d, o_custkey % 40 ORDER BY at_ DESC, CAS
     STAMPED,
 )
 def sk7_macro_daily_payload(spark, sf):
-    rows = _orders(spark, sf, "d AS as_of_date", "concat('k', c % 40) AS series_key", "if(k % 7 > 0, o_totalprice, double('NaN')) AS value", "if(k % 11 > 0, substr(d, 1, 7), 'nan') AS source_observation_period", "d AS source_observation_date", "o_orderdate AS available_at_utc", "if(k % 3 > 0, cast(k % 5 AS string), '') AS staleness_bdays", "if(k % 3 = 0, 'yes', null) AS is_stale", "if(k % 2 = 0, null, ' period') AS alignment_mode", "at_ AS ingested_at")
+    rows = _orders(spark, sf, "d AS as_of_date", "concat('k', c % 40) AS series_key", "if(k % 7 > 0, o_totalprice, double('NaN')) AS value", "if(k % 11 > 0, substr(d, 1, 7), 'nan') AS source_observation_period", "d AS source_observation_date", "o_orderdate AS available_at_utc", "if(k % 3 > 0, cast(k % 5 AS string), '') AS staleness_bdays", "if(k % 3 = 0, 'yes', null) AS is_stale", "if(k % 2 = 0, null, ' period') AS alignment_mode", "at_ AS ingested_at", "k AS seq")
     return _published(published.cached_macro_daily, rows)
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestar.functions import casts
-from lodestar.operators import events, mapping, observations, published
+from lodestar.operators import events, mapping, observations, payloads, published
 
 def now():
     return F.lit("2024-05-01 00:00:00").cast("timestamp")
@@ -146,3 +146,12 @@ def test_payloads_that_give_no_filing(spark):
     base = ("s", "1", "2024-01-03", "success", whole)
     bad = [("s", "1.0", *base[2:]), ("s", "x", *base[2:]), (" ", *base[1:]), (*base[:2], "soon", *base[3:]), (*base[:3], "error", whole), *((*base[:4], p) for p in (None, "", "{", "[]", '{"filings":{"recent":"x"}}', '{"filings":[]}'))]
     assert [r.accession_number for r in observations.filing_observations(rows(spark, "symbol cik known_at status raw_payload", base, base, *bad)).collect()] == ["1"]
+
+
+def test_ties_keep_the_first_row(spark):
+    """Rows that agree in key, time and value: the first in order of seq stays, in whatever order they come."""
+    row = ("c1", "m", None, "n/a", "2024-03-31", None, "fy", None, "2024-04-01", "s")
+    facts = spark.createDataFrame([(*row, "eur", 2), (*row, "usd", 1)], "ticker string, metric string, value string, value_text string, period_end string, period_type string, period string, report_date string, fetched_at string, source string, currency string, seq long").coalesce(1)
+    assert [r.currency for r in payloads.fundamentals_payload(facts).collect()] == ["USD"]
+    days = spark.createDataFrame([("2024-01-02", "k", 1.0, "p", "2024-01-02", "2024-01-02 01:00:00", "2024-01-03", m, n) for m, n in (("b", 2), ("a", 1))], "as_of_date string, series_key string, value double, source_observation_period string, source_observation_date string, available_at_utc string, ingested_at string, alignment_mode string, seq long").coalesce(1)
+    assert [r.alignment_mode for r in published.macro_daily(days).collect()] == ["a"]
