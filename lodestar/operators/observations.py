@@ -73,15 +73,19 @@ def filing_observations(raw: DataFrame, provider: str = FILINGS_PROVIDER) -> Dat
     is of the canonical JSON of what was filed, the id of it with the day on which it was known; more_files says that older filings
     are in files of their own, which are not read.
     """
-    recent = F.get_json_object("raw_payload", "$.filings.recent")
+    # Each text is parsed once, into a column of its own, before the rows are taken apart.
+    recent = F.col("_recent")
     arrays = F.from_json(recent, f"struct<{', '.join(f'{k}: array<string>' for k in FILED.values())}>")
-    by_place = F.arrays_zip(*(F.coalesce(arrays[k], F.array().cast("array<string>")).alias(k) for k in FILED.values()))
+    by_place = F.arrays_zip(*(F.coalesce(F.col("_arrays")[k], F.array().cast("array<string>")).alias(k) for k in FILED.values()))
     listed = F.from_json(recent, f"array<struct<{', '.join(f'{k}: string' for k in FILED.values())}>>")
     filer = F.trim("cik")
     more = F.coalesce(F.json_array_length(F.get_json_object("raw_payload", "$.filings.files")) > 0, F.lit(False))
-    own = raw.where("status = 'success'").select(
+    listing = F.ltrim(recent).startswith("[")
+    parsed = raw.where("status = 'success'").withColumn("_recent", F.get_json_object("raw_payload", "$.filings.recent"))
+    parsed = parsed.withColumns({"_listed": F.when(listing, listed), "_arrays": F.when(~listing, arrays)})
+    own = parsed.select(
         symbol(F.col("symbol")).alias("symbol"), F.when(filer.rlike(r"^\d+$"), F.when(F.length(filer) < 10, F.lpad(filer, 10, "0")).otherwise(filer)).alias("cik"), day(F.col("known_at")).alias("known_at"), F.nullif(F.trim(F.get_json_object("raw_payload", "$.name")), F.lit("")).alias("company_name"),
-        more.alias("more_files"), F.explode(F.when(F.ltrim(recent).startswith("["), listed).otherwise(by_place)).alias("f"),
+        more.alias("more_files"), F.explode(F.when(listing, F.col("_listed")).otherwise(by_place)).alias("f"),
     )
     text = {c: F.nullif(F.trim(F.col("f")[k]), F.lit("")) for c, k in FILED.items()}
     typed = {"filing_date": day, "report_date": day, "acceptance_datetime": instant}

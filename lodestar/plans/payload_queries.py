@@ -16,7 +16,7 @@ STAMPED = f"o AS (SELECT *, o_orderdate::DATE AS d, coalesce(CASE WHEN o_orderke
 
 
 def _orders(spark, sf, *columns):
-    o = a.table(spark, sf, "orders").withColumns({"k": F.col("o_orderkey"), "c": F.col("o_custkey"), "d": F.date_format("o_orderdate", "yyyy-MM-dd")})
+    o = a.spread(a.table(spark, sf, "orders"), "o_orderkey").withColumns({"k": F.col("o_orderkey"), "c": F.col("o_custkey"), "d": F.date_format("o_orderdate", "yyyy-MM-dd")})
     return o.withColumn("at_", F.when(F.col("k") % 4 != 0, F.col("o_orderdate").cast("string"))).selectExpr(*columns)
 
 

@@ -155,3 +155,10 @@ def test_ties_keep_the_first_row(spark):
     assert [r.currency for r in payloads.fundamentals_payload(facts).collect()] == ["USD"]
     days = spark.createDataFrame([("2024-01-02", "k", 1.0, "p", "2024-01-02", "2024-01-02 01:00:00", "2024-01-03", m, n) for m, n in (("b", 2), ("a", 1))], "as_of_date string, series_key string, value double, source_observation_period string, source_observation_date string, available_at_utc string, ingested_at string, alignment_mode string, seq long").coalesce(1)
     assert [r.alignment_mode for r in published.macro_daily(days).collect()] == ["a"]
+
+
+def test_filings_are_parsed_before_they_are_taken_apart(spark):
+    raw = spark.createDataFrame([], "symbol string, cik string, known_at string, status string, raw_payload string").repartition(2)
+    plan = observations.filing_observations(raw)._jdf.queryExecution().optimizedPlan().toString()
+    apart = [line for line in plan.splitlines() if "Generate explode" in line]
+    assert apart and not any("from_json" in line or "get_json_object" in line for line in apart)
