@@ -78,12 +78,13 @@ def search_names(raw: Column) -> Column:
     ways = lambda token: F.coalesce(F.try_element_at(spelled, token), F.array(token))
     join = lambda acc, token: F.flatten(F.transform(acc, lambda left: F.transform(ways(token), lambda w: F.concat_ws(" ", F.nullif(left, F.lit("")), w))))
     all_ways = F.aggregate(F.split(listing_base(raw), " "), F.array(F.lit("")), join)
-    edge = lambda c: _without(c, r"^(?:THE(?:\s|$))+", r"(?:(?:^|\s)THE)+$")
-    moved = lambda c: F.when(c.rlike(r"(?:^|\s)THE$"), F.concat(F.lit("THE "), _without(c, r"(?:^|\s)THE$")))
+    # Names without an article, as most are, need no search for one.
+    edge = lambda c: F.when(c.contains("THE"), _without(c, r"^(?:THE(?:\s|$))+", r"(?:(?:^|\s)THE)+$")).otherwise(c)
+    moved = lambda c: F.when(c.endswith("THE") & c.rlike(r"(?:^|\s)THE$"), F.concat(F.lit("THE "), _without(c, r"(?:^|\s)THE$")))
     # N.V. is a spelling of a search only; as a legal form it counts as N V.
     bare = lambda c: _without_legal_forms(_without(c, r"(?:(?:^|\s)N\.V\.)+$"))
     forms = lambda c: F.array(c, edge(c), moved(c), edge(moved(c)), bare(c))
-    found = F.array_distinct(F.transform(F.array_compact(F.flatten(F.transform(all_ways, forms))), lambda c: _titled(F.trim(c))))
+    found = F.array_distinct(F.transform(F.array_distinct(F.array_compact(F.flatten(F.transform(all_ways, forms)))), lambda c: _titled(F.trim(c))))
     return F.filter(found, lambda c: c != "")
 
 

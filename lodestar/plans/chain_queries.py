@@ -16,7 +16,7 @@ def _named(spark, sf):
     k = F.col("c_custkey")
     of = lambda before, after: F.concat(F.lit(before), k, F.lit(after))
     raw = F.when(k % 4 == 0, of("The Unit ", " Co Ltd")).when(k % 4 == 1, of("unit ", " N.V. NY Reg Shs")).when(k % 4 == 2, of("Unit-", " A/S Class B")).otherwise(of("Unit ", " & Sons Inc. Sponsored ADR"))
-    return a.table(spark, sf, "customer").select("c_custkey", raw.alias("raw"))
+    return a.spread(a.table(spark, sf, "customer").select("c_custkey", raw.alias("raw")), "c_custkey")
 
 
 @query("SELECT c_custkey, legal_name, false AS normalized_name_too_short, regexp_full_match(legal_name, '[A-Z0-9]{2,4}( [A-Z0-9]{2,4})*') AS normalized_name_acronym_only, false AS cjk_name_collapsed_to_latin_acronym, false AS distinctive_tokens_removed FROM nm", NAMES)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import names
 from lodestar.operators import chain, events, registry
+from lodestar.plans import chain_queries
 
 
 @pytest.mark.parametrize(
@@ -76,3 +77,9 @@ def test_bare_numbers_are_their_countrys(spark):
     got = {(r.source_symbol, r.source_country): (r.provider_symbol, r.resolution_source) for r in registry.onboarding_identities(held, none, none).collect()}
     by_number, given = "source_country_numeric_mapping", "provider_symbol_already_qualified"
     assert got == {("700", "HK"): ("0700.HK", by_number), ("701", "HK"): ("0701.HK", by_number), ("700", "US"): ("0700.HK", given), ("700.HK", "HK"): ("0700.HK", given)}
+
+
+def test_search_names_are_dealt_to_all_cores(spark):
+    """A small file of names is one task's; the work on them is not."""
+    plan = chain_queries._named(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
