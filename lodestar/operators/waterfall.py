@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import symbol
 from ..functions.names import legal_name
+from ..functions.symbols import let
 
 # Why an identifier is suspect of another market's prefix.
 MISMATCHES = ("provider_returned_alternate_market_instrument", "provider_listing_mismatch", "isin_prefix_mismatch")
@@ -21,7 +23,7 @@ def us_listing() -> Column:
 
 def plain_name(name: Column) -> Column:
     """The key of a name for foreign issuers: the conservative one without PUBLIC at its end; null where nothing is left."""
-    return F.nullif(F.regexp_replace(legal_name(name), " PUBLIC$", ""), F.lit(""))
+    return let(F.regexp_replace(legal_name(name), " PUBLIC$", ""), lambda n: F.nullif(n, F.lit("")))
 
 
 def _named_alike(*listed: str, legal: str) -> Column:
@@ -66,13 +68,14 @@ def foreign_issuers(listings: DataFrame, candidates: DataFrame, expansions: Data
     the listing's own ISIN if that is not a US one. Exactly one confirmed candidate attaches; of several all are named; of none the first
     candidate says why. issuer_lei, issuer_name_match, n_expanded and n_issuer_isins are that candidate's.
     """
-    keyed = listings.withColumns({"_own": symbol(F.col("raw_isin")), "_us": us_listing()})
-    named = candidates.select(F.col("symbol").alias("_symbol"), "place", F.col("lei").alias("_candidate"), F.col("legal_name").alias("_legal"), F.array_compact(F.array_distinct(F.transform(F.array("legal_country", "headquarters_country", "jurisdiction"), lambda c: F.when(F.length(F.trim(c)) == 2, F.upper(F.trim(c)))))).alias("_prefixes"))
+    # Names are made plain on either side of the join, once a listing and once a candidate.
+    keyed = listings.withColumns({"_own": symbol(F.col("raw_isin")), "_us": us_listing(), "_names": F.array_compact(F.array(plain_name(F.col("provider_name")), plain_name(F.col("name"))))})
+    named = candidates.select(F.col("symbol").alias("_symbol"), "place", F.col("lei").alias("_candidate"), plain_name(F.col("legal_name")).alias("_legal"), F.array_compact(F.array_distinct(F.transform(F.array("legal_country", "headquarters_country", "jurisdiction"), lambda c: F.when(F.length(F.trim(c)) == 2, F.upper(F.trim(c)))))).alias("_prefixes"))
     grown = expansions.select(F.col("lei").alias("_candidate"), "expansion_status", F.transform("isins", lambda x: F.upper(F.trim(x))).alias("_isins"))
     met = keyed.join(named.join(grown, "_candidate", "left"), F.col("_us") & (F.col("symbol") == F.col("_symbol")), "left")
     ready = F.coalesce(F.col("expansion_status") == "success", F.lit(False))
     own = F.coalesce(F.array_contains("_isins", F.col("_own")) & ~F.col("_own").startswith("US"), F.lit(False))
-    met = met.withColumns({"_alike": _named_alike("provider_name", "name", legal="_legal"), "_issuer": F.coalesce(F.size(F.filter(F.array_distinct("_isins"), lambda x: F.array_contains(F.col("_prefixes"), F.substring(x, 1, 2)))), F.lit(0)), "_by_own": own, "_ready": ready})
+    met = met.withColumns({"_alike": F.coalesce(F.array_contains("_names", F.col("_legal")), F.lit(False)), "_issuer": F.coalesce(F.size(F.filter(F.array_distinct("_isins"), lambda x: F.array_contains(F.col("_prefixes"), F.substring(x, 1, 2)))), F.lit(0)), "_by_own": own, "_ready": ready})
     why = (
         F.when(~F.col("_alike"), "name_unconfirmed")
         .when(F.col("expansion_status").isNull(), "lei_expansion_missing")
@@ -98,15 +101,18 @@ def waterfall(listings: DataFrame, gates: Sequence[tuple[str, Callable[[DataFram
     """symbol, entity_lei, method (the gate that attached) and refused: for each gate that a listing came to and failed, in order, gate and reason.
 
     A gate takes rows of listings and returns them with _lei and _why, one row a listing. Rows that have an entity leave at once, so a later
-    gate joins only what is left.
+    gate joins only what is left. What the last gate says of attached and of other rows comes from one pass over it.
     """
     left, out = listings.withColumn("refused", F.expr("cast(array() as array<struct<gate:string,reason:string>>)")), []
-    for name, gate in gates:
+    for i, (name, gate) in enumerate(gates):
         tried = gate(left)
-        out.append(tried.where(F.col("_lei").isNotNull()).select("symbol", F.col("_lei").alias("entity_lei"), F.lit(name).alias("method"), "refused"))
         more = F.when(F.col("_why").isNotNull(), F.array(F.struct(F.lit(name).alias("gate"), F.col("_why").alias("reason")))).otherwise(F.slice("refused", 1, 0))
-        left = tried.where(F.col("_lei").isNull()).withColumn("refused", F.concat("refused", more)).select(*listings.columns, "refused")
-    rest = left.select("symbol", F.lit(None).cast("string").alias("entity_lei"), F.lit("unattached").alias("method"), "refused")
-    for part in out:
-        rest = rest.unionAll(part)
-    return rest
+        there = F.col("_lei").isNotNull()
+        if i == len(gates) - 1:
+            out.append(tried.select("symbol", F.col("_lei").alias("entity_lei"), F.when(there, name).otherwise("unattached").alias("method"), F.when(there, F.col("refused")).otherwise(F.concat("refused", more)).alias("refused")))
+            break
+        out.append(tried.where(there).select("symbol", F.col("_lei").alias("entity_lei"), F.lit(name).alias("method"), "refused"))
+        left = tried.where(~there).withColumn("refused", F.concat("refused", more)).select(*listings.columns, "refused")
+    if not out:
+        return left.select("symbol", F.lit(None).cast("string").alias("entity_lei"), F.lit("unattached").alias("method"), "refused")
+    return reduce(DataFrame.unionAll, out)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import waterfall
+from ..sources import adapters as a
 from .queries import query
 from .universe_queries import raw, raw_sql
 
@@ -51,7 +52,8 @@ _CTES = (raw_sql("ls", "customer", LISTED), raw_sql("rec", "customer", RECORDS),
 
 
 def _inputs(spark, sf):
-    return (raw(spark, sf, t, c) for t, c in (("customer", LISTED), ("customer", RECORDS), ("orders", CANDIDATES), ("part", EXPANSIONS)))
+    listings, records, candidates, expansions = (raw(spark, sf, t, c) for t, c in (("customer", LISTED), ("customer", RECORDS), ("orders", CANDIDATES), ("part", EXPANSIONS)))
+    return a.spread(listings, "symbol"), records, a.spread(candidates, "symbol"), expansions
 
 
 @query("SELECT symbol, CASE WHEN applies AND why IS NULL THEN lei END AS entity_lei, CASE WHEN applies THEN why END AS reject_reason FROM mis", *_CTES)

@@ -119,3 +119,13 @@ def test_name_anchors_meet_counts_and_not_entities(spark):
     assert {(r.entity_lei, r.status) for r in got.where("symbol IN ('L0', 'L1')").collect()} == {("E0", "confirmed"), (None, "ambiguous")}
     rows = _join_rows(got)
     assert rows and max(rows) <= 400
+
+
+def test_last_gate_runs_once(spark):
+    """What the last gate attached and what it refused come from one pass: one aggregation of foreign issuers."""
+    listings = spark.createDataFrame(ROWS, LISTED)
+    candidates = spark.createDataFrame([], "symbol string, place int, lei string, legal_name string, legal_country string, headquarters_country string, jurisdiction string")
+    expansions = spark.createDataFrame([], "lei string, expansion_status string, isins array<string>")
+    out = waterfall.waterfall(listings, [("issuer", lambda rows: waterfall.foreign_issuers(rows, candidates.repartition(2), expansions.repartition(2)))])
+    assert {(r.entity_lei, r.method) for r in out.collect()} == {(None, "unattached")}
+    assert out._jdf.queryExecution().analyzed().toString().count("Aggregate [") == 1
