@@ -49,8 +49,8 @@ def region_of(country: Column) -> Column:
 
 def listing_country(source: Column, raw_symbol: Column, default: str = "US") -> Column:
     """The source's country, but the suffix's where the source says US and the suffix does not; else the suffix's, else the default."""
-    given, inferred = country_code(source), country_of(raw_symbol)
-    return F.when((given == "US") & inferred.isNotNull(), inferred).otherwise(F.coalesce(F.nullif(given, F.lit("")), inferred, F.lit(default)))
+    told = lambda c: F.when((c["given"] == "US") & c["inferred"].isNotNull(), c["inferred"]).otherwise(F.coalesce(F.nullif(c["given"], F.lit("")), c["inferred"], F.lit(default)))
+    return let(F.struct(country_code(source).alias("given"), country_of(raw_symbol).alias("inferred")), told)
 
 
 def market_of(raw_symbol: Column) -> Column:

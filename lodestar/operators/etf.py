@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,13 +31,17 @@ def normalised_holdings(rows: DataFrame, fetched: Column) -> DataFrame:
 
     Cash, currencies, derivatives, placeholders and other asset classes go before weights are judged, as do rows without a weight; of a fund's
     rows of one symbol and date the last (seq) stays. A fund is in per cent if any weight has a %, if they sum to over MAX_TOTAL or one is
-    over 1; that is one row a fund, joined to its rows, so a fund may have any number.
+    over 1; that is one row a fund, joined to its rows, so a fund may have any number. What a holding is follows from its texts alone and
+    is found once for each different set of them, not once a fund.
     """
     # Each text that several rules read is bound once, so that a filter which moves below its projection doesn't repeat it.
     named = F.nullif(F.trim("name"), F.lit(""))
     bound = let(country_code(F.col("country")), lambda g: F.struct(g.alias("given"), F.nullif(F.when(g != "", listing_symbol_in(F.col("symbol"), g)).otherwise(listing_symbol(F.col("symbol"))), F.lit("")).alias("held")))
     judged = let(bound, lambda t: F.struct(t["held"].alias("held"), listing_country(t["given"], t["held"]).alias("country"), equity_like(t["held"], named, F.col("asset_class")).alias("share")))
-    own = rows.select("*", judged.alias("_t"), weight(F.col("weight")).alias("_w")).where(F.col("_t.share") & F.col("_w").isNotNull()).select(
+    texts = ["symbol", "name", "country", "asset_class"]
+    each = rows.groupBy(*texts).agg(F.lit(1).alias("_n")).select(*(F.col(c).alias(f"_{c}") for c in texts), judged.alias("_t")).where("_t.share")
+    same = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in texts))
+    own = rows.withColumn("_w", weight(F.col("weight"))).where("_w IS NOT NULL").join(each, same).select(
         F.upper("etf_ticker").alias("etf_ticker"), F.col("_t.held").alias("holding_symbol"), named.alias("holding_name"), F.col("_t.country").alias("holding_country"),
         "_w", F.coalesce(F.col("weight").contains("%"), F.lit(False)).alias("_pct"), F.coalesce("as_of", "stated", fetched).alias("as_of"), "seq",
     )
