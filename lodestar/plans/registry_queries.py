@@ -156,7 +156,7 @@ def mk7_point_metrics(spark, sf):
 
 @query("SELECT etf_ticker, theme, wave, active, coalesce(n, 0) AS holdings_count, d AS holdings_as_of, active AND coalesce(n, 0) = 0 AS contract_violated FROM themes LEFT JOIN (SELECT etf_ticker, count(DISTINCT holding_symbol) AS n, max(as_of) AS d FROM holdings WHERE etf_ticker NOT LIKE '%3' GROUP BY ALL) USING (etf_ticker)", a.HOLDINGS, a.THEMES)
 def et12_theme_dimension(spark, sf):
-    return registry.theme_dimension(a.themes(spark, sf), a.holdings(spark, sf).where("etf_ticker NOT LIKE '%3'"))
+    return registry.theme_dimension(a.themes(spark, sf), a.positions(spark, sf).where("etf_ticker NOT LIKE '%3'"))
 
 
 @query("SELECT etf_ticker, sector, round(weight, 6) AS weight FROM (SELECT 'E' || l_suppkey AS etf_ticker, unnest(['r', 'a', 'n']) AS sector, unnest([sum(l_quantity) FILTER (l_returnflag = 'R'), sum(l_quantity) FILTER (l_returnflag = 'A'), sum(l_quantity) FILTER (l_returnflag = 'N')]) / sum(l_quantity) AS weight FROM lineitem GROUP BY l_suppkey) WHERE weight IS NOT NULL")

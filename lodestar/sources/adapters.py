@@ -18,6 +18,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
+def dealt(rows: DataFrame, source: DataFrame, *keys: str) -> DataFrame:
+    """rows dealt by key to four tasks for each core or split of the source table, whichever are more: a split has a largest size, so what
+    a task must keep of its keys stays the same however large the table is."""
+    return rows.repartition(4 * max(rows.sparkSession.sparkContext.defaultParallelism, source.rdd.getNumPartitions()), *keys)
+
+
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("S"), "l_suppkey").alias("symbol"), F.col("l_shipdate").cast("date").alias("date"), "l_extendedprice", "l_quantity")
     return rows.groupBy("symbol", "date").agg(F.max("l_extendedprice").alias("close"), F.sum("l_quantity").alias("volume"))
@@ -52,6 +58,13 @@ def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("etf_ticker", "holding_symbol", share.alias("weight"), "as_of")
 
 
+def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holdings are made of: a row for each line, so a holding and its dates repeat."""
+    lines = table(spark, sf_dir, "lineitem")
+    rows = lines.select(F.concat(F.lit("E"), "l_suppkey").alias("etf_ticker"), F.concat(F.lit("P"), "l_partkey").alias("holding_symbol"), F.col("l_shipdate").cast("date").alias("as_of"))
+    return dealt(rows, lines, "etf_ticker", "holding_symbol")
+
+
 def themes(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.col("s_suppkey")
     return table(spark, sf_dir, "supplier").select(F.concat(F.lit("E"), s).alias("etf_ticker"), F.concat(F.lit("theme"), s % 7).alias("theme"), (s % 3 + 1).cast("int").alias("wave"), (s % 5 != 0).alias("active"))

@@ -1,11 +1,13 @@
 """Holdings files of several layouts in one scan, and shares without cash."""
 
 import datetime
+from collections import Counter
 
 from pyspark.sql import functions as F
 
-from lodestar.operators import etf
-from lodestar.sources import layouts
+from lodestar.operators import etf, registry
+from lodestar.plans import registry_queries
+from lodestar.sources import adapters, layouts
 
 FILES = {
     "a.csv": 'The fund\n"Data as of: 01/31/2024"\n\nTicker,Name,Weight (%),Asset Class\nAAPL,"Apple, Inc.",60.5,Equity\nUSD,US Dollar,39,Cash\n AAPL ,Apple again,61,Equity\n',
@@ -31,3 +33,33 @@ def test_three_layouts_in_one_scan(spark, tmp_path):
         ("B", "0700.HK"): ("HK", 0.015, day(2024, 3, 1)), ("B", "VOD.L"): ("GB", 0.005, day(2024, 3, 1)),
         ("C", "MSFT"): ("US", 0.4, day(2024, 2, 1)),
     }
+
+
+def test_theme_dimension_keeps_less_in_a_task_the_more_splits_its_table_has(spark, tmp_path):
+    """What a task keeps is its share of the pairs of fund and holding, once for each aggregate by pair: two, and four tasks a split."""
+    for name in ("lineitem", "supplier"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").repartition(20 if name == "lineitem" else 1).write.parquet(f"file://{tmp_path}/{name}.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        n = adapters.table(spark, f"file://{tmp_path}", "lineitem").rdd.getNumPartitions()
+        df = registry_queries.et12_theme_dimension(spark, f"file://{tmp_path}")
+        plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        each = adapters.positions(spark, f"file://{tmp_path}").groupBy(F.spark_partition_id().alias("task")).count().collect()
+        got = Counter(df.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert n >= 20 and sum("REPARTITION_BY_NUM" in line and f", {4 * n})" in line for line in plan) == 1
+    assert sum("HashAggregate(keys=[" in line and "," in line.split("]")[0] for line in plan) == 2
+    rows = sum(r["count"] for r in each)
+    assert rows == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count() and max(r["count"] for r in each) < 3 * rows / (4 * n)
+    assert got == Counter(registry_queries.et12_theme_dimension(spark, "/root/testdata/sf0.001").collect())
+
+
+def test_theme_dimension_of_repeated_holdings(spark):
+    day = datetime.date
+    held = [("A", "x", day(2024, 1, 1)), ("A", "x", day(2024, 3, 1)), ("A", "y", None), ("A", None, day(2024, 5, 1)), ("B", None, None), (None, "x", day(2024, 1, 1)), ("Z", "x", day(2024, 1, 1))]
+    holdings = spark.createDataFrame(held, "etf_ticker string, holding_symbol string, as_of date")
+    themes = spark.createDataFrame([("A", "t", True), ("A", "u", False), ("B", "t", True), ("C", "t", True), ("C", "u", False), (None, "t", True)], "etf_ticker string, theme string, active boolean")
+    want = Counter({("A", "t", True, 2, day(2024, 5, 1), False): 1, ("A", "u", False, 2, day(2024, 5, 1), False): 1, ("B", "t", True, 0, None, True): 1, ("C", "t", True, 0, None, True): 1, ("C", "u", False, 0, None, False): 1, (None, "t", True, 0, None, True): 1})
+    for rows in (holdings, holdings.repartition(7, "etf_ticker", "holding_symbol")):
+        assert Counter(map(tuple, registry.theme_dimension(themes, rows).collect())) == want
