@@ -451,7 +451,7 @@ rd AS (SELECT t.etf_ticker, theme, active, coalesce(hc, 0) AS holdings_count, co
 
 def _theme_readiness(spark, sf):
     parts = a.table(spark, sf, "part").select(F.concat(F.lit("P"), "p_partkey").alias("symbol"), "p_partkey")
-    return etf.theme_readiness(a.holdings(spark, sf).where("etf_ticker NOT LIKE '%7'"), a.themes(spark, sf).drop("wave"), parts.where("p_partkey % 2 = 0"), parts.where("p_partkey % 9 = 0"))
+    return etf.theme_readiness(a.positions(spark, sf).where("etf_ticker NOT LIKE '%7'"), a.themes(spark, sf).drop("wave"), parts.where("p_partkey % 2 = 0"), parts.where("p_partkey % 9 = 0"))
 
 
 @query("SELECT etf_ticker, theme, active, holdings_count, priced_constituent_count, technical_constituent_count, round(coverage_ratio, 6) AS coverage_ratio, ineligible_reason IS NULL AS relationship_map_eligible, ineligible_reason FROM rd", a.HOLDINGS, a.THEMES, READY_ETF)

@@ -6,7 +6,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from lodestar.operators import etf, registry
-from lodestar.plans import registry_queries
+from lodestar.plans import queries, registry_queries
 from lodestar.sources import adapters, layouts
 
 FILES = {
@@ -63,3 +63,10 @@ def test_theme_dimension_of_repeated_holdings(spark):
     want = Counter({("A", "t", True, 2, day(2024, 5, 1), False): 1, ("A", "u", False, 2, day(2024, 5, 1), False): 1, ("B", "t", True, 0, None, True): 1, ("C", "t", True, 0, None, True): 1, ("C", "u", False, 0, None, False): 1, (None, "t", True, 0, None, True): 1})
     for rows in (holdings, holdings.repartition(7, "etf_ticker", "holding_symbol")):
         assert Counter(map(tuple, registry.theme_dimension(themes, rows).collect())) == want
+
+
+def test_theme_readiness_counts_the_same_dealt_pairs(spark):
+    """Neither readiness nor health sums lines by fund and holding before they take pairs once; health needs sums for its edges alone."""
+    for query in (queries.et5_theme_readiness, queries.et6_theme_health):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("REPARTITION_BY_NUM") == 1
