@@ -52,12 +52,18 @@ def _four_digits(token: Column) -> Column:
     return F.when(token.rlike(r"^[0-9]{1,3}\.HK$"), F.lpad(token, 7, "0")).otherwise(token)
 
 
+def _unless_plain(raw: Column, otherwise: Column) -> Column:
+    """Upper case alone for a symbol without blank, / and leading digit, on which no rule acts, country's or other; most are such."""
+    token = F.upper(F.trim(raw))
+    return F.when(token.rlike(r"^[^0-9\s/][^\s/]*\z"), token).otherwise(otherwise)
+
+
 def listing_symbol(raw: Column) -> Column:
     """Canonical listing symbol: upper case, / as -, a spaced exchange code or a known bare number as a suffix, Hong Kong numbers of four digits."""
     out = F.regexp_replace(F.translate(F.upper(F.trim(raw)), "/", "-"), r"\s+", " ")
     for step in (_code_as_suffix, _number_with_suffix, _four_digits):
         out = let(out, step)
-    return F.coalesce(out, F.lit(""))
+    return _unless_plain(raw, F.coalesce(out, F.lit("")))
 
 
 def listing_symbol_on(raw: Column, exchange: Column) -> Column:
@@ -73,11 +79,13 @@ def listing_symbol_in(raw: Column, country: Column) -> Column:
         suffix = F.when(place.isin("HK", "HONG KONG", "HONG KONG SAR") & token.rlike("^[0-9]{1,4}$"), "HK").when(place.isin("JP", "JAPAN") & token.rlike("^[0-9]{4}$"), "T").when(place.isin("TW", "TAIWAN") & token.rlike("^[0-9]{4}$"), "TW")
         return _four_digits(F.concat_ws(".", token, suffix))
 
-    return let(listing_symbol(raw), with_suffix)
+    return _unless_plain(raw, let(listing_symbol(raw), with_suffix))
 
 
 def country_of(raw: Column) -> Column:
-    return lookup(SUFFIX_COUNTRY, F.nullif(F.regexp_extract(listing_symbol(raw), r"\.([A-Z]+)$", 1), F.lit("")))
+    """The country that a symbol's suffix or spaced exchange code says; one without dot, blank or bare number has none, which is cheap to see."""
+    suffix = F.regexp_extract(listing_symbol(raw), r"\.([A-Z]+)$", 1)
+    return F.when(raw.rlike(r"[.\s]|^[0-9]+$"), lookup(SUFFIX_COUNTRY, F.nullif(suffix, F.lit(""))))
 
 
 def is_placeholder(raw: Column, digits: int = 4) -> Column:

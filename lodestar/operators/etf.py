@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.casts import ratio, weight
 from ..functions.classify import equity_like
 from ..functions.geography import country_code, listing_country
-from ..functions.symbols import let, listing_symbol, listing_symbol_in
-from .timeseries import keep_last, top_k
+from ..functions.symbols import listing_symbol, listing_symbol_in
+from .timeseries import top_k
 
 MIN_CONSTITUENTS, MIN_RATIO = 5, 0.10
 MAX_WEIGHT, MAX_TOTAL = 0.50, 1.35
@@ -31,24 +29,22 @@ def normalised_holdings(rows: DataFrame, fetched: Column) -> DataFrame:
 
     Cash, currencies, derivatives, placeholders and other asset classes go before weights are judged, as do rows without a weight; of a fund's
     rows of one symbol and date the last (seq) stays. A fund is in per cent if any weight has a %, if they sum to over MAX_TOTAL or one is
-    over 1; that is one row a fund, joined to its rows, so a fund may have any number. What a holding is follows from its texts alone and
-    is found once for each different set of them, not once a fund.
+    over 1; that is one row a fund, joined to its rows, so a fund may have any number. Rows are judged and shuffled once for both.
     """
-    # Each text that several rules read is bound once, so that a filter which moves below its projection doesn't repeat it.
-    named = F.nullif(F.trim("name"), F.lit(""))
-    bound = let(country_code(F.col("country")), lambda g: F.struct(g.alias("given"), F.nullif(F.when(g != "", listing_symbol_in(F.col("symbol"), g)).otherwise(listing_symbol(F.col("symbol"))), F.lit("")).alias("held")))
-    judged = let(bound, lambda t: F.struct(t["held"].alias("held"), listing_country(t["given"], t["held"]).alias("country"), equity_like(t["held"], named, F.col("asset_class")).alias("share")))
-    texts = ["symbol", "name", "country", "asset_class"]
-    each = rows.groupBy(*texts).agg(F.lit(1).alias("_n")).select(*(F.col(c).alias(f"_{c}") for c in texts), judged.alias("_t")).where("_t.share")
-    same = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in texts))
-    own = rows.withColumn("_w", weight(F.col("weight"))).where("_w IS NOT NULL").join(each, same).select(
-        F.upper("etf_ticker").alias("etf_ticker"), F.col("_t.held").alias("holding_symbol"), named.alias("holding_name"), F.col("_t.country").alias("holding_country"),
+    # Texts of a step are found once: a filter would move below a projection and repeat them, but nothing moves below a generator.
+    step = lambda df, **found: df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in found.items())))))
+    placed = step(rows, _given=country_code(F.col("country")), _w=weight(F.col("weight")), _named=F.nullif(F.trim("name"), F.lit(""))).where("_w IS NOT NULL")
+    held = F.when(F.col("_given") != "", listing_symbol_in(F.col("symbol"), F.col("_given"))).otherwise(listing_symbol(F.col("symbol")))
+    shares = step(step(placed, _held=F.nullif(held, F.lit(""))), _share=equity_like(F.col("_held"), F.col("_named"), F.col("asset_class"))).where("_share")
+    own = step(shares, _country=listing_country(F.col("_given"), F.col("_held"))).select(
+        F.upper("etf_ticker").alias("etf_ticker"), F.col("_held").alias("holding_symbol"), F.col("_named").alias("holding_name"), F.col("_country").alias("holding_country"),
         "_w", F.coalesce(F.col("weight").contains("%"), F.lit(False)).alias("_pct"), F.coalesce("as_of", "stated", fetched).alias("as_of"), "seq",
     )
-    own = keep_last(own, ["etf_ticker", "holding_symbol", "as_of"], ["seq"])
-    funds = own.groupBy("etf_ticker").agg((F.bool_or("_pct") | (F.sum("_w") > MAX_TOTAL) | (F.max("_w") > 1.0)).alias("_percent"))
-    share = F.round(F.when(F.col("_percent"), F.col("_w") / 100).otherwise(F.col("_w")), 10)
-    return own.join(funds, "etf_ticker").select("etf_ticker", "holding_symbol", "holding_name", "holding_country", share.alias("weight"), "as_of")
+    # The last row as one value, so that both uses need the same columns and share its shuffle.
+    last = own.groupBy("etf_ticker", "holding_symbol", "as_of").agg(F.max(F.struct("seq", "holding_name", "holding_country", "_w", "_pct")).alias("_r"))
+    funds = last.groupBy("etf_ticker").agg((F.bool_or("_r._pct") | (F.sum("_r._w") > MAX_TOTAL) | (F.max("_r._w") > 1.0)).alias("_percent"))
+    share = F.round(F.when(F.col("_percent"), F.col("_r._w") / 100).otherwise(F.col("_r._w")), 10)
+    return last.join(funds.hint("shuffle_hash"), "etf_ticker").select("etf_ticker", "holding_symbol", "_r.holding_name", "_r.holding_country", share.alias("weight"), "as_of")
 
 
 def plausibility(holdings: DataFrame) -> DataFrame:

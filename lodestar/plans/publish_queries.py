@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import casts, dates
@@ -176,8 +177,8 @@ def et1_holdings_of_files(spark, sf):
     quoted = F.concat(F.lit('"'), "name", F.lit('"'))
     line = F.when(F.col("layout") == 0, F.concat_ws(",", "sym", quoted, "pct", "kind", "place")).when(F.col("layout") == 1, F.concat_ws(",", F.date_format("as_of", "yyyy-MM-dd"), quoted, F.concat("pct", F.lit("%")), "sym")).otherwise(F.concat_ws(",", "place", "kind", "share", "sym", quoted))
     heads = F.when(F.col("layout") == 0, F.array(F.lit("Some fund"), F.lit("Fund holdings as of 01/31/2024"), F.lit("Ticker,Name,Weight (%),Asset Class,Location"))).when(F.col("layout") == 1, F.array(F.lit('Date,"Security Name","% of Net Assets","Holding Ticker"'))).otherwise(F.array(F.lit("Country / Region,Security Type,Weight,Identifier,Description")))
-    top = held.select("etf_ticker", "layout").distinct().select("etf_ticker", F.posexplode(heads).alias("n", "value"))
-    text = top.unionAll(held.select("etf_ticker", F.lit(9).alias("n"), line.alias("value"))).repartition("etf_ticker").sortWithinPartitions("etf_ticker", "n", "value")
+    first = F.row_number().over(Window.partitionBy("etf_ticker").orderBy("holding_symbol")) == 1
+    text = held.select("etf_ticker", "holding_symbol", F.when(first, F.concat_ws("\n", heads, line)).otherwise(line).alias("value")).sortWithinPartitions("etf_ticker", "holding_symbol")
     text.select("etf_ticker", "value").write.partitionBy("etf_ticker").text(at)
     rows = layouts.read_layouts(spark, f"{at}/*")
     fund = F.regexp_extract("file", "etf_ticker=([^/]+)/", 1)

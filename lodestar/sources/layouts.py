@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import day
+from ..functions.symbols import let
 
 #: A comma outside quotes.
-_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+_COMMA = r',(?=(?:[^"]*+"[^"]*+")*+[^"]*+$)'
 
 # Names of the columns of holdings files, in the order in which they are looked for, and what a header line holds.
 HOLDINGS = {
@@ -22,6 +23,7 @@ HOLDINGS = {
     "country": ("country", "location", "Country/Region", "Domicile", "Geography", "Market"),
 }
 HEADER = (("ticker", "symbol", "identifier"), ("weight", "netassets", "pct"))
+_MARKS = "[^a-z0-9]*"
 _AS_OF = r"(?i)(?:as\s+of|data\s+as\s+of|holdings\s+as\s+of)[^0-9]*([0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{4}-[0-9]{1,2}-[0-9]{1,2})"
 
 
@@ -43,15 +45,20 @@ def read_layouts(spark: SparkSession, path: str, aliases: Mapping[str, Sequence[
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n")).alias("seq"))
     lines = lines.where(F.trim("value") != "")
-    token = _token(F.col("value"))
+    low = F.lower("value")
     is_header = F.lit(True)
     for group in header:
-        is_header &= token.rlike("|".join(group))
-    fields = lambda c: F.transform(F.split(c, _COMMA, -1), lambda x: F.replace(F.regexp_replace(F.trim(x), '^"|"$', ""), F.lit('""'), F.lit('"')))
-    heads = lines.where(is_header).groupBy("file").agg(F.min(F.struct("seq", "value")).alias("h")).select("file", F.col("h.seq").alias("_header"), F.transform(fields(F.col("h.value")), lambda x: _token(F.coalesce(x, F.lit("")))).alias("_names"))
-    found = F.regexp_extract("value", _AS_OF, 1)
-    stated = lines.where(found != "").join(heads.select("file", "_header"), "file").where(F.col("seq") <= F.col("_header")).groupBy("file").agg(F.min_by(any_day(found), "seq").alias("stated"))
+        is_header &= low.rlike("|".join(_MARKS.join(word) for word in group))
+    found = F.when(low.contains("as"), F.regexp_extract("value", _AS_OF, 1))
+    unquoted = lambda x: F.when(x.contains('"'), F.replace(F.regexp_replace(F.trim(x), '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(F.trim(x))
+    fields = lambda c: F.transform(F.split(c, _COMMA, -1), unquoted)
+    marked = lines.where(is_header | (found != "")).groupBy("file").agg(F.min(F.when(is_header, F.struct("seq", "value"))).alias("h"), F.min(F.when(found != "", F.struct("seq", found.alias("found")))).alias("s"))
+    heads = marked.where("h IS NOT NULL").select(
+        "file", F.col("h.seq").alias("_header"), F.transform(fields(F.col("h.value")), lambda x: _token(F.coalesce(x, F.lit("")))).alias("_names"), F.when(F.col("s.seq") <= F.col("h.seq"), any_day(F.col("s.found"))).alias("stated"),
+    )
     place = lambda names: F.coalesce(*(F.nullif(F.array_position("_names", "".join(x for x in n.lower() if x.isalnum())), F.lit(0).cast("long")) for n in names))
-    heads = heads.select("file", "_header", *(place(names).cast("int").alias(f"_{c}") for c, names in aliases.items())).join(stated, "file", "left")
-    rows = lines.join(heads, "file").where(F.col("seq") > F.col("_header")).select("file", "seq", fields(F.col("value")).alias("_fields"), *(f"_{c}" for c in aliases), "stated")
-    return rows.select("file", "seq", *(F.get("_fields", F.col(f"_{c}") - 1).alias(c) for c in aliases), "stated")
+    heads = heads.select("file", "_header", *(place(names).cast("int").alias(f"_{c}") for c, names in aliases.items()), "stated")
+    # Heads are one row a file, so they are what a task keeps, and lines need no sort. A line is split once: nothing moves below a generator.
+    below = lines.join(heads.hint("shuffle_hash"), "file").where(F.col("seq") > F.col("_header"))
+    split = let(fields(F.col("value")), lambda f: F.struct(*(F.get(f, F.col(f"_{c}") - 1).alias(c) for c in aliases)))
+    return below.select("file", "seq", "stated", F.inline(F.array(split))).select("file", "seq", *aliases, "stated")

@@ -70,3 +70,15 @@ def test_theme_readiness_counts_the_same_dealt_pairs(spark):
     for query in (queries.et5_theme_readiness, queries.et6_theme_health):
         plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert plan.count("REPARTITION_BY_NUM") == 1
+
+
+def test_files_are_scanned_twice_and_holdings_judged_once(spark, tmp_path):
+    """Lines are read for headers and for rows, and no filter repeats the rules of a holding or the splitting of a line below it."""
+    (tmp_path / "a.csv").write_text(FILES["a.csv"])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = layouts.read_layouts(spark, f"file://{tmp_path}").withColumns({"etf_ticker": F.lit("a"), "as_of": layouts.any_day(F.col("as_of"))})
+        plan = etf.normalised_holdings(rows, F.lit("2024-03-01").cast("date"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert (plan.count("FileScan text"), plan.count("REPURCHASE AGREEMENT"), plan.count("split(value")) == (2, 1, 1)
