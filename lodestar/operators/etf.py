@@ -31,13 +31,13 @@ def normalised_holdings(rows: DataFrame, fetched: Column) -> DataFrame:
     rows of one symbol and date the last (seq) stays. A fund is in per cent if any weight has a %, if they sum to over MAX_TOTAL or one is
     over 1; that is one row a fund, joined to its rows, so a fund may have any number. Rows are judged and shuffled once for both.
     """
-    # Texts of a step are found once: a filter would move below a projection and repeat them, but nothing moves below a generator.
-    step = lambda df, **found: df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in found.items())))))
-    placed = step(rows, _given=country_code(F.col("country")), _w=weight(F.col("weight")), _named=F.nullif(F.trim("name"), F.lit(""))).where("_w IS NOT NULL")
+    placed = rows.withColumns({"_given": country_code(F.col("country")), "_w": weight(F.col("weight")), "_named": F.nullif(F.trim("name"), F.lit(""))})
     held = F.when(F.col("_given") != "", listing_symbol_in(F.col("symbol"), F.col("_given"))).otherwise(listing_symbol(F.col("symbol")))
-    shares = step(step(placed, _held=F.nullif(held, F.lit(""))), _share=equity_like(F.col("_held"), F.col("_named"), F.col("asset_class"))).where("_share")
-    own = step(shares, _country=listing_country(F.col("_given"), F.col("_held"))).select(
-        F.upper("etf_ticker").alias("etf_ticker"), F.col("_held").alias("holding_symbol"), F.col("_named").alias("holding_name"), F.col("_country").alias("holding_country"),
+    placed = placed.withColumn("_held", F.nullif(held, F.lit("")))
+    # A filter on a column would move below the projections and repeat their rules; nothing moves below a generator.
+    share = F.array(equity_like(F.col("_held"), F.col("_named"), F.col("asset_class")) & F.col("_w").isNotNull())
+    own = placed.select("*", F.explode(share).alias("_share")).where("_share").select(
+        F.upper("etf_ticker").alias("etf_ticker"), F.col("_held").alias("holding_symbol"), F.col("_named").alias("holding_name"), listing_country(F.col("_given"), F.col("_held")).alias("holding_country"),
         "_w", F.coalesce(F.col("weight").contains("%"), F.lit(False)).alias("_pct"), F.coalesce("as_of", "stated", fetched).alias("as_of"), "seq",
     )
     # The last row as one value, so that both uses need the same columns and share its shuffle.

@@ -181,6 +181,6 @@ def et1_holdings_of_files(spark, sf):
     text = held.select("etf_ticker", "holding_symbol", F.when(first, F.concat_ws("\n", heads, line)).otherwise(line).alias("value")).sortWithinPartitions("etf_ticker", "holding_symbol")
     text.select("etf_ticker", "value").write.partitionBy("etf_ticker").text(at)
     rows = layouts.read_layouts(spark, f"{at}/*")
-    fund = F.regexp_extract("file", "etf_ticker=([^/]+)/", 1)
+    fund = F.substring_index(F.substring_index("file", "/etf_ticker=", -1), "/", 1)
     rows = rows.select(fund.alias("etf_ticker"), "symbol", "name", "weight", "asset_class", "country", layouts.any_day(F.col("as_of")).alias("as_of"), "stated", "seq")
     return etf.normalised_holdings(rows, F.lit("2024-02-02").cast("date"))

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import day
-from ..functions.symbols import let
 
 #: A comma outside quotes.
 _COMMA = r',(?=(?:[^"]*+"[^"]*+")*+[^"]*+$)'
@@ -60,5 +59,6 @@ def read_layouts(spark: SparkSession, path: str, aliases: Mapping[str, Sequence[
     heads = heads.select("file", "_header", *(place(names).cast("int").alias(f"_{c}") for c, names in aliases.items()), "stated")
     # Heads are one row a file, so they are what a task keeps, and lines need no sort. A line is split once: nothing moves below a generator.
     below = lines.join(heads.hint("shuffle_hash"), "file").where(F.col("seq") > F.col("_header"))
-    split = let(fields(F.col("value")), lambda f: F.struct(*(F.get(f, F.col(f"_{c}") - 1).alias(c) for c in aliases)))
-    return below.select("file", "seq", "stated", F.inline(F.array(split))).select("file", "seq", *aliases, "stated")
+    below = below.select("file", "seq", "stated", *(f"_{c}" for c in aliases), fields(F.col("value")).alias("_fields"))
+    named = F.struct(*(F.get("_fields", F.col(f"_{c}") - 1).alias(c) for c in aliases))
+    return below.select("file", "seq", "stated", F.inline(F.array(named))).select("file", "seq", *aliases, "stated")
